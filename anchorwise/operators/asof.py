@@ -71,6 +71,7 @@ def carry_pick(
     partition: Sequence[str],
     order: str,
     picks: dict[str, Column],
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """For every row of ``keys``, pick from the latest ``table`` row with a smaller ``order``.
 
@@ -78,6 +79,6 @@ def carry_pick(
     partition by entity alone is cheap even for a hot entity.
     """
     u = stack(table, keys)
-    w = strictly_before(partition, [order, "_kind"])
+    w = strictly_before(partition, [order, "_kind", *tiebreak])
     cols = [F.col(c) for c in keys.columns] + [expr.over(w).alias(name) for name, expr in picks.items()]
     return u.select(*cols, "_kind").where(F.col("_kind") == ANCHOR).drop("_kind")
