@@ -14,15 +14,15 @@ RESULT_LABELS = {
     "loss": "lost", "lost": "lost", "l": "lost", "defeat": "lost",
 }
 
-# Canonical venue columns with their aliases (in priority order) and defaults.
+# Canonical venue columns with their aliases (in priority order), types and defaults.
 VENUE_SPEC: dict[str, tuple[tuple[str, ...], str, object]] = {
-    "venue_id": (("ground_id", "venue", "stadium_id"), "long", 1),
-    "total_matches_venue": (("matches", "total_matches", "matches_played"), "long", 50),
-    "highest_score_venue": (("highest_score", "max_score", "highest_total"), "double", 180),
-    "lowest_score_venue": (("lowest_score", "min_score", "lowest_total"), "double", 120),
-    "total_boundaries_venue": (("boundaries", "total_boundaries", "fours_sixes"), "long", 800),
-    "average_runs_venue": (("avg_runs", "average_score", "avg_score"), "double", 160),
-    "runs_per_over_venue": (("run_rate", "rpo", "runs_per_over"), "double", 8.0),
+    "venue_id": (("ground_id", "stadium_id"), "long", 1),
+    "average_runs_venue": (("avg_runs", "average_runs", "avg_score"), "double", 160),
+    "runs_per_over_venue": (("runs_per_over", "rpo"), "double", 8.0),
+    "total_matches_venue": (("total_matches", "matches_played", "games"), "long", 50),
+    "highest_score_venue": (("highest_score", "max_score", "high_score"), "double", 180),
+    "lowest_score_venue": (("lowest_score", "min_score", "low_score"), "double", 120),
+    "total_boundaries_venue": (("total_boundaries", "boundaries", "total_fours_sixes"), "long", 800),
 }
 # Delivery and result column aliases.
 DELIVERY_SPEC: dict[str, tuple[tuple[str, ...], str, object]] = {
@@ -42,8 +42,8 @@ def parse_date(c: Column) -> Column:
     ``try_to_date`` never raises under ANSI mode (``to_date`` would).
     """
     s = F.trim(c.cast("string"))
-    compact = F.try_to_date(s, F.lit("yyyyMMdd"))
-    iso = F.coalesce(F.try_to_date(s, F.lit("yyyy-MM-dd")), F.try_to_date(s, F.lit("yyyy/MM/dd")))
+    compact = F.try_to_date(s, "yyyyMMdd")
+    iso = F.coalesce(F.try_to_date(s, "yyyy-MM-dd"), F.try_to_date(s, "yyyy/MM/dd"))
     return F.when(s.rlike(r"^[0-9]{8}$"), compact).otherwise(iso)
 
 
