@@ -111,7 +111,9 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K) ->
     )
     part = ["player_id", "_yr"]
     u = asof.stack(facts, anc).withColumn("_ord", asof.fact_ordinal(part, _BEFORE_ORDER))
-    wb = asof.strictly_before(part, _BEFORE_ORDER)
+    # at an anchor, ordinals <= its own are exactly the facts before it: the aggregates share the
+    # ordinal ordering (and its sort) with the last-k collection
+    wb = Window.partitionBy(*part).orderBy("_ord").rangeBetween(Window.unboundedPreceding, 0)
     wg = asof.strictly_before(["player_id", "_yr", "_g"], _BEFORE_ORDER)
     fp = F.col("_fp")
     u = u.select(
@@ -125,19 +127,23 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K) ->
         F.count(F.when(fp < LOW_SCORE, 1)).over(wb).alias("_cur_under"),
         F.count("_rec").over(wg).alias("_venue_in_season"),
     )
-    fact_rows = u.where(F.col("_kind") == asof.FACT)
     anchor_rows = u.where(F.col("_kind") == asof.ANCHOR).drop("_kind", "_rec", "_fp", "_tb")
 
-    # one row per (player, season): partial aggregation, no re-shuffle of raw rows
-    season = fact_rows.groupBy("player_id", "_yr").agg(
+    # one row per (player, season), from the facts alone: counts by partial aggregation,
+    # the season's last k records by a per-group top-k (Spark applies WindowGroupLimit
+    # before the shuffle, so at most k rows per group and input partition move)
+    stats = facts.groupBy("player_id", "_yr").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(fp).alias("pts"),
         F.max(fp).alias("mx"),
         F.min(fp).alias("mn"),
         F.count(F.when(fp > HIGH_SCORE, 1)).alias("over"),
         F.count(F.when(fp < LOW_SCORE, 1)).alias("under"),
-        F.max_by("_in_hist", "_ord").alias("tail"),
     )
+    wlast = Window.partitionBy("player_id", "_yr").orderBy(F.col("_t").desc(), F.col("_tb").desc())
+    tails = facts.withColumn("_rn", F.row_number().over(wlast)).where(F.col("_rn") <= k).groupBy("player_id", "_yr").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_t", "_tb", "_rec"))), lambda x: x["_rec"]).alias("tail"))
+    season = stats.join(tails, ["player_id", "_yr"])
     ws = Window.partitionBy("player_id").orderBy("_yr")
     cum = season.select(
         "player_id",
@@ -163,7 +169,7 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K) ->
     carry = carry.join(prev, ["player_id", "_yr"], "left")
 
     # venue counts per (player, ground, season): prior seasons carried, all seasons for the career count
-    vseason = fact_rows.where(F.col("_g").isNotNull()).groupBy("player_id", "_g", "_yr").agg(
+    vseason = facts.where(F.col("_g").isNotNull()).groupBy("player_id", "_g", "_yr").agg(
         F.count(F.lit(1)).alias("n"))
     vkeys = anchors.where(F.col("venue_id").isNotNull()).select(
         "player_id", F.col("venue_id").alias("_g"), F.year("cutoff_date").alias("_yr")).distinct()

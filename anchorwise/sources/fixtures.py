@@ -9,13 +9,43 @@ DataFrame over the parquet scans, so its size grows with the scale factor.
 
 from __future__ import annotations
 
+import functools
+import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from .tables import read_table
 
+# Derived views are written once per session and folder as parquet under the
+# shared folder (spark.checkpoint.dir) and read back: every query then scans a
+# stored table instead of re-deriving it from raw events in each plan branch,
+# and the lineage is cut (a lost executor re-reads files, not the derivation).
+MATERIALIZE = os.environ.get("ANCHORWISE_MATERIALIZE", "1") != "0"
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(builder):
+    """Serve the view from its stored copy when called without explicit upstream frames."""
+
+    @functools.wraps(builder)
+    def wrapper(spark: SparkSession, sf_dir: str, *upstream):
+        if not MATERIALIZE or any(u is not None for u in upstream):
+            return builder(spark, sf_dir, *upstream)
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), builder.__name__)
+        if key not in _STORED:
+            path = f"{shared_dir(spark).rstrip('/')}/views/{builder.__name__}-{uuid.uuid4().hex}"
+            builder(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _STORED[key] = path
+        return spark.read.parquet(_STORED[key])
+
+    wrapper.derive = builder  # the lazy derivation itself
+    return wrapper
+
+
 EPOCH_DAY = "2021-11-01"  # day of match 0 in the derived calendar
 
 
@@ -35,6 +65,7 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_stored
 def innings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (player, match): the fact table of the feature engine."""
     e = ev(spark, sf_dir)
@@ -84,6 +115,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_stored
 def matchstat(spark: SparkSession, sf_dir: str, inn: DataFrame | None = None) -> DataFrame:
     """Team x match results with raw (dirty) result labels."""
     inn = inn if inn is not None else innings(spark, sf_dir)
@@ -109,6 +141,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(key.alias("player_id"), F.col("c_name").alias("name"), role.alias("role"))
 
 
+@_stored
 def venue_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Venue dimension: one row per nation key (grounds 25-27 have none)."""
     n = read_table(spark, sf_dir, "nation")
@@ -125,6 +158,7 @@ def venue_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_stored
 def requests(spark: SparkSession, sf_dir: str, inn: DataFrame | None = None) -> DataFrame:
     """Prediction requests: every match is a request for the squads of its two teams.
 
@@ -150,6 +184,7 @@ def requests(spark: SparkSession, sf_dir: str, inn: DataFrame | None = None) ->
     )
 
 
+@_stored
 def predictions(spark: SparkSession, sf_dir: str, req: DataFrame | None = None) -> DataFrame:
     """Deterministic candidate scores per request (with ties, duplicates, null roles)."""
     req = req if req is not None else requests(spark, sf_dir)
