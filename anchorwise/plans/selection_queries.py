@@ -150,13 +150,18 @@ opt AS (SELECT request_id, role_std, team_no, hi, cell_rank AS c, prefix AS s FR
      WHERE {sel('a', 1, 0)} AND {sel('b', 1, 1)} AND {sel('c', 2, 0)} AND {sel('d', 2, 1)}
      AND a.c + b.c + c.c + d.c BETWEEN {lo} AND {hi}"""
         parts.append(f"rs{i} AS ({_best_sql(inner)})")
-    prev = "rs0"
-    for i in (1, 2, 3):
+    lo = [ROLE_LIMITS[r][0] for r in ROLES]
+    hi = [ROLE_LIMITS[r][1] for r in ROLES]
+    for name, (x, y), other in (("h0", (0, 1), (2, 3)), ("h1", (2, 3), (0, 1))):
+        n_min = max(lo[x] + lo[y], 11 - hi[other[0]] - hi[other[1]])
+        n_max = min(hi[x] + hi[y], 11 - lo[other[0]] - lo[other[1]])
         inner = f"""SELECT a.request_id, a.n + b.n AS n, a.t1 + b.t1 AS t1, LEAST(a.hc + b.hc, 6) AS hc, a.s + b.s AS s,
-     list_concat(a.cnt, b.cnt) AS cnt FROM {prev} a JOIN rs{i} b ON b.request_id = a.request_id
-     WHERE a.n + b.n <= 11 AND a.t1 + b.t1 <= 7 AND (a.n + b.n) - (a.t1 + b.t1) <= 7"""
-        parts.append(f"f{i} AS ({_best_sql(inner)})")
-        prev = f"f{i}"
+     list_concat(a.cnt, b.cnt) AS cnt FROM rs{x} a JOIN rs{y} b ON b.request_id = a.request_id
+     WHERE a.n + b.n BETWEEN {n_min} AND {n_max} AND a.t1 + b.t1 <= 7 AND (a.n + b.n) - (a.t1 + b.t1) <= 7"""
+        parts.append(f"{name} AS ({_best_sql(inner)})")
+    parts.append("""f3 AS (SELECT p.request_id, 11 AS n, p.t1 + q.t1 AS t1, LEAST(p.hc + q.hc, 6) AS hc, p.s + q.s AS s,
+     list_concat(p.cnt, q.cnt) AS cnt FROM h0 p JOIN h1 q ON q.request_id = p.request_id AND q.n = 11 - p.n
+     WHERE p.t1 + q.t1 <= 7 AND 11 - (p.t1 + q.t1) <= 7)""")
     idx = "CASE " + " ".join(
         f"WHEN rk.role_std = '{r}' AND rk.team_no = {t} AND rk.hi = {h} THEN {j}"
         for j, (r, t, h) in enumerate((r, t, h) for r in ROLES for t in (1, 2) for h in (0, 1))) + " END"
