@@ -127,6 +127,21 @@ VENUE_EXP = """vx AS (SELECT a.match_id, a.player_id,
          AND i.match_date < a.cutoff) AS INTEGER) AS prior_matches_at_venue
 FROM a)"""
 
+PROVENANCE = """SELECT feature_group, source, COUNT(*) AS n_anchors FROM (
+  SELECT 'recent' AS feature_group, 'available_matches_' || CAST(data_availability AS VARCHAR) AS source FROM rf
+  UNION ALL SELECT 'archetype', CASE WHEN COALESCE(g.nrows, 0) = 0 THEN 'used_default'
+       WHEN COALESCE(g.npts, 0) = 0 THEN 'used_default_no_fp' ELSE 'used_real_data' END
+     FROM a LEFT JOIN ar_g g USING (match_id, player_id)
+  UNION ALL SELECT 'ball', CASE WHEN l.ld IS NULL THEN 'used_default_no_delivery_data'
+       WHEN d.nb IS NOT NULL THEN 'used_real_delivery_data' ELSE 'used_proxy_from_innings_data' END
+     FROM a LEFT JOIN bb_l l USING (match_id, player_id) LEFT JOIN bb_d d USING (match_id, player_id)
+  UNION ALL SELECT 'opposition', CASE WHEN COALESCE(a.opposition_id, 0) = 0 THEN 'used_default_no_opposition_data'
+       WHEN t.ld IS NULL THEN 'used_default_no_opposition_matches' ELSE 'used_real_data' END
+     FROM a LEFT JOIN op_t t USING (match_id, player_id)
+  UNION ALL SELECT 'venue', CASE WHEN v.venue_id IS NOT NULL THEN 'used_real_venue_data' ELSE 'used_venue_average' END
+     FROM a LEFT JOIN venue_stats v ON v.venue_id = a.venue_id
+) GROUP BY feature_group, source"""
+
 _BASE = ("innings", "deliveries", "matchstat", "venue_stats")
 
 
@@ -157,4 +172,5 @@ JOIN op USING (match_id, player_id) JOIN vn USING (match_id, player_id) JOIN vx
         "venue_experience": _q([VENUE_EXP], "SELECT * FROM vx"),
         "features_all": _q(all_ctes, all_sel),
         "features_valid": _q(all_ctes, f"SELECT * EXCLUDE (is_valid) FROM ({all_sel}) WHERE is_valid"),
+        "feature_provenance": _q([RECENT, ARCHETYPE, BALL, OPPOSITION, VENUE], PROVENANCE),
     }
