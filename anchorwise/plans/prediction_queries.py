@@ -102,7 +102,23 @@ def probability_summary(spark, sf):
     )
 
 
+def roundtrip_sinks(spark, sf):
+    """Tagged predictions partitioned by request, the report as JSON; read back from the shared folder."""
+    from ..sources.sinks import output_path, save_predictions
+
+    e = _enriched(spark, sf).select("request_id", "player_id", "team_no", "fp_pred", "predicted_rank",
+                                    "variance_category")
+    path = save_predictions(e, output_path(spark, "predictions"), MODEL_TYPE,
+                            report=R.quality_report(fx.predictions(spark, sf)))
+    back = spark.read.parquet(f"{path}/predictions")  # request_id comes back as the partition column
+    return back.select(F.col("request_id").cast("long").alias("request_id"), "player_id", "team_no", "fp_pred", "predicted_rank", "variance_category",
+                       "model_type")
+
+
+MODEL_TYPE = "Spark GBT Variance Model with 30-Feature System"
+
 QUERIES = {
+    "roundtrip_sinks": roundtrip_sinks,
     "enrich_rank": enrich_rank,
     "enrich_confidence": enrich_confidence,
     "enrich_credits": enrich_credits,
@@ -160,7 +176,11 @@ def oracles() -> dict[str, str]:
           FROM predictions) WHERE r = 1)"""
     wd = with_views("predictions", extra=dd)
     return {
-        "enrich_rank": we + "SELECT request_id, player_id, team_no, fp_pred, name, predicted_rank, ROUND(percentile, 6) AS percentile FROM en",
+        "roundtrip_sinks": we + f"""SELECT request_id, player_id, team_no, fp_pred, CAST(predicted_rank AS INTEGER) AS predicted_rank,
+  variance_category,
+  '{MODEL_TYPE}' AS model_type FROM en""",
+        "enrich_rank": we + """SELECT request_id, player_id, team_no, fp_pred, name, CAST(predicted_rank AS INTEGER) AS predicted_rank,
+  ROUND(percentile, 6) AS percentile FROM en""",
         "enrich_confidence": we + "SELECT request_id, player_id, team_no, ROUND(prediction_confidence, 6) AS prediction_confidence FROM en",
         "enrich_credits": we + "SELECT request_id, player_id, team_no, role, ROUND(credits, 6) AS credits FROM en",
         "enrich_category": we + "SELECT request_id, player_id, team_no, variance_category FROM en",
@@ -210,7 +230,8 @@ t AS (SELECT p.request_id,
   tier_high_variance, tier_above_average, tier_average, tier_below_average, tier_low_variance
 FROM q JOIN t USING (request_id)""",
         "top_players": wp + """SELECT * FROM (SELECT request_id, player_id, team_no, fp_pred,
-  ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY fp_pred DESC, player_id) AS rank FROM predictions) WHERE rank <= 15""",
+  CAST(ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY fp_pred DESC, player_id) AS INTEGER) AS rank FROM predictions)
+  WHERE rank <= 15""",
         "dedupe_candidates": wd + "SELECT request_id, player_id, team_no, fp_pred, starting_probability, role, n_copies FROM dd",
         "standardize_roles": wp + """SELECT request_id, player_id, role,
   CASE WHEN UPPER(COALESCE(role, 'NONE')) LIKE '%WK%' OR UPPER(COALESCE(role, 'NONE')) LIKE '%KEEPER%'

@@ -176,7 +176,7 @@ pd AS (SELECT order_id, raw_date, CAST(CASE WHEN REGEXP_FULL_MATCH(TRIM(raw_date
     anchors_cols = """SELECT match_id, player_id, match_date, team_id, fantasy_points, CAST(match_date - 1 AS DATE) AS cutoff_date,
   ground_id AS venue_id, opposition_id FROM innings"""
     return {
-        "clean_dates": with_views(extra=raw) + """SELECT order_id, raw_date, parsed_date, YEAR(parsed_date) AS year,
+        "clean_dates": with_views(extra=raw) + """SELECT order_id, raw_date, parsed_date, CAST(YEAR(parsed_date) AS INTEGER) AS year,
   CAST(parsed_date - 1 AS DATE) AS day_before, parsed_date IS NOT NULL AS valid FROM pd""",
         "conform_columns": with_views("venue_stats") + """SELECT CAST(venue_id AS BIGINT) AS venue_id,
   CAST(160 AS DOUBLE) AS average_runs_venue, CAST(8.0 AS DOUBLE) AS runs_per_over_venue,
@@ -190,10 +190,10 @@ FROM matchstat""",
         "clean_profile_keys": with_views("profiles") + r"""SELECT CAST(TRUNC(TRY_CAST(TRIM(player_id) AS DOUBLE)) AS BIGINT) AS player_id,
   REGEXP_REPLACE(TRIM(name), '\s+', ' ', 'g') AS name, TRIM(role) AS role, UPPER(role) AS role_upper
 FROM profiles WHERE TRIM(player_id) <> 'nan' AND TRY_CAST(TRIM(player_id) AS DOUBLE) IS NOT NULL""",
-        "dataset_profile": with_views("innings") + """SELECT YEAR(match_date) AS year, COUNT(*) AS n_rows,
+        "dataset_profile": with_views("innings") + """SELECT CAST(YEAR(match_date) AS INTEGER) AS year, COUNT(*) AS n_rows,
   COUNT(DISTINCT player_id) AS n_players, COUNT(DISTINCT match_id) AS n_matches, MIN(match_date) AS first_date,
   MAX(match_date) AS last_date, COUNT(CASE WHEN fantasy_points IS NULL THEN 1 END) AS null_points,
-  COUNT(CASE WHEN runs_batting IS NULL THEN 1 END) AS null_runs FROM innings GROUP BY YEAR(match_date)""",
+  COUNT(CASE WHEN runs_batting IS NULL THEN 1 END) AS null_runs FROM innings GROUP BY CAST(YEAR(match_date) AS INTEGER)""",
         "training_anchors": with_views("innings") + anchors_cols + f"""
   WHERE fantasy_points IS NOT NULL AND match_date IS NOT NULL AND match_date < DATE '{TRAIN_CUTOFF}'""",
         "test_anchors": with_views("innings") + anchors_cols + f"""

@@ -208,7 +208,7 @@ FROM sel""",
   AND n_team1 <= 7 AND n_team2 <= 7 AS valid
 FROM (SELECT request_id, COUNT(*) AS n_players, COUNT(DISTINCT player_id) AS n_unique,
   COUNT(CASE WHEN cr = 1 THEN 1 END) AS n_captain, COUNT(CASE WHEN cr = 2 THEN 1 END) AS n_vice,
-  0 AS n_both, COUNT(CASE WHEN team_no = 1 THEN 1 END) AS n_team1, COUNT(CASE WHEN team_no = 2 THEN 1 END) AS n_team2,
+  CAST(0 AS BIGINT) AS n_both, COUNT(CASE WHEN team_no = 1 THEN 1 END) AS n_team1, COUNT(CASE WHEN team_no = 2 THEN 1 END) AS n_team2,
   {role_counts} FROM cap2 GROUP BY request_id)""",
         "team_report": w + f"""SELECT request_id, ROUND(SUM(fp_pred), 6) AS total_points,
   ROUND(SUM(fp_pred * starting_probability), 6) AS weighted_points,

@@ -42,7 +42,27 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
-def compare(spark_df, sql: str, con) -> tuple[bool, str]:
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "date": "DATE", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                  "float": "FLOAT", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_diffs(spark_df, sql: str, con) -> list[str]:
+    rel = con.sql(sql)
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out = []
+    for c, t in spark_df.dtypes:
+        want = _SPARK_TO_DUCK.get(t, t.upper())
+        if duck_types.get(c) != want:
+            out.append(f"{c}: spark={t} duck={duck_types.get(c)}")
+    return out
+
+
+def compare(spark_df, sql: str, con, check_types: bool = True) -> tuple[bool, str]:
+    if check_types:
+        diffs = type_diffs(spark_df, sql, con)
+        if diffs:
+            return False, "types differ: " + "; ".join(diffs)
     s = spark_df.toPandas()
     d = con.execute(sql).fetchdf()
     if sorted(s.columns) != sorted(d.columns):
