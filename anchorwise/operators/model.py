@@ -41,8 +41,13 @@ def _clean_sql(features: list[str]) -> str:
     return f"SELECT *, {', '.join(exprs)} FROM __THIS__"
 
 
-def build_pipeline(features: list[str] = FEATURES, label: str = "fantasy_points", **gbt) -> Pipeline:
+def build_pipeline(features: list[str] = FEATURES, label: str = "fantasy_points", validation_col: str | None = None,
+                   **gbt) -> Pipeline:
+    """P14 -> assembler (carries the feature list) -> GBT. With ``validation_col`` (M6) rows flagged
+    true are held out for early stopping (``validationTol``) instead of being trained on."""
     params = {**GBT_DEFAULTS, **gbt}
+    if validation_col:
+        params["validationIndicatorCol"] = validation_col
     return Pipeline(stages=[
         SQLTransformer(statement=_clean_sql(features)),
         VectorAssembler(inputCols=[f"{f}__x" for f in features], outputCol="features"),
@@ -119,16 +124,25 @@ class TrainResult:
 
 
 def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points", n_splits: int = N_SPLITS,
-          key: tuple[str, ...] = ("match_id", "player_id"), cv: bool = True, **gbt) -> TrainResult:
-    """M4 + M5 + M10 + M11: forward-chaining CV (optional), final fit on everything, metrics record."""
+          key: tuple[str, ...] = ("match_id", "player_id"), cv: bool = True, early_stopping: bool = False,
+          **gbt) -> TrainResult:
+    """M4 + M5 + M10 + M11: forward-chaining CV (optional), final fit on everything, metrics record.
+
+    ``early_stopping`` (M6): each fold's model stops on its own test block (the reference's
+    eval set); the final model has no held-out block and trains all rounds.
+    """
     rows = training_rows(features, label)
     folded = time_series_folds(rows, n_splits).checkpoint()  # reliable, in spark.checkpoint.dir
     pipe = build_pipeline(label=label, **gbt)
+    fold_pipe = build_pipeline(label=label, validation_col="_is_val", **gbt) if early_stopping else pipe
     cv_parts = []
     for f in range(n_splits if cv else 0):
         tr = folded.where((F.col("first_train_fold") >= 0) & (F.col("first_train_fold") <= f))
         te = folded.where(F.col("test_fold") == f)
-        m = pipe.fit(tr)
+        if early_stopping:
+            m = fold_pipe.fit(tr.withColumn("_is_val", F.lit(False)).unionByName(te.withColumn("_is_val", F.lit(True))))
+        else:
+            m = pipe.fit(tr)
         p = predict(m, te).select(F.col(label).alias("y"), F.col("predicted_fantasy_points").alias("yhat"))
         cv_parts.append(regression_metrics(p).withColumn("fold", F.lit(f)))
     model = pipe.fit(folded)

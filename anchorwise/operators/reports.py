@@ -97,8 +97,16 @@ def quality_report(df: DataFrame, score: str = "fp_pred", part: str = "request_i
     )
 
 
+# Columns the feature groups read from the innings table (P6 reports absent ones).
+EXPECTED_INNINGS_COLUMNS = ["player_id", "match_id", "match_date", "team_id", "opposition_id", "ground_id",
+                            "runs_batting", "fours", "sixes", "balls_faced", "out", "wickets_taken",
+                            "runs_conceded", "innings_bowling", "fantasy_points"]
+
+
 def dataset_profile(innings: DataFrame) -> DataFrame:
-    """Rows, players, matches, date range and null counts per year (null dates in their own row)."""
+    """Rows, players, matches, date range and null counts per year (null dates in their own
+    row), plus the expected columns the table lacks."""
+    missing = ",".join(c for c in EXPECTED_INNINGS_COLUMNS if c not in innings.columns)
     return innings.groupBy(F.year("match_date").alias("year")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("player_id").alias("n_players"),
@@ -107,4 +115,4 @@ def dataset_profile(innings: DataFrame) -> DataFrame:
         F.max("match_date").alias("last_date"),
         F.count(F.when(F.col("fantasy_points").isNull(), 1)).alias("null_points"),
         F.count(F.when(F.col("runs_batting").isNull(), 1)).alias("null_runs"),
-    )
+    ).withColumn("missing_expected_columns", F.lit(missing))

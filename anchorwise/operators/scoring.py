@@ -136,6 +136,10 @@ class Rule:
     priority: int = 0
 
 
+def _num(x) -> float | None:
+    return None if x is None else float(x)
+
+
 def flatten_rules(doc: dict) -> list[Rule]:
     """Nested rule document -> flat rule list, in document order."""
     out: list[Rule] = []
@@ -144,17 +148,17 @@ def flatten_rules(doc: dict) -> list[Rule]:
             out.append(Rule(section, "linear", f"{section}_direct", r["name"], r["column"], points=float(r["points_per_unit"])))
         for grp in ("milestones", "wicket_bonuses"):
             for i, r in enumerate(body.get(grp, [])):
-                out.append(Rule(section, "band", grp, r["name"], r["column"], r.get("min"), r.get("max"), float(r["points"]),
+                out.append(Rule(section, "band", grp, r["name"], r["column"], _num(r.get("min")), _num(r.get("max")), float(r["points"]),
                                 priority=i))
         if "strike_rate" in body:
             sr = body["strike_rate"]
             for i, r in enumerate(sr["ranges"]):
-                out.append(Rule(section, "rate_band", "strike_rate", "Strike Rate", STRIKE_RATE, r.get("min"), r.get("max"),
+                out.append(Rule(section, "rate_band", "strike_rate", "Strike Rate", STRIKE_RATE, _num(r.get("min")), _num(r.get("max")),
                                 float(r["points"]), sr["column_balls"], float(sr["min_balls"]), priority=i))
         if "economy_rate" in body:
             er = body["economy_rate"]
             for i, r in enumerate(er["ranges"]):
-                out.append(Rule(section, "rate_band", "economy_rate", "Economy Rate", ECONOMY, r.get("min"), r.get("max"),
+                out.append(Rule(section, "rate_band", "economy_rate", "Economy Rate", ECONOMY, _num(r.get("min")), _num(r.get("max")),
                                 float(r["points"]), er["columns"]["overs_bowled"], float(er["min_overs"]), priority=i))
         if "duck" in body:
             d = body["duck"]
@@ -182,6 +186,16 @@ def read_rules_json(spark: SparkSession, path: str) -> DataFrame:
     return rules_frame(spark, doc)
 
 
+def rules_from_frame(rules: DataFrame) -> list[Rule]:
+    """The rules table back as compile-time rules (a rule document is small by construction)."""
+    out = []
+    for r in rules.orderBy("section", "rule_group", "priority").collect():
+        out.append(Rule(r["section"], r["kind"], r["rule_group"], r["name"], r["column"], r["min"], r["max"],
+                        r["points"], r["guard_column"], r["guard_min"],
+                        tuple(r["roles"]) if r["roles"] is not None else None, r["priority"]))
+    return out
+
+
 def _rate(rule_column: str) -> Column:
     if rule_column == STRIKE_RATE:
         return F.col("runs_batting").cast("double") * F.lit(100) / F.col("balls_faced")

@@ -71,6 +71,32 @@ def save_load_model(spark, sf):
     return M.predict(loaded, test).select("match_id", "player_id", "predicted_fantasy_points")
 
 
+def predict_requests(spark, sf):
+    """Requests -> anchors + 30 features (P10, M21, P11) -> model (M12) -> enrichment."""
+    from .prep_queries import prediction_features
+
+    feats = prediction_features(spark, sf)
+    p = M.predict(_trained(spark, sf).model, feats).withColumn("fp_pred", F.col("predicted_fantasy_points"))
+    e = EN.enrich_predictions(p.select("request_id", "player_id", "team_no", "predicted_fantasy_points", "fp_pred"),
+                              fx.profiles(spark, sf))
+    return e.select("request_id", "player_id", "team_no", "predicted_fantasy_points", "fp_pred", "role", "name",
+                    "prediction_confidence", "credits", "predicted_rank", "percentile", "variance_category")
+
+
+def pick_teams(spark, sf):
+    """The whole flow: predictions of every request -> starting probability from the innings
+    -> candidates (W10, P17, F3, G1) -> exact selection (G2) -> captains (W14)."""
+    from ..operators import selection as SEL
+
+    inn = fx.innings(spark, sf)
+    preds = predict_requests(spark, sf).join(
+        fx.requests(spark, sf).select("request_id", "cutoff_date").distinct(), "request_id")
+    cands = SEL.selection_candidates(SEL.starting_probability(inn, preds))
+    team = SEL.captains(SEL.select_teams(spark, cands))
+    return team.select("request_id", "player_id", "team_no", "role", "role_std", "fp_pred", "starting_probability",
+                       "prediction_confidence", "captain_score", "captain", "vice_captain")
+
+
 def _pred_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
     """Candidate scores joined to the innings actuals on the (match, player) key."""
     inn = fx.innings(spark, sf)
@@ -99,6 +125,8 @@ def ts_folds(spark, sf):
 
 
 QUERIES = {
+    "predict_requests": predict_requests,
+    "pick_teams": pick_teams,
     "train_predict": train_predict,
     "model_metrics": model_metrics,
     "cv_fold_metrics": cv_folds_metrics,

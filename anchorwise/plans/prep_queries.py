@@ -193,7 +193,8 @@ FROM profiles WHERE TRIM(player_id) <> 'nan' AND TRY_CAST(TRIM(player_id) AS DOU
         "dataset_profile": with_views("innings") + """SELECT CAST(YEAR(match_date) AS INTEGER) AS year, COUNT(*) AS n_rows,
   COUNT(DISTINCT player_id) AS n_players, COUNT(DISTINCT match_id) AS n_matches, MIN(match_date) AS first_date,
   MAX(match_date) AS last_date, COUNT(CASE WHEN fantasy_points IS NULL THEN 1 END) AS null_points,
-  COUNT(CASE WHEN runs_batting IS NULL THEN 1 END) AS null_runs FROM innings GROUP BY CAST(YEAR(match_date) AS INTEGER)""",
+  COUNT(CASE WHEN runs_batting IS NULL THEN 1 END) AS null_runs, '' AS missing_expected_columns
+FROM innings GROUP BY CAST(YEAR(match_date) AS INTEGER)""",
         "training_anchors": with_views("innings") + anchors_cols + f"""
   WHERE fantasy_points IS NOT NULL AND match_date IS NOT NULL AND match_date < DATE '{TRAIN_CUTOFF}'""",
         "test_anchors": with_views("innings") + anchors_cols + f"""

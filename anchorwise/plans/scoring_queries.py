@@ -34,8 +34,15 @@ def score_explained(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def score_rule_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines and points per rule over all stat lines (partial aggregation per rule)."""
-    ex = S.explain_scores(fx.stat_lines(spark, sf), KEY)
+    """Lines and points per rule over all stat lines, with the rules read from a JSON document."""
+    import json
+
+    from ..sources.sinks import output_path
+
+    path = output_path(spark, "rules")
+    spark.createDataFrame([(json.dumps(S.SCORING_RULES),)], "value string").coalesce(1).write.text(path)
+    rules = S.rules_from_frame(S.read_rules_json(spark, path))
+    ex = S.explain_scores(fx.stat_lines(spark, sf), KEY, rules)
     agg = ex.groupBy("rule").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("points").alias("points"))
     return agg
 
