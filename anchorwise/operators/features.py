@@ -168,16 +168,18 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K) ->
     )
     carry = carry.join(prev, ["player_id", "_yr"], "left")
 
-    # venue counts per (player, ground, season): prior seasons carried, all seasons for the career count
-    vseason = facts.where(F.col("_g").isNotNull()).groupBy("player_id", "_g", "_yr").agg(
-        F.count(F.lit(1)).alias("n"))
+    # venue counts per (player, ground, season): prior seasons carried, all rows for the career
+    # count (which, like the reference's, also counts rows whose date did not parse: season null)
+    vseason = innings.where(F.col("ground_id").isNotNull()).groupBy(
+        "player_id", F.col("ground_id").alias("_g"), F.year("match_date").alias("_yr")).agg(F.count(F.lit(1)).alias("n"))
     vkeys = anchors.where(F.col("venue_id").isNotNull()).select(
         "player_id", F.col("venue_id").alias("_g"), F.year("cutoff_date").alias("_yr")).distinct()
     vu = asof.stack(vseason, vkeys)
     wv = Window.partitionBy("player_id", "_g")
     venue = vu.select(
         "player_id", "_g", "_yr", "_kind",
-        F.sum("n").over(wv.orderBy("_yr", "_kind").rowsBetween(Window.unboundedPreceding, -1)).alias("_venue_prior_seasons"),
+        F.sum(F.when(F.col("_yr").isNotNull(), F.col("n"))).over(
+            wv.orderBy("_yr", "_kind").rowsBetween(Window.unboundedPreceding, -1)).alias("_venue_prior_seasons"),
         F.sum("n").over(wv).alias("_venue_career"),
     ).where(F.col("_kind") == asof.ANCHOR).drop("_kind")
 

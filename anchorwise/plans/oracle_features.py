@@ -142,6 +142,15 @@ PROVENANCE = """SELECT feature_group, source, COUNT(*) AS n_anchors FROM (
      FROM a LEFT JOIN venue_stats v ON v.venue_id = a.venue_id
 ) GROUP BY feature_group, source"""
 
+ALL_SELECT = """SELECT a.match_id, a.player_id, a.match_date, a.cutoff AS cutoff_date,
+  rf.* EXCLUDE (match_id, player_id), ar.* EXCLUDE (match_id, player_id),
+  bb.* EXCLUDE (match_id, player_id, ball_valid), op.* EXCLUDE (match_id, player_id),
+  vn.* EXCLUDE (match_id, player_id, venue_valid), vx.* EXCLUDE (match_id, player_id),
+  (bb.ball_valid AND vn.venue_valid) AS is_valid
+FROM a JOIN rf USING (match_id, player_id) JOIN ar USING (match_id, player_id) JOIN bb USING (match_id, player_id)
+JOIN op USING (match_id, player_id) JOIN vn USING (match_id, player_id) JOIN vx USING (match_id, player_id)"""
+ALL_CTES = [RECENT, ARCHETYPE, BALL, OPPOSITION, VENUE, VENUE_EXP]
+
 _BASE = ("innings", "deliveries", "matchstat", "venue_stats")
 
 
@@ -152,13 +161,7 @@ def _q(ctes: list[str], select: str) -> str:
 def oracles() -> dict[str, str]:
     rf_cols = ", ".join([f"runs_match_{i}_ago" for i in (1, 2, 3)] + [f"wickets_match_{i}_ago" for i in (1, 2, 3)]
                         + [f"was_out_match_{i}_ago" for i in (1, 2, 3)] + ["data_availability"])
-    all_sel = """SELECT a.match_id, a.player_id, a.match_date, a.cutoff AS cutoff_date,
-  rf.* EXCLUDE (match_id, player_id), ar.* EXCLUDE (match_id, player_id),
-  bb.* EXCLUDE (match_id, player_id, ball_valid), op.* EXCLUDE (match_id, player_id),
-  vn.* EXCLUDE (match_id, player_id, venue_valid), vx.* EXCLUDE (match_id, player_id),
-  (bb.ball_valid AND vn.venue_valid) AS is_valid
-FROM a JOIN rf USING (match_id, player_id) JOIN ar USING (match_id, player_id) JOIN bb USING (match_id, player_id)
-JOIN op USING (match_id, player_id) JOIN vn USING (match_id, player_id) JOIN vx USING (match_id, player_id)"""
+    all_sel = ALL_SELECT
     all_ctes = [RECENT, ARCHETYPE, BALL, OPPOSITION, VENUE, VENUE_EXP]
     return {
         "recent_form": _q([RECENT], f"SELECT match_id, player_id, {rf_cols} FROM rf"),
