@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -135,8 +136,8 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
     folded = time_series_folds(rows, n_splits).checkpoint()  # reliable, in spark.checkpoint.dir
     pipe = build_pipeline(label=label, **gbt)
     fold_pipe = build_pipeline(label=label, validation_col="_is_val", **gbt) if early_stopping else pipe
-    cv_parts = []
-    for f in range(n_splits if cv else 0):
+
+    def fit_fold(f: int) -> DataFrame:
         tr = folded.where((F.col("first_train_fold") >= 0) & (F.col("first_train_fold") <= f))
         te = folded.where(F.col("test_fold") == f)
         if early_stopping:
@@ -144,8 +145,15 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
         else:
             m = pipe.fit(tr)
         p = predict(m, te).select(F.col(label).alias("y"), F.col("predicted_fantasy_points").alias("yhat"))
-        cv_parts.append(regression_metrics(p).withColumn("fold", F.lit(f)))
-    model = pipe.fit(folded)
+        r = regression_metrics(p).withColumn("fold", F.lit(f))
+        return spark.createDataFrame(r.collect(), r.schema)  # one metrics row per fold, kept with its fold
+
+    # the folds and the final fit are independent: fit them concurrently, Spark interleaves their
+    # jobs on the executors (small per-iteration GBT jobs otherwise leave most cores idle)
+    with ThreadPoolExecutor(max_workers=(n_splits if cv else 0) + 1) as pool:
+        final_fit = pool.submit(pipe.fit, folded)
+        cv_parts = list(pool.map(fit_fold, range(n_splits))) if cv else []
+        model = final_fit.result()
     if not cv_parts:
         final = regression_metrics(predict(model, folded).select(
             F.col(label).alias("y"), F.col("predicted_fantasy_points").alias("yhat")))
@@ -159,7 +167,8 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
     cv_sum = cv.agg(F.avg("rmse").alias("cv_mean_rmse"), (F.stddev_pop("rmse") * 2).alias("cv_rmse_2std"),
                     F.avg("variance_score").alias("cv_mean_variance_score"),
                     (F.stddev_pop("variance_score") * 2).alias("cv_variance_2std"))
-    metrics = final.crossJoin(cv_sum).withColumn("feature_count", F.lit(len(FEATURES)))
+    metrics = final.withColumn("_one", F.lit(1)).join(cv_sum.withColumn("_one", F.lit(1)), "_one").drop("_one") \
+        .withColumn("feature_count", F.lit(len(FEATURES)))
     return TrainResult(model, metrics, cv, feature_importance(spark, model))
 
 
