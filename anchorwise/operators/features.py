@@ -353,10 +353,10 @@ def with_venue(a: DataFrame, venue_stats: DataFrame | None) -> DataFrame:
     # deduplicate the dimension on its key (first row by a deterministic order)
     w = Window.partitionBy("venue_id").orderBy(*[F.col(c).asc_nulls_last() for c in src_cols])
     vs = venue_stats.select("venue_id", *src_cols).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-    # dimension-wide means (J6): a one-row aggregate, attached by an equi-join on a constant key
-    means = venue_stats.agg(*[F.avg(c).alias(f"_avg_{c}") for c in src_cols]).withColumn("_one", F.lit(1))
+    # dimension-wide means (J6): scalar subqueries (one partial-aggregated value each), no join
+    means = {c: venue_stats.select(F.avg(c)).scalar() for c in src_cols}
     v = vs.select(F.col("venue_id"), F.lit(True).alias("_vhit"), *[F.col(c).alias(f"_v_{c}") for c in src_cols])
-    a = a.join(v, "venue_id", "left").withColumn("_one", F.lit(1)).join(F.broadcast(means), "_one").drop("_one")
+    a = a.join(v, "venue_id", "left").select("*", *[means[c].alias(f"_avg_{c}") for c in src_cols])
     hit = F.col("_vhit").isNotNull()
     cols = [F.when(hit, F.col(f"_v_{c}")).otherwise(F.col(f"_avg_{c}")).cast("int").alias(n) for n, c in zip(names, src_cols)]
     ok = F.lit(True)

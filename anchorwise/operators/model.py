@@ -167,8 +167,8 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
     cv_sum = cv.agg(F.avg("rmse").alias("cv_mean_rmse"), (F.stddev_pop("rmse") * 2).alias("cv_rmse_2std"),
                     F.avg("variance_score").alias("cv_mean_variance_score"),
                     (F.stddev_pop("variance_score") * 2).alias("cv_variance_2std"))
-    metrics = final.withColumn("_one", F.lit(1)).join(cv_sum.withColumn("_one", F.lit(1)), "_one").drop("_one") \
-        .withColumn("feature_count", F.lit(len(FEATURES)))
+    metrics = final.select("*", *[cv_sum.select(c).scalar().alias(c) for c in cv_sum.columns],
+                           F.lit(len(FEATURES)).alias("feature_count"))
     return TrainResult(model, metrics, cv, feature_importance(spark, model))
 
 
