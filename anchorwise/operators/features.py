@@ -95,44 +95,61 @@ def _facts(innings: DataFrame) -> DataFrame:
     )
 
 
-def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K) -> DataFrame:
+def _bucket(d: Column, bucket: str) -> Column:
+    """Window bucket of a day; buckets nest inside seasons (calendar years)."""
+    if bucket == "season":
+        return F.year(d)
+    if bucket == "month":
+        return F.year(d) * 12 + F.month(d) - 1
+    raise ValueError(f"bucket must be 'season' or 'month', not {bucket!r}")
+
+
+def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bucket: str = "month") -> DataFrame:
     """Per anchor: last-k records, history count, season aggregates, venue counts.
 
     Adds ``_hist`` (ascending array of the last k records), ``_n`` (facts
     before the cutoff), ``_cur_*`` (this season before the cutoff), ``_prev_*``
     (whole previous season), ``_venue_prior`` and ``_venue_career``.
+
+    The stacked facts + anchors are shuffled once on (player, bucket), so even
+    a player holding a large share of all rows is spread over one window
+    partition per month. Everything before the anchor's bucket comes from a
+    per-(player, bucket) table built from the facts alone: the last k records
+    (per-group top-k, limited before its shuffle), counts, and season-to-date
+    aggregates (count, max, min, over/under counts merge across buckets).
     """
-    facts = _facts(innings)
+    facts = _facts(innings).withColumn("_b", _bucket(F.col("_t"), bucket))
     anc = anchors.select(
         "*",
         F.year("cutoff_date").alias("_yr"),
+        _bucket(F.col("cutoff_date"), bucket).alias("_b"),
         F.col("cutoff_date").alias("_t"),
         F.col("venue_id").alias("_g"),
     )
-    part = ["player_id", "_yr"]
+    part = ["player_id", "_b"]
     u = asof.stack(facts, anc).withColumn("_ord", asof.fact_ordinal(part, _BEFORE_ORDER))
     # at an anchor, ordinals <= its own are exactly the facts before it: the aggregates share the
     # ordinal ordering (and its sort) with the last-k collection
     wb = Window.partitionBy(*part).orderBy("_ord").rangeBetween(Window.unboundedPreceding, 0)
-    wg = asof.strictly_before(["player_id", "_yr", "_g"], _BEFORE_ORDER)
+    wg = asof.strictly_before(["player_id", "_b", "_g"], _BEFORE_ORDER)
     fp = F.col("_fp")
     u = u.select(
         "*",
         asof.last_k_by_ordinal("_rec", part, k).alias("_in_hist"),
-        F.count("_rec").over(wb).alias("_cur_rows"),
-        F.count(fp).over(wb).alias("_cur_pts"),
-        F.max(fp).over(wb).alias("_cur_max"),
-        F.min(fp).over(wb).alias("_cur_min"),
-        F.count(F.when(fp > HIGH_SCORE, 1)).over(wb).alias("_cur_over"),
-        F.count(F.when(fp < LOW_SCORE, 1)).over(wb).alias("_cur_under"),
-        F.count("_rec").over(wg).alias("_venue_in_season"),
+        F.count("_rec").over(wb).alias("_bk_rows"),
+        F.count(fp).over(wb).alias("_bk_pts"),
+        F.max(fp).over(wb).alias("_bk_max"),
+        F.min(fp).over(wb).alias("_bk_min"),
+        F.count(F.when(fp > HIGH_SCORE, 1)).over(wb).alias("_bk_over"),
+        F.count(F.when(fp < LOW_SCORE, 1)).over(wb).alias("_bk_under"),
+        F.count("_rec").over(wg).alias("_venue_in_bucket"),
     )
     anchor_rows = u.where(F.col("_kind") == asof.ANCHOR).drop("_kind", "_rec", "_fp", "_tb")
 
-    # one row per (player, season), from the facts alone: counts by partial aggregation,
-    # the season's last k records by a per-group top-k (Spark applies WindowGroupLimit
+    # one row per (player, bucket), from the facts alone: counts by partial aggregation,
+    # the bucket's last k records by a per-group top-k (Spark applies WindowGroupLimit
     # before the shuffle, so at most k rows per group and input partition move)
-    stats = facts.groupBy("player_id", "_yr").agg(
+    stats = facts.groupBy("player_id", "_yr", "_b").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(fp).alias("pts"),
         F.max(fp).alias("mx"),
@@ -140,58 +157,73 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K) ->
         F.count(F.when(fp > HIGH_SCORE, 1)).alias("over"),
         F.count(F.when(fp < LOW_SCORE, 1)).alias("under"),
     )
-    wlast = Window.partitionBy("player_id", "_yr").orderBy(F.col("_t").desc(), F.col("_tb").desc())
-    tails = facts.withColumn("_rn", F.row_number().over(wlast)).where(F.col("_rn") <= k).groupBy("player_id", "_yr").agg(
+    wlast = Window.partitionBy("player_id", "_b").orderBy(F.col("_t").desc(), F.col("_tb").desc())
+    tails = facts.withColumn("_rn", F.row_number().over(wlast)).where(F.col("_rn") <= k).groupBy("player_id", "_b").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_t", "_tb", "_rec"))), lambda x: x["_rec"]).alias("tail"))
-    season = stats.join(tails, ["player_id", "_yr"])
-    ws = Window.partitionBy("player_id").orderBy("_yr")
-    cum = season.select(
+    buckets = stats.join(tails, ["player_id", "_b"])
+    ws = Window.partitionBy("player_id").orderBy("_b")
+    wsy = Window.partitionBy("player_id", "_yr").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    cum = buckets.select(
         "player_id",
-        "_yr",
+        "_b",
         asof.last_k(F.flatten(F.collect_list("tail").over(ws.rowsBetween(-(k - 1), 0))), k).alias("cum_tail"),
         F.sum("rows").over(ws.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_n"),
+        F.struct(  # season to date, through this bucket
+            F.col("_yr").alias("yr"),
+            F.sum("rows").over(wsy).alias("rows"),
+            F.sum("pts").over(wsy).alias("pts"),
+            F.max("mx").over(wsy).alias("mx"),
+            F.min("mn").over(wsy).alias("mn"),
+            F.sum("over").over(wsy).alias("over"),
+            F.sum("under").over(wsy).alias("under"),
+        ).alias("cum_season"),
     )
-    keys = anchors.select("player_id", F.year("cutoff_date").alias("_yr")).distinct()
+    keys = anchors.select("player_id", _bucket(F.col("cutoff_date"), bucket).alias("_b")).distinct()
     carry = asof.carry_pick(
-        cum, keys, ["player_id"], "_yr",
-        {"_carry_tail": F.last("cum_tail", ignorenulls=True), "_carry_n": F.last("cum_n", ignorenulls=True)},
-    )
-    prev = season.select(
-        "player_id",
-        (F.col("_yr") + 1).alias("_yr"),
-        F.col("rows").alias("_prev_rows"),
-        F.col("pts").alias("_prev_pts"),
-        F.col("mx").alias("_prev_max"),
-        F.col("mn").alias("_prev_min"),
-        F.col("over").alias("_prev_over"),
-        F.col("under").alias("_prev_under"),
+        cum, keys, ["player_id"], "_b",
+        {"_carry_tail": F.last("cum_tail", ignorenulls=True), "_carry_n": F.last("cum_n", ignorenulls=True),
+         "_carry_season": F.last("cum_season", ignorenulls=True)},
     )
-    carry = carry.join(prev, ["player_id", "_yr"], "left")
-
-    # venue counts per (player, ground, season): prior seasons carried, all rows for the career
-    # count (which, like the reference's, also counts rows whose date did not parse: season null)
-    vseason = innings.where(F.col("ground_id").isNotNull()).groupBy(
-        "player_id", F.col("ground_id").alias("_g"), F.year("match_date").alias("_yr")).agg(F.count(F.lit(1)).alias("n"))
+    season = stats.groupBy("player_id", "_yr").agg(
+        F.sum("rows").alias("_prev_rows"), F.sum("pts").alias("_prev_pts"), F.max("mx").alias("_prev_max"),
+        F.min("mn").alias("_prev_min"), F.sum("over").alias("_prev_over"), F.sum("under").alias("_prev_under"))
+    prev = season.withColumn("_yr", F.col("_yr") + 1)
+
+    # venue counts per (player, ground, bucket): earlier buckets carried, all rows for the career
+    # count (which, like the reference's, also counts rows whose date did not parse: bucket null)
+    vb = innings.where(F.col("ground_id").isNotNull()).groupBy(
+        "player_id", F.col("ground_id").alias("_g"), _bucket(F.col("match_date"), bucket).alias("_b")).agg(
+        F.count(F.lit(1)).alias("n"))
     vkeys = anchors.where(F.col("venue_id").isNotNull()).select(
-        "player_id", F.col("venue_id").alias("_g"), F.year("cutoff_date").alias("_yr")).distinct()
-    vu = asof.stack(vseason, vkeys)
+        "player_id", F.col("venue_id").alias("_g"), _bucket(F.col("cutoff_date"), bucket).alias("_b")).distinct()
+    vu = asof.stack(vb, vkeys)
     wv = Window.partitionBy("player_id", "_g")
     venue = vu.select(
-        "player_id", "_g", "_yr", "_kind",
-        F.sum(F.when(F.col("_yr").isNotNull(), F.col("n"))).over(
-            wv.orderBy("_yr", "_kind").rowsBetween(Window.unboundedPreceding, -1)).alias("_venue_prior_seasons"),
+        "player_id", "_g", "_b", "_kind",
+        F.sum(F.when(F.col("_b").isNotNull(), F.col("n"))).over(
+            wv.orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, -1)).alias("_venue_prior_buckets"),
         F.sum("n").over(wv).alias("_venue_career"),
     ).where(F.col("_kind") == asof.ANCHOR).drop("_kind")
 
-    a = anchor_rows.join(carry, ["player_id", "_yr"], "left").join(venue, ["player_id", "_g", "_yr"], "left")
+    a = (anchor_rows.join(carry, ["player_id", "_b"], "left").join(prev, ["player_id", "_yr"], "left")
+         .join(venue, ["player_id", "_g", "_b"], "left"))
     empty = F.array().cast(a.schema["_in_hist"].dataType)
     hist = asof.last_k(F.concat(F.coalesce("_carry_tail", empty), F.col("_in_hist")), k)
+    cs = F.when(F.col("_carry_season.yr") == F.col("_yr"), F.col("_carry_season"))  # same season only
+
     return a.select(
-        *[c for c in a.columns if not c.startswith("_carry") and c not in ("_in_hist", "_venue_prior_seasons")],
+        *[c for c in a.columns if not c.startswith(("_carry", "_bk_")) and c not in ("_in_hist", "_venue_prior_buckets",
+                                                                                    "_venue_in_bucket")],
         hist.alias("_hist"),
         (F.coalesce(F.col("_carry_n"), F.lit(0)) + F.col("_ord")).alias("_n"),
-        (F.coalesce(F.col("_venue_prior_seasons"), F.lit(0)) + F.col("_venue_in_season")).alias("_venue_prior"),
-    ).drop("_venue_in_season")
+        (F.coalesce(cs["rows"], F.lit(0)) + F.col("_bk_rows")).alias("_cur_rows"),
+        (F.coalesce(cs["pts"], F.lit(0)) + F.col("_bk_pts")).alias("_cur_pts"),
+        F.greatest(cs["mx"], F.col("_bk_max")).alias("_cur_max"),
+        F.least(cs["mn"], F.col("_bk_min")).alias("_cur_min"),
+        (F.coalesce(cs["over"], F.lit(0)) + F.col("_bk_over")).alias("_cur_over"),
+        (F.coalesce(cs["under"], F.lit(0)) + F.col("_bk_under")).alias("_cur_under"),
+        (F.coalesce(F.col("_venue_prior_buckets"), F.lit(0)) + F.col("_venue_in_bucket")).alias("_venue_prior"),
+    )
 
 
 def recent_form_columns(k: int = RECENT_K) -> list[Column]:

@@ -37,3 +37,14 @@ def test_defaults_for_players_without_history(spark):
     assert f["powerplay_boundaries_last_match"] == 2 and f["total_boundaries_last_match"] == 3
     assert f["opposition_runs_conceded_last_match"] == 160 and f["opposition_matches_won_last_5"] == 2
     assert f["player_career_matches_at_venue"] == 0 and f["is_valid"]
+
+
+def test_bucket_granularity_does_not_change_results(spark):
+    """Month buckets (hot players split finer) and season buckets give the same history."""
+    ds = fx.load_datasets(spark, SF0001)
+    anc = A.training_anchors(ds.innings)
+    cols = ["match_id", "player_id", "_n", "_hist", "_cur_rows", "_cur_pts", "_cur_max", "_cur_min", "_cur_over",
+            "_cur_under", "_prev_rows", "_prev_pts", "_venue_prior", "_venue_career"]
+    m = FE.player_history(ds.innings, anc, bucket="month").select(*cols)
+    s = FE.player_history(ds.innings, anc, bucket="season").select(*cols)
+    assert m.exceptAll(s).count() == 0 and s.exceptAll(m).count() == 0

@@ -17,9 +17,9 @@ def test_no_cartesian_or_nested_loop(spark, name):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_asof_pass_shuffles_on_player_and_season(spark):
+def test_asof_pass_shuffles_on_player_and_bucket(spark):
     p = _plan(E.queries()["recent_form"](spark, SF0001))
-    assert "hashpartitioning(player_id" in p and "_yr" in p.split("hashpartitioning(player_id", 1)[1].split(")")[0]
+    assert "hashpartitioning(player_id" in p and "_b" in p.split("hashpartitioning(player_id", 1)[1].split(")")[0]
 
 
 def test_scoring_is_one_projection(spark):
