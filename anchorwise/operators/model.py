@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clip
+from ..session import shared_dir
 from .features import FEATURES
 
 # Reference hyper-parameters mapped to Spark ML. xgboost's L1/L2 leaf penalties and
@@ -133,6 +134,7 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
     eval set); the final model has no held-out block and trains all rounds.
     """
     rows = training_rows(features, label)
+    shared_dir(spark)
     folded = time_series_folds(rows, n_splits).checkpoint()  # reliable, in spark.checkpoint.dir
     pipe = build_pipeline(label=label, **gbt)
     fold_pipe = build_pipeline(label=label, validation_col="_is_val", **gbt) if early_stopping else pipe

@@ -48,3 +48,16 @@ def test_bucket_granularity_does_not_change_results(spark):
     m = FE.player_history(ds.innings, anc, bucket="month").select(*cols)
     s = FE.player_history(ds.innings, anc, bucket="season").select(*cols)
     assert m.exceptAll(s).count() == 0 and s.exceptAll(m).count() == 0
+
+
+def test_absent_optional_tables_give_defaults(spark):
+    """No deliveries, results or venue table -> those feature groups use their defaults."""
+    ds = fx.load_datasets(spark, SF0001)
+    anc = A.training_anchors(ds.innings)
+    f = FE.build_features(anc, ds.innings, None, None, None, keep=["match_id", "player_id"])
+    bad = f.where(
+        (F.col("powerplay_boundaries_last_match") != 2) | (F.col("total_balls_faced_last_match") != 20)
+        | (F.col("venue_total_matches") != 50) | (F.col("venue_highest_score") != 200)
+        | (F.col("high_scoring_venue") != 0) | ~F.col("is_valid")
+        | ((F.col("opposition_matches_won_last_5") != 2) & (F.col("src_opposition") == "used_real_data")))
+    assert f.count() > 0 and bad.count() == 0
