@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-ANCHOR, FACT = 0, 1
+ANCHOR, FACT, CARRY = 0, 1, 2  # carry rows (state from earlier buckets) have a null time: they sort first
 
 
 def stack(facts: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def kth_latest(arr: Column, i: int) -> Column:
 
 def fact_ordinal(partition: Sequence[str], order: Sequence[str | Column]) -> Column:
     """Running count of facts up to the row; at an anchor: the number of facts before it."""
-    return F.sum("_kind").over(running(partition, order))
+    return F.sum(F.when(F.col("_kind") == FACT, 1).otherwise(0)).over(running(partition, order))
 
 
 def last_k_by_ordinal(value: str, partition: Sequence[str], k: int) -> Column:

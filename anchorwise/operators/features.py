@@ -111,12 +111,15 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
     before the cutoff), ``_cur_*`` (this season before the cutoff), ``_prev_*``
     (whole previous season), ``_venue_prior`` and ``_venue_career``.
 
-    The stacked facts + anchors are shuffled once on (player, bucket), so even
-    a player holding a large share of all rows is spread over one window
-    partition per month. Everything before the anchor's bucket comes from a
-    per-(player, bucket) table built from the facts alone: the last k records
-    (per-group top-k, limited before its shuffle), counts, and season-to-date
-    aggregates (count, max, min, over/under counts merge across buckets).
+    Facts, anchors and carry rows are stacked and shuffled ONCE on
+    (player, bucket); a bucket is a month by default, so even a player holding
+    a large share of all rows is spread over one window partition per month.
+    Everything before the anchor's bucket is computed on small per-(player,
+    bucket) tables from the facts alone (the last k records as a per-group
+    top-k limited before its shuffle; counts and season-to-date aggregates,
+    which merge across buckets) and enters the same pass as *carry rows*
+    keyed like the anchors' window partitions: the anchors pick them up from
+    the window frame, so the large anchor table is never joined again.
     """
     facts = _facts(innings).withColumn("_b", _bucket(F.col("_t"), bucket))
     anc = anchors.select(
@@ -126,29 +129,9 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
         F.col("cutoff_date").alias("_t"),
         F.col("venue_id").alias("_g"),
     )
-    part = ["player_id", "_b"]
-    u = asof.stack(facts, anc).withColumn("_ord", asof.fact_ordinal(part, _BEFORE_ORDER))
-    # at an anchor, ordinals <= its own are exactly the facts before it: the aggregates share the
-    # ordinal ordering (and its sort) with the last-k collection
-    wb = Window.partitionBy(*part).orderBy("_ord").rangeBetween(Window.unboundedPreceding, 0)
-    wg = asof.strictly_before(["player_id", "_b", "_g"], _BEFORE_ORDER)
     fp = F.col("_fp")
-    u = u.select(
-        "*",
-        asof.last_k_by_ordinal("_rec", part, k).alias("_in_hist"),
-        F.count("_rec").over(wb).alias("_bk_rows"),
-        F.count(fp).over(wb).alias("_bk_pts"),
-        F.max(fp).over(wb).alias("_bk_max"),
-        F.min(fp).over(wb).alias("_bk_min"),
-        F.count(F.when(fp > HIGH_SCORE, 1)).over(wb).alias("_bk_over"),
-        F.count(F.when(fp < LOW_SCORE, 1)).over(wb).alias("_bk_under"),
-        F.count("_rec").over(wg).alias("_venue_in_bucket"),
-    )
-    anchor_rows = u.where(F.col("_kind") == asof.ANCHOR).drop("_kind", "_rec", "_fp", "_tb")
 
-    # one row per (player, bucket), from the facts alone: counts by partial aggregation,
-    # the bucket's last k records by a per-group top-k (Spark applies WindowGroupLimit
-    # before the shuffle, so at most k rows per group and input partition move)
+    # ---- per-(player, bucket) tables from the facts: partial aggregates and a per-group top-k
     stats = facts.groupBy("player_id", "_yr", "_b").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(fp).alias("pts"),
@@ -178,9 +161,9 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
             F.sum("under").over(wsy).alias("under"),
         ).alias("cum_season"),
     )
-    keys = anchors.select("player_id", _bucket(F.col("cutoff_date"), bucket).alias("_b")).distinct()
+    keys = anc.select("player_id", "_b", "_yr").distinct()
     carry = asof.carry_pick(
-        cum, keys, ["player_id"], "_b",
+        cum, keys.drop("_yr"), ["player_id"], "_b",
         {"_carry_tail": F.last("cum_tail", ignorenulls=True), "_carry_n": F.last("cum_n", ignorenulls=True),
          "_carry_season": F.last("cum_season", ignorenulls=True)},
     )
@@ -188,14 +171,14 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
         F.sum("rows").alias("_prev_rows"), F.sum("pts").alias("_prev_pts"), F.max("mx").alias("_prev_max"),
         F.min("mn").alias("_prev_min"), F.sum("over").alias("_prev_over"), F.sum("under").alias("_prev_under"))
     prev = season.withColumn("_yr", F.col("_yr") + 1)
+    carry = carry.join(keys, ["player_id", "_b"]).join(prev, ["player_id", "_yr"], "left").drop("_yr")
 
     # venue counts per (player, ground, bucket): earlier buckets carried, all rows for the career
     # count (which, like the reference's, also counts rows whose date did not parse: bucket null)
     vb = innings.where(F.col("ground_id").isNotNull()).groupBy(
         "player_id", F.col("ground_id").alias("_g"), _bucket(F.col("match_date"), bucket).alias("_b")).agg(
         F.count(F.lit(1)).alias("n"))
-    vkeys = anchors.where(F.col("venue_id").isNotNull()).select(
-        "player_id", F.col("venue_id").alias("_g"), _bucket(F.col("cutoff_date"), bucket).alias("_b")).distinct()
+    vkeys = anc.where(F.col("_g").isNotNull()).select("player_id", "_g", "_b").distinct()
     vu = asof.stack(vb, vkeys)
     wv = Window.partitionBy("player_id", "_g")
     venue = vu.select(
@@ -205,12 +188,38 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
         F.sum("n").over(wv).alias("_venue_career"),
     ).where(F.col("_kind") == asof.ANCHOR).drop("_kind")
 
-    a = (anchor_rows.join(carry, ["player_id", "_b"], "left").join(prev, ["player_id", "_yr"], "left")
-         .join(venue, ["player_id", "_g", "_b"], "left"))
+    # ---- the one pass: facts + anchors + carry rows, shuffled once on (player, bucket)
+    u = (facts.withColumn("_kind", F.lit(asof.FACT))
+         .unionByName(anc.withColumn("_kind", F.lit(asof.ANCHOR)), allowMissingColumns=True)
+         .unionByName(carry.withColumn("_kind", F.lit(asof.CARRY)), allowMissingColumns=True)
+         .unionByName(venue.withColumn("_kind", F.lit(asof.CARRY)), allowMissingColumns=True))
+    part = ["player_id", "_b"]
+    u = u.withColumn("_ord", asof.fact_ordinal(part, _BEFORE_ORDER))
+    # at an anchor, ordinals <= its own are exactly the facts before it (and the carry rows, whose
+    # ordinal is 0): the aggregates and carry picks share the ordinal ordering and its sort
+    wb = Window.partitionBy(*part).orderBy("_ord").rangeBetween(Window.unboundedPreceding, 0)
+    wg = asof.strictly_before(["player_id", "_b", "_g"], _BEFORE_ORDER)
+    carried = ["_carry_tail", "_carry_n", "_carry_season", "_prev_rows", "_prev_pts", "_prev_max", "_prev_min",
+               "_prev_over", "_prev_under"]
+    u = u.select(
+        *[c for c in u.columns if c not in carried and c not in ("_venue_prior_buckets", "_venue_career")],
+        asof.last_k_by_ordinal("_rec", part, k).alias("_in_hist"),
+        F.count("_rec").over(wb).alias("_bk_rows"),
+        F.count(fp).over(wb).alias("_bk_pts"),
+        F.max(fp).over(wb).alias("_bk_max"),
+        F.min(fp).over(wb).alias("_bk_min"),
+        F.count(F.when(fp > HIGH_SCORE, 1)).over(wb).alias("_bk_over"),
+        F.count(F.when(fp < LOW_SCORE, 1)).over(wb).alias("_bk_under"),
+        *[F.first(c, ignorenulls=True).over(wb).alias(c) for c in carried],
+        F.count("_rec").over(wg).alias("_venue_in_bucket"),
+        F.first("_venue_prior_buckets", ignorenulls=True).over(wg).alias("_venue_prior_buckets"),
+        F.first("_venue_career", ignorenulls=True).over(wg).alias("_venue_career"),
+    )
+    a = u.where(F.col("_kind") == asof.ANCHOR).drop("_kind", "_rec", "_fp", "_tb")
+
     empty = F.array().cast(a.schema["_in_hist"].dataType)
     hist = asof.last_k(F.concat(F.coalesce("_carry_tail", empty), F.col("_in_hist")), k)
     cs = F.when(F.col("_carry_season.yr") == F.col("_yr"), F.col("_carry_season"))  # same season only
-
     return a.select(
         *[c for c in a.columns if not c.startswith(("_carry", "_bk_")) and c not in ("_in_hist", "_venue_prior_buckets",
                                                                                     "_venue_in_bucket")],
