@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 # Result label vocabulary (lower-cased raw label -> canonical).
 RESULT_LABELS = {
@@ -107,16 +106,6 @@ def conform(df: DataFrame, spec: Mapping[str, tuple[Sequence[str], str, object]]
     return df.select(*cols, *rest)
 
 
-def finite_or_zero(c: Column) -> Column:
-    """Null, NaN and +-infinity -> 0."""
-    d = c.cast("double")
-    return F.when(d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(0.0)).otherwise(d)
-
-
 def clip(c: Column, lo: float, hi: float) -> Column:
     """``np.clip``."""
     return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
-
-
-def cast_like(c: Column, dtype: DataType) -> Column:
-    return c.cast(dtype)

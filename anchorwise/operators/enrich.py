@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import clean_key, clean_name
+from ..functions.cleaning import clean_key, clean_name, first_present
 from ..functions.roles import credit_role_bonus, standardize_role
 
 # Fixed values of the confidence, credit and category rules.
@@ -37,7 +37,7 @@ def request_stats(preds: DataFrame, score: str = "fp_pred", quantiles: tuple[flo
 
 def profile_lookup(profiles: DataFrame) -> DataFrame:
     """Cleaned profile keys, one row per player (first by name order)."""
-    name_col = next((c for c in ("name", "player_name", "full_name") if c in profiles.columns), None)
+    name_col = first_present(profiles, ["name", "player_name", "full_name"])
     p = profiles.select(
         clean_key(F.col("player_id")).alias("player_id"),
         F.col("role").alias("profile_role") if "role" in profiles.columns else F.lit(None).cast("string").alias("profile_role"),

@@ -32,16 +32,33 @@ INNINGS_SCHEMA = T.StructType([
 ])
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    return (r.schema(schema) if schema is not None else r.option("inferSchema", True)).csv(path)
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", True).csv(path)
+
+
+def typed_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast the schema's columns *by name* (a CSV schema would be applied by position); integral
+    targets go through double so '1.0' from float-typed writers survives; other columns are kept."""
+    names = {f.name for f in schema}
+    cols = []
+    for f in schema:
+        if f.name not in df.columns:
+            continue
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.LongType, T.IntegerType)):
+            c = c.try_cast("double").cast(f.dataType)
+        elif not isinstance(f.dataType, T.StringType):
+            c = c.try_cast(f.dataType)
+        cols.append(c.alias(f.name))
+    return df.select(*cols, *[F.col(f"`{c}`") for c in df.columns if c not in names])
 
 
 def read_innings(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Fact table with polymorphic date parsing and the required-column check."""
-    df = _csv(spark, path, INNINGS_SCHEMA) if fmt == "csv" else spark.read.format(fmt).load(path)
-    require_columns(df, INNINGS_REQUIRED, "player_innings")
-    return df.withColumn("match_date", parse_date(F.col("match_date")))
+    """Fact table, typed by column name, with the required-column check (S7) and polymorphic
+    date parsing (P1)."""
+    raw = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    require_columns(raw, INNINGS_REQUIRED, "player_innings")
+    return typed_by_name(raw, INNINGS_SCHEMA).withColumn("match_date", parse_date(F.col("match_date")))
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
