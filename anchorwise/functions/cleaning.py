@@ -98,7 +98,7 @@ def conform(df: DataFrame, spec: Mapping[str, tuple[Sequence[str], str, object]]
         present = [n for n in (canon, *aliases) if n in df.columns]
         used.update(present)
         if present:
-            expr = F.coalesce(*[F.col(f"`{n}`").cast(dtype) for n in present])
+            expr = F.coalesce(*[F.col(f"`{n}`").try_cast(dtype) for n in present])  # junk -> null, never a failed job
         else:
             expr = F.lit(default).cast(dtype)
         cols.append(expr.alias(canon))
