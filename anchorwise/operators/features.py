@@ -171,7 +171,9 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
         F.sum("rows").alias("_prev_rows"), F.sum("pts").alias("_prev_pts"), F.max("mx").alias("_prev_max"),
         F.min("mn").alias("_prev_min"), F.sum("over").alias("_prev_over"), F.sum("under").alias("_prev_under"))
     prev = season.withColumn("_yr", F.col("_yr") + 1)
-    carry = carry.join(keys, ["player_id", "_b"]).join(prev, ["player_id", "_yr"], "left").drop("_yr")
+    carry = carry.join(keys, ["player_id", "_b"]).join(prev, ["player_id", "_yr"], "left").select(
+        "player_id", "_b", F.struct(*[c for c in carry.columns if c.startswith("_carry")],
+                                    *[c for c in prev.columns if c.startswith("_prev")]).alias("_cy"))
 
     # venue counts per (player, ground, bucket): earlier buckets carried, all rows for the career
     # count (which, like the reference's, also counts rows whose date did not parse: bucket null)
@@ -183,9 +185,11 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
     wv = Window.partitionBy("player_id", "_g")
     venue = vu.select(
         "player_id", "_g", "_b", "_kind",
-        F.sum(F.when(F.col("_b").isNotNull(), F.col("n"))).over(
-            wv.orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, -1)).alias("_venue_prior_buckets"),
-        F.sum("n").over(wv).alias("_venue_career"),
+        F.struct(
+            F.sum(F.when(F.col("_b").isNotNull(), F.col("n"))).over(
+                wv.orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, -1)).alias("_venue_prior_buckets"),
+            F.sum("n").over(wv).alias("_venue_career"),
+        ).alias("_vcy"),
     ).where(F.col("_kind") == asof.ANCHOR).drop("_kind")
 
     # ---- the one pass: facts + anchors + carry rows, shuffled once on (player, bucket)
@@ -199,10 +203,8 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
     # ordinal is 0): the aggregates and carry picks share the ordinal ordering and its sort
     wb = Window.partitionBy(*part).orderBy("_ord").rangeBetween(Window.unboundedPreceding, 0)
     wg = asof.strictly_before(["player_id", "_b", "_g"], _BEFORE_ORDER)
-    carried = ["_carry_tail", "_carry_n", "_carry_season", "_prev_rows", "_prev_pts", "_prev_max", "_prev_min",
-               "_prev_over", "_prev_under"]
     u = u.select(
-        *[c for c in u.columns if c not in carried and c not in ("_venue_prior_buckets", "_venue_career")],
+        *[c for c in u.columns if c not in ("_cy", "_vcy")],
         asof.last_k_by_ordinal("_rec", part, k).alias("_in_hist"),
         F.count("_rec").over(wb).alias("_bk_rows"),
         F.count(fp).over(wb).alias("_bk_pts"),
@@ -210,12 +212,12 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
         F.min(fp).over(wb).alias("_bk_min"),
         F.count(F.when(fp > HIGH_SCORE, 1)).over(wb).alias("_bk_over"),
         F.count(F.when(fp < LOW_SCORE, 1)).over(wb).alias("_bk_under"),
-        *[F.first(c, ignorenulls=True).over(wb).alias(c) for c in carried],
+        F.first("_cy", ignorenulls=True).over(wb).alias("_cy"),
         F.count("_rec").over(wg).alias("_venue_in_bucket"),
-        F.first("_venue_prior_buckets", ignorenulls=True).over(wg).alias("_venue_prior_buckets"),
-        F.first("_venue_career", ignorenulls=True).over(wg).alias("_venue_career"),
+        F.first("_vcy", ignorenulls=True).over(wg).alias("_vcy"),
     )
     a = u.where(F.col("_kind") == asof.ANCHOR).drop("_kind", "_rec", "_fp", "_tb")
+    a = a.select("*", "_cy.*", "_vcy.*").drop("_cy", "_vcy")
 
     empty = F.array().cast(a.schema["_in_hist"].dataType)
     hist = asof.last_k(F.concat(F.coalesce("_carry_tail", empty), F.col("_in_hist")), k)
