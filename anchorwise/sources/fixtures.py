@@ -47,6 +47,7 @@ def _stored(builder):
 
 
 EPOCH_DAY = "2021-11-01"  # day of match 0 in the derived calendar
+SALTS = 16  # join-key salts for the low-cardinality squad join
 
 
 def _match_date(match_id: Column) -> Column:
@@ -169,12 +170,15 @@ def requests(spark: SparkSession, sf_dir: str, inn: DataFrame | None = None) ->
     m = inn.select("match_id", "match_date").distinct()
     pl = inn.select("player_id").distinct()
     p = pl.unionByName(pl.where(F.col("player_id") < 8))
-    # squads: join on the team key (player % 8) for each of the two teams
+    # squads: join on the team key (player % 8) for each of the two teams. The key has only 8
+    # values, so the join is salted: players carry a salt independent of the key ((id div 8) %
+    # SALTS) and every match row is replicated once per salt, spreading each team key over SALTS
+    # join keys (same output).
     team1 = m.select("match_id", "match_date", (F.col("match_id") % 8).alias("tkey"), F.lit(1).alias("team_no"))
     team2 = m.select("match_id", "match_date", ((F.col("match_id") + 1) % 8).alias("tkey"), F.lit(2).alias("team_no"))
-    # when both teams share a key (never for consecutive keys) team 1 wins
-    teams = team1.unionByName(team2)
-    r = teams.join(p.withColumn("tkey", F.col("player_id") % 8), "tkey")
+    teams = team1.unionByName(team2).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    squads = p.select("player_id", (F.col("player_id") % 8).alias("tkey"), (F.floor(F.col("player_id") / 8) % SALTS).cast("int").alias("salt"))  # sequence() yields int too
+    r = teams.join(squads, ["tkey", "salt"])
     return r.select(
         F.col("match_id").alias("request_id"),
         F.col("match_date").alias("cutoff_date"),
