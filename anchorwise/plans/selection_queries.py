@@ -192,12 +192,13 @@ def oracles() -> dict[str, str]:
   ROUND(sp.prob, 6) AS starting_probability FROM requests r JOIN sp ON sp.player_id = r.player_id
   AND sp.cutoff_date = r.cutoff_date""",
         "feasibility": w + f"""SELECT *, {froles_ok} AS roles_ok, n_candidates >= 11 AS size_ok, {team_ok} AS team_ok,
-  ({froles_ok}) AND n_candidates >= 11 AND ({team_ok}) AS feasible,
+  ({froles_ok}) AND n_candidates >= 11 AND ({team_ok}) AS feasible, likely_starters < 11 AS likely_starters_warning,
   CONCAT_WS('; ', {reasons}, CASE WHEN n_candidates < 11 THEN 'not enough players' END,
      CASE WHEN NOT ({team_ok}) THEN 'not enough players with team limits' END) AS reasons
 FROM (SELECT request_id, COUNT(*) AS n_candidates, {role_counts},
   COUNT(CASE WHEN team_no = 1 THEN 1 END) AS n_team1, COUNT(CASE WHEN team_no = 2 THEN 1 END) AS n_team2,
-  COUNT(CASE WHEN hi = 1 THEN 1 END) AS n_high_probability FROM cand GROUP BY request_id)""",
+  COUNT(CASE WHEN hi = 1 THEN 1 END) AS n_high_probability,
+  COUNT(CASE WHEN starting_probability >= 0.5 THEN 1 END) AS likely_starters FROM cand GROUP BY request_id)""",
         "select_team": w + """SELECT request_id, player_id, team_no, role_std, fp_pred, starting_probability,
   ROUND(prediction_confidence, 6) AS prediction_confidence, ROUND(weight, 6) AS weight, ROUND(objective, 6) AS objective
 FROM sel""",
