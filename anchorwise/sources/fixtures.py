@@ -238,6 +238,17 @@ class Datasets:
     matchstat: DataFrame | None = None
 
 
+def materialize_views(spark: SparkSession, sf_dir: str) -> None:
+    """Store the derived views up front, in dependency waves; views of a wave are independent Spark
+    jobs and run concurrently (the scheduler interleaves their stages on the executors)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    waves = [(innings, venue_stats), (matchstat, requests), (predictions,)]
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for wave in waves:
+            list(pool.map(lambda view: view(spark, sf_dir), wave))
+
+
 def load_datasets(spark: SparkSession, sf_dir: str) -> Datasets:
     """All domain views of a scale-factor folder; lazy, no action is run."""
     inn = innings(spark, sf_dir)
