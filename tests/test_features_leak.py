@@ -61,3 +61,21 @@ def test_absent_optional_tables_give_defaults(spark):
         | (F.col("high_scoring_venue") != 0) | ~F.col("is_valid")
         | ((F.col("opposition_matches_won_last_5") != 2) & (F.col("src_opposition") == "used_real_data")))
     assert f.count() > 0 and bad.count() == 0
+
+
+def test_hot_player_is_split_across_window_partitions(spark):
+    """A player holding half of all rows: month buckets spread it over many window partitions,
+    with the same results as one partition per season."""
+    ds = fx.load_datasets(spark, SF0001)
+    hot = ds.innings.withColumn("match_id", F.col("match_id") * 1000 + F.col("player_id")).withColumn(
+        "player_id", F.lit(10 ** 6).cast("long"))
+    inn = ds.innings.unionByName(hot)
+    assert hot.count() * 2 == inn.count()
+    buckets = hot.select((F.year("match_date") * 12 + F.month("match_date")).alias("b")).distinct().count()
+    assert buckets >= 10  # the hot player's rows land in >= 10 (player, month) window partitions
+    anc = A.training_anchors(hot)
+    cols = ["match_id", "player_id", "_n", "_hist", "_cur_rows", "_cur_pts", "_cur_max", "_cur_min", "_prev_rows",
+            "_venue_prior", "_venue_career"]
+    m = FE.player_history(inn, anc, bucket="month").select(*cols)
+    s = FE.player_history(inn, anc, bucket="season").select(*cols)
+    assert m.exceptAll(s).count() == 0 and s.exceptAll(m).count() == 0
