@@ -9,8 +9,9 @@ earlier anchors inside that frame carry nulls and are skipped by the
 aggregates. Cost: one shuffle and sort of facts + anchors, O(n log n).
 
 To keep a hot entity from landing in one task, the window partition is
-(entity, bucket) — a season — and history from earlier buckets comes from a
-small per-(entity, bucket) carry table.
+(entity, bucket), a month by default; state from earlier buckets is computed
+on a small per-(entity, bucket) table and enters the pass as carry rows
+(``_kind`` 2, null time, so they sort first in their partition).
 """
 
 from __future__ import annotations

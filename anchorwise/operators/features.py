@@ -4,13 +4,15 @@ Input anchors carry ``player_id, cutoff_date, venue_id, opposition_id`` plus any
 key columns; history is every fact with ``match_date < cutoff_date``.
 
 Plan shape (see ``explain``):
-* player features: ONE exchange of innings + anchors on (player, season); the
-  window sorts inside it; history from earlier seasons comes from a carry
-  table with one row per (player, season);
+* player features: ONE exchange of facts + anchors + carry rows on (player,
+  month bucket); the windows sort inside it. History from earlier buckets is
+  computed on small per-(player, bucket) tables and enters the same pass as
+  carry rows, so the anchors are not joined again afterwards;
 * team features: innings pre-aggregated to (team, day) before any window, so
   the few team keys never see raw rows;
-* lookups (deliveries per player-day, venue dimension, carry tables) are
-  equi-joins; AQE broadcasts them when their runtime size is small.
+* lookups (deliveries per player-day, the venue dimension, the team table) are
+  equi-joins; AQE broadcasts them when their runtime size is small. Venue
+  means are scalar subqueries.
 """
 
 from __future__ import annotations
