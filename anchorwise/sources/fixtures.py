@@ -25,7 +25,7 @@ from .tables import read_table
 # stored table instead of re-deriving it from raw events in each plan branch,
 # and the lineage is cut (a lost executor re-reads files, not the derivation).
 MATERIALIZE = os.environ.get("ANCHORWISE_MATERIALIZE", "1") != "0"
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}  # the stored view, read back once (a lazy plan)
 
 
 def _stored(builder):
@@ -39,8 +39,8 @@ def _stored(builder):
         if key not in _STORED:
             path = f"{shared_dir(spark).rstrip('/')}/views/{builder.__name__}-{uuid.uuid4().hex}"
             builder(spark, sf_dir).write.mode("overwrite").parquet(path)
-            _STORED[key] = path
-        return spark.read.parquet(_STORED[key])
+            _STORED[key] = spark.read.parquet(path)
+        return _STORED[key]
 
     wrapper.derive = builder  # the lazy derivation itself
     return wrapper
