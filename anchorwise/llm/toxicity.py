@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from . import text as tx
 
 BITS = 18
-PREFIXES = (4, 5)
+PREFIXES = (3, 4, 5)
 MAX_DOCS = 2500  # of each label
-ROUNDS, RATE, DECAY, LEAST_DOCS = 120, 0.1, 2e-5, 3
+ROUNDS, RATE, DECAY = 120, 0.1, 3e-4
+LEAST_DOCS = 10  # that have a feature; a fiftieth of a small sample
 START = -6.0  # bias before the fit: a sentence is rarely toxic
 _ROWS: dict[str, np.ndarray] = {}
 
@@ -83,7 +84,7 @@ def _fit(data: np.ndarray, off: np.ndarray, labels: np.ndarray) -> Model:
     feature_of = np.repeat(np.arange(len(lens)), lens)
     in_docs = np.unique(doc[of] * len(lens) + codes) % len(lens)  # a distinct word once for each document
     n_docs = np.bincount(flat, weights=np.bincount(in_docs, minlength=len(lens))[feature_of], minlength=1 << BITS)
-    live = n_docs >= LEAST_DOCS
+    live = n_docs >= min(LEAST_DOCS, max(2, len(labels) // 50))
     weigh = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
     m, v, mb, vb = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0
     for t in range(1, ROUNDS + 1):
