@@ -36,7 +36,7 @@ from . import text as tx
 from .shared import fresh
 
 K = 5  # counts up to K are discounted
-CHUNK_CHARS = 24_000_000
+CHUNK_CHARS, BUCKET_CHARS = 8_000_000, 12_000_000  # what a task holds at a time; raise both with the executors' memory
 END = ""  # no word is empty
 
 
@@ -66,20 +66,53 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def ascending(a: np.ndarray) -> np.ndarray:
+    """Steps of an ascending row: small numbers pack well."""
+    return np.diff(a, prepend=0)
+
+
+_BUNDLE = "chunk long, doc_ids array<long>, train array<boolean>, bytes array<long>, text binary"
+
+
+def _bundle():
+    """An input partition's documents in lower case, put together and compressed by chunk."""
+
+    def run(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for rows, data, off in tx.slices(batches, 4 * tx.SLICE_BYTES):
+            data = tx.lowered(data)
+            of = rows.column("chunk").to_numpy()
+            doc_ids, train, sizes = rows.column("doc_id"), rows.column("train"), np.diff(off)
+            for chunk in np.unique(of).tolist():
+                at = np.flatnonzero(of == chunk)
+                text = pack(b"".join(data[off[d] : off[d + 1]].tobytes() for d in at))
+                lists = [pa.array([x], pa.list_(t)) for x, t in ((doc_ids.take(pa.array(at)), pa.int64()), (train.take(pa.array(at)), pa.bool_()), (sizes[at], pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists, pa.array([text], pa.binary())], ["chunk", "doc_ids", "train", "bytes", "text"])
+
+    return run
+
+
 class Chunk:
     """The documents of a chunk as word numbers; words are numbered by bucket, then by spelling."""
 
-    def __init__(self, table: pa.Table, buckets: int):
-        table = table.sort_by([("row", "ascending")]).combine_chunks()
-        self.rows, self.n = table, table.num_rows
+    def __init__(self, bundles: pa.Table, buckets: int):
+        import zstandard
+
         codes, bounds, names = [], [0], {}
-        for _, data, off in tx.slices(table.to_batches()):
-            data = tx.lowered(data)
+        self.doc_ids, train = [], []
+        for bundle in bundles.to_pylist():
+            data = np.frombuffer(zstandard.ZstdDecompressor().decompress(bundle["text"]), np.uint8)
+            off = np.concatenate([[0], np.cumsum(bundle["bytes"])]).astype(np.int64)
+            self.doc_ids += bundle["doc_ids"]
+            train += bundle["train"]
             starts, ends, at = tx.words(data, off)
             local, distinct = tx.codes(data, starts, ends)
             number = np.array([names.setdefault(w, len(names)) for w in distinct], np.int64)
             codes.append(number[local] if len(local) else local)
             bounds.extend((at[1:] + bounds[-1]).tolist())
+        self.n, self.train = len(train), np.array(train, bool)
         end = names.setdefault(END, len(names))
         words = list(names)
         bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
@@ -91,7 +124,6 @@ class Chunk:
         self.tokens = place[np.insert(np.concatenate(codes), np.array(bounds[1:]), end)]
         self.end = int(place[end])
         self.doc = tx.by_doc(self.bounds)
-        self.train = table.column("train").to_numpy().astype(bool)
 
     def counts(self) -> np.ndarray:
         """Training tokens of each word."""
@@ -154,9 +186,11 @@ def _send_pairs(buckets: int, hot: int):
         # a posting is a pair in a document with its number of occurrences
         pair, of = np.unique(before * n + chunk.tokens, return_inverse=True)
         posting, times = np.unique(of * chunk.n + chunk.doc, return_counts=True)
-        p_pair, p_doc = posting // chunk.n, posting % chunk.n
-        c1, c2 = pair // n, pair % n
         trained = np.bincount(of[chunk.train[chunk.doc]], minlength=len(pair))
+        del of, before
+        p_pair, p_doc = posting // chunk.n, (posting % chunk.n).astype(np.int32)
+        del posting
+        c1, c2 = pair // n, pair % n
         parts = -(-counts[c1] // hot)  # a hot context lies in so many buckets
         spread = np.where(parts > 1, (ids[c2] * 0x9E3779B1 >> 16) % np.maximum(parts, 1), 0)
         bucket = ((ids[c1] * 0x9E3779B1 >> 8) + spread) % buckets
@@ -179,7 +213,7 @@ def _send_pairs(buckets: int, hot: int):
             p_lo, p_hi = p_stop[lo], p_stop[hi]
             out["bucket"].append(b)
             out["chunk"].append(number)
-            out["pairs"].append(pack(ids[context], counts[context], followers, ids[c2[lo:hi]], counts[c2[lo:hi]], trained[lo:hi]))
+            out["pairs"].append(pack(ascending(ids[context]), counts[context], followers, ids[c2[lo:hi]], counts[c2[lo:hi]], trained[lo:hi]))
             out["docs"].append(pack(n_postings[lo:hi], p_doc[p_lo:p_hi], times[p_lo:p_hi]))
             for c in ("stats", "doc_ids", "n_tokens", "n_known", "base"):
                 out[c].append(None)
@@ -189,7 +223,7 @@ def _send_pairs(buckets: int, hot: int):
         out["stats"].append(np.sum([x for x in replies.column("stats").to_pylist() if x] or [[0] * (3 + K)], axis=0))
         out["pairs"].append(None)
         out["docs"].append(None)
-        out["doc_ids"].append(chunk.rows.column("doc_id").to_pylist())
+        out["doc_ids"].append(chunk.doc_ids)
         out["n_tokens"].append(np.diff(chunk.bounds))
         out["n_known"].append(tx.total(chunk.bounds, known > 0).astype(np.int64))
         out["base"].append(tx.total(chunk.bounds, np.log10(known + 0.5)))
@@ -220,6 +254,8 @@ def _merge(buckets: int, hot: int):
         if bucket >= buckets:
             return _state([{"bucket": bucket, "kind": "chunk", **{c: r[c] for c in ("chunk", "stats", "doc_ids", "n_tokens", "n_known", "base")}} for r in rows])
         parts = [unpack(r["pairs"]) for r in rows]
+        for p in parts:
+            p[0] = np.cumsum(p[0])
         first = np.concatenate([np.repeat(p[0], p[2]) for p in parts])
         first_count = np.concatenate([np.repeat(p[1], p[2]) for p in parts])
         second, second_count, trained = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5))
@@ -240,12 +276,12 @@ def _merge(buckets: int, hot: int):
         for row, part in zip(rows, parts, strict=True):
             n = len(part[3])
             postings, doc, times = unpack(row["docs"])
-            chunks.append({"chunk": row["chunk"], "docs": pack(place[lo : lo + n], postings, doc, times)})
+            chunks.append({"chunk": row["chunk"], "docs": pack(ascending(place[lo : lo + n]), postings, doc, times)})
             lo += n
         return _state([{
             "bucket": bucket, "kind": "pairs", "stats": stats,
             "hot": [{"id": int(i), "sums": t} for i, t in zip(f[at][wide], total[wide].tolist(), strict=True)],
-            "contexts": pack(f[at], c1[at], np.diff(np.append(at, len(f))), *total.T),
+            "contexts": pack(ascending(f[at]), c1[at], np.diff(np.append(at, len(f))), *total.T),
             "pairs": pack(s, c2, pair_count), "chunks": chunks,
         }])
 
@@ -314,7 +350,8 @@ def _evaluate(model: Model, sent):
         hot = sent.value
         for batch in batches:
             for row in batch.to_pylist():
-                ids, c1, followers, *total = unpack(row["contexts"])
+                steps, c1, followers, *total = unpack(row["contexts"])
+                ids = np.cumsum(steps)
                 _, c2, pair_count = unpack(row["pairs"])
                 total = np.stack(total, axis=1)
                 for k in np.flatnonzero([i in hot for i in ids.tolist()]):
@@ -325,8 +362,8 @@ def _evaluate(model: Model, sent):
                 p = np.where(pair_count > 0, d * pair_count / np.maximum(base[context], 1), weight[context] * model.words(c2))
                 logs = np.log10(p)
                 for part in row["chunks"]:
-                    place, postings, doc, times = unpack(part["docs"])
-                    score = np.bincount(doc, weights=np.repeat(logs[place], postings) * times)
+                    steps, postings, doc, times = unpack(part["docs"])
+                    score = np.bincount(doc, weights=np.repeat(logs[np.cumsum(steps)], postings) * times)
                     yield pa.RecordBatch.from_arrays([pa.array([part["chunk"]], pa.int64()), pa.array([score], pa.list_(pa.float64()))], ["chunk", "part"])
 
     return run
@@ -353,11 +390,10 @@ def fit_and_score(docs: DataFrame, train: Column, path: str | None = None) -> Da
     path = path or fresh(spark, "katz")
     rows = tx.keyed(docs, train.alias("train"))
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"), F.count("*").alias("n")).first()
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size["chars"] / CHUNK_CHARS))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks, buckets = (max(least, math.ceil(size["chars"] / n)) for n in (CHUNK_CHARS, BUCKET_CHARS))
     hot = max(1000, (size["chars"] // 6 + size["n"]) // (4 * buckets))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
-    # the order of a chunk's rows is the same whenever it is read
-    dealt = dealt.select("chunk", F.concat_ws(":", "doc_id", F.xxhash64("text"), "train").alias("row"), "doc_id", "text", "train")
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks))).mapInArrow(_bundle(), _BUNDLE)
     words = dealt.groupBy("chunk").applyInArrow(_send_words(buckets), _WORDS)
     replies = words.groupBy("bucket").applyInArrow(_number_words(buckets), _REPLY)
     pairs = dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_send_pairs(buckets, hot), _SENT)
