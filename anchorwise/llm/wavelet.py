@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .shared import sized, stored
 from .tokens import ended, loaded
 
 MAGIC = b"WVM1"
@@ -212,7 +213,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     parts = parts.select("part", (F.sum("t").over(Window.orderBy("part")) - F.col("t")).alias("part_start"))
     within = Window.partitionBy("part").orderBy("seq")
     starts = shards.select("part", "seq", (F.sum("n_tokens").over(within) - F.col("n_tokens")).alias("in_part")).join(parts, "part")
-    starts = starts.select("part", "seq", (F.col("in_part") + F.col("part_start")).alias("shard_start"))
+    starts = sized(stored(starts.select("part", "seq", (F.col("in_part") + F.col("part_start")).alias("shard_start")), "shard-starts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
