@@ -1,13 +1,13 @@
 """Packing token sequences by best-fit decreasing.
 
-A document longer than the window is first cut into full windows, each a sequence of its own; what is left, less
-than a window, is packed. Tails are dealt to tasks by a hash of doc_id and sorted there by falling length; each
+A document longer than the window is first cut into full windows, each of which fills a sequence; what is left,
+less than a window, is packed. Pieces are dealt to tasks by a hash of doc_id and sorted there by falling length; each
 goes into the open window with the least room that still takes it. A segment tree over the remaining capacities
 finds it: a leaf holds the open windows with that much room, an inner node whether any leaf below has one. A task
 keeps the windows' numbers and fill levels only; the rows stream through.
 
-Only the tails are shuffled. Numbers of sequences are unique and gapless within neither task: a full window gets
-an even number from its input partition and row, a packed window an odd one from its task.
+Texts are encoded once and pieces shuffled once. A sequence's number is the task's in the high bits and a count
+within the task in the low ones.
 
 Null texts count as empty: one piece with the end id alone. Rows are kept one for one, repeated ones too; an empty
 table gives no rows; other columns are ignored.
@@ -88,7 +88,7 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = loaded(vocabulary)
-        for rows, data, off in tx.slices(batches):
+        for rows, data, off in tx.slices(batches, 2 * tx.SLICE_BYTES):
             flat, bounds = ended(*units.encode(data, off), end)
             n = np.diff(bounds)
             parts = -(-n // capacity)
@@ -105,14 +105,13 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int) -> DataFra
 
 def pack(cut: DataFrame, capacity: int) -> DataFrame:
     """Adds sequence_id and offset to pieces of at most ``capacity`` tokens; columns other than length pass through."""
-    full = cut.where(F.col("length") >= capacity).withColumns({"sequence_id": F.monotonically_increasing_id() * 2, "offset": F.lit(0).cast("long")})
-    tails = cut.where(F.col("length") < capacity).repartition("doc_id").sortWithinPartitions(F.desc("length"), "doc_id", "start")
+    dealt = cut.repartition("doc_id").sortWithinPartitions(F.desc("length"), "doc_id", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, base = Windows(capacity), TaskContext.get().partitionId() << 33
         for rows in batches:
             put = np.array([windows.place(n) for n in rows.column("length").to_pylist()], np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array((base + put[:, 0]) * 2 + 1), pa.array(put[:, 1])], [*rows.schema.names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(base + put[:, 0]), pa.array(put[:, 1])], [*rows.schema.names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in cut.dtypes)
-    return full.unionByName(tails.mapInArrow(run, f"{schema}, sequence_id long, offset long"))
+    return dealt.mapInArrow(run, f"{schema}, sequence_id long, offset long")

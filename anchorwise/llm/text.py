@@ -148,7 +148,9 @@ def gather(flat: np.ndarray, begin: np.ndarray, lens: np.ndarray, picks: np.ndar
     n = lens[picks]
     ends = np.zeros(len(picks) + 1, np.int64)
     np.cumsum(n, out=ends[1:])
-    at = np.arange(ends[-1]) + np.repeat(begin[picks] - ends[:-1], n)
+    kind = np.int32 if ends[-1] < 1 << 31 and len(flat) < 1 << 31 else np.int64
+    at = np.arange(ends[-1], dtype=kind)
+    at += np.repeat((begin[picks] - ends[:-1]).astype(kind), n)
     return flat[at], ends
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 
 from . import text as tx
 
-CACHE = 600_000  # units that a worker remembers
+CACHE = 800_000  # units that a worker remembers
 _LOADED: dict[str, Units] = {}
 
 
@@ -21,7 +22,7 @@ class Units:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}  # ids as unsigned 32-bit integers
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all documents, and the n + 1 id bounds of the documents."""
@@ -35,10 +36,10 @@ class Units:
         for lo in range(0, len(new), 5000):
             part = new[lo : lo + 5000]
             for unit, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[unit] = np.array(got.ids, np.uint32)
+                self.known[unit] = array("I", got.ids).tobytes()
         ids = [self.known[u] for u in distinct]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, to = tx.gather(np.concatenate(ids), np.cumsum(lens) - lens, lens, picks)
+        lens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, to = tx.gather(np.frombuffer(b"".join(ids), np.uint32), np.cumsum(lens) - lens, lens, picks)
         return flat, to[bounds]
 
 

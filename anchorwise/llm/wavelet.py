@@ -175,7 +175,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end: int, shard_to
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], [c.split()[0] for c in SHARD_SCHEMA.split(", ")])
 
-        for rows, data, off in tx.slices(batches):
+        for rows, data, off in tx.slices(batches, 2 * tx.SLICE_BYTES):
             flat, bounds = ended(*units.encode(data, off), end)
             doc_ids = rows.column("doc_id")
             nil = doc_ids.is_null().to_numpy(zero_copy_only=False)
