@@ -22,7 +22,7 @@ from . import text as tx
 LEVEL = 3
 CHUNK = 4096
 #: Up to so many bytes: least and greatest ratio.
-BANDS = ((256, 0.80, 3.0), (1024, 1.15, 5.0), (4096, 1.35, 6.5), (16384, 1.45, 9.0), (65536, 1.50, 12.0), (1 << 62, 1.50, 16.0))
+BANDS = ((256, 0.50, 3.0), (1024, 1.15, 5.0), (4096, 1.35, 6.5), (16384, 1.45, 9.0), (65536, 1.50, 12.0), (1 << 62, 1.50, 16.0))
 CHUNK_BAND = (1.30, 6.5)
 BAD_SHARE = 0.5
 MIN_WORDS, REPEAT_PERCENT = 50, 50

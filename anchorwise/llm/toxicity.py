@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .shared import sized, stored
 
 BITS = 18
 PREFIXES = (3, 4, 5)
@@ -113,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
         share = F.when(F.col("toxic") == label, min(1.0, max_docs / n)).otherwise(share)
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20))
     # the table is a bounded sample: its rows are sorted, so that the fit doesn't depend on their order
-    sample = tx.keyed(docs).join(chosen, "doc_id").toArrow().sort_by("doc_id").combine_chunks()
+    sample = tx.keyed(docs).join(sized(stored(chosen, "toxicity-sample")), "doc_id").toArrow().sort_by("doc_id").combine_chunks()
     if not sample.num_rows:
         return Model(np.zeros(1 << BITS), -np.inf)
     rows = sample.to_batches()[0]
