@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from . import text as tx
 
-CACHE = 600_000  # words that a worker remembers
+CACHE, PAIRS = 400_000, 500_000  # words and pairs that a worker remembers
 _LOADED: dict[tuple[str, str], Replay] = {}
 
 
@@ -36,7 +37,7 @@ class Replay:
         self.match = regex.compile(pattern).findall
         self.single = [self.ranks.get(bytes([b]), -1) for b in range(256)]
         self.pairs: dict[tuple[int, int], int] = {}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
 
     def rank(self, left: int, right: int) -> int:
         """Rank of the token that the pair merges to, or -1."""
@@ -47,12 +48,8 @@ class Replay:
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """Ids of every word. The words' bytes lie in one row of symbols linked to their neighbours."""
-        symbols: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        word_of: list[int] = []
-        begin: list[int] = []
-        index: dict[int, list[int]] = {}
+        symbols, after, before, word_of, begin = (array("i") for _ in range(5))
+        index: dict[int, array] = {}
         rank = self.rank
         for w, word in enumerate(words):
             at = len(symbols)
@@ -63,10 +60,10 @@ class Replay:
             before.extend(range(at, at + n - 1))
             after.extend(range(at + 1, at + n))
             after.append(-1)
-            word_of.extend([w] * n)
+            word_of.extend(array("i", [w]) * n)
             for i in range(at, at + n - 1):
                 if (r := rank(symbols[i], symbols[i + 1])) >= 0:
-                    index.setdefault(r, []).append(i)
+                    index.setdefault(r, array("i")).append(i)
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -74,9 +71,8 @@ class Replay:
             places = index.pop(r, None)
             if not places:
                 continue
-            places.sort()
             wait, put_back = -1, []
-            for i in places:
+            for i in sorted(places):
                 j = after[i]
                 if symbols[i] < 0 or j < 0 or rank(symbols[i], symbols[j]) != r:
                     continue  # an earlier merge took part of the pair
@@ -90,20 +86,20 @@ class Replay:
                     if (s := rank(r, symbols[k])) >= 0:
                         if s not in index:
                             heapq.heappush(heap, s)
-                        index.setdefault(s, []).append(i)
+                        index.setdefault(s, array("i")).append(i)
                         if s < r:
                             wait = word_of[i]  # in this word the lower rank comes first
                 h = before[i]
                 if h >= 0 and (s := rank(symbols[h], r)) >= 0:
                     if s not in index:
                         heapq.heappush(heap, s)
-                    index.setdefault(s, []).append(h)
+                    index.setdefault(s, array("i")).append(h)
                     if s < r:
                         wait = word_of[i]
             if put_back:
                 if r not in index:
                     heapq.heappush(heap, r)
-                index.setdefault(r, []).extend(put_back)
+                index.setdefault(r, array("i")).extend(put_back)
         out = []
         for i in begin:
             ids = []
@@ -117,17 +113,19 @@ class Replay:
         """Replays the merges over the words that are not known yet."""
         if len(self.known) > CACHE:
             self.known.clear()
+        if len(self.pairs) > PAIRS:
+            self.pairs.clear()
         new, rest = [], []
         for w in words:
             if w not in self.known:
                 b = w.encode()
                 if b in self.ranks:  # a match that is a token needs no merge
-                    self.known[w] = [self.ranks[b]]
+                    self.known[w] = array("i", [self.ranks[b]]).tobytes()
                 else:
                     new.append(w)
                     rest.append(b)
         for w, ids in zip(new, self.merge(rest), strict=True):
-            self.known[w] = ids
+            self.known[w] = array("i", ids).tobytes()
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all documents and the id bounds of the documents."""
@@ -138,9 +136,9 @@ class Replay:
         matches = [self.match(u) for u in distinct]
         self.learn({m for found in matches for m in found})
         known = self.known
-        ids = [[i for m in found for i in known[m]] for found in matches]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, to = tx.gather(np.fromiter((i for x in ids for i in x), np.int32, int(lens.sum())), np.cumsum(lens) - lens, lens, picks)
+        ids = [b"".join([known[m] for m in found]) for found in matches]
+        lens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, to = tx.gather(np.frombuffer(b"".join(ids), np.int32), np.cumsum(lens) - lens, lens, picks)
         return flat, to[bounds]
 
     def decode(self, ids: np.ndarray) -> bytes:
