@@ -198,9 +198,9 @@ def rules_from_frame(rules: DataFrame) -> list[Rule]:
 
 def _rate(rule_column: str) -> Column:
     if rule_column == STRIKE_RATE:
-        return F.col("runs_batting").cast("double") * F.lit(100) / F.col("balls_faced")
+        return F.try_divide(F.col("runs_batting").cast("double") * F.lit(100), F.col("balls_faced"))
     if rule_column == ECONOMY:
-        return F.col("runs_conceded").cast("double") / F.col("overs_bowled")
+        return F.try_divide(F.col("runs_conceded").cast("double"), F.col("overs_bowled"))
     return F.col(rule_column).cast("double")
 
 
@@ -224,7 +224,8 @@ def compile_rules(rules: list[Rule], role_col: str = "role_std", out_col: str =
         if kind == "linear":
             expr = F.lit(0)
             for r in rs:
-                expr = expr + F.col(r.column) * F.lit(int(r.points) if r.points.is_integer() else r.points)
+                # a null stat scores nothing and leaves the group's other stats alone
+                expr = expr + F.coalesce(F.col(r.column) * F.lit(int(r.points) if r.points.is_integer() else r.points), F.lit(0))
         elif kind in ("band", "rate_band"):
             v = _rate(rs[0].column)
             chain = None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,8 +32,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares for checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only in a local master's session, where it
+    may be unset, a scratch folder is created and registered. Elsewhere it must be set.
     """
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
@@ -40,7 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
         path = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = path.get() if path.isDefined() else None
     if not path:
-        # Unset only in local runs and tests; a cluster names its shared folder.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         path = tempfile.mkdtemp(prefix="anchorwise-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
