@@ -41,7 +41,7 @@ def sample_anchors(anchors: DataFrame, n: int, seed: int = 42, key: tuple[str, .
     partitioning. The limit is the feature here; Spark plans it as a
     distributed top-n (TakeOrderedAndProject).
     """
-    h = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
+    h = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))
     return anchors.orderBy(h, *key).limit(n)
 
 

@@ -8,8 +8,8 @@ Plan shape (see ``explain``):
   month bucket); the windows sort inside it. History from earlier buckets is
   computed on small per-(player, bucket) tables and enters the same pass as
   carry rows, so the anchors are not joined again afterwards;
-* team features: innings pre-aggregated to (team, day) before any window, so
-  the few team keys never see raw rows;
+* team features: innings pre-aggregated to (team, day) before any window; of a
+  day's raw rows only the last 20 are listed, so no task collects a team-day;
 * lookups (deliveries per player-day, the venue dimension, the team table) are
   equi-joins; AQE broadcasts them when their runtime size is small. Venue
   means are scalar subqueries.
@@ -332,8 +332,15 @@ def team_context(innings: DataFrame, matchstat: DataFrame | None, keys: DataFram
         F.sum(F.when(bowl, F.col("runs_conceded"))).alias("rc"),
         F.sum(F.when(bowl, F.col("wickets_taken"))).alias("wk"),
         F.count(F.when(bowl, 1)).alias("nb"),
-        F.array_sort(F.collect_list(F.struct("match_id", "player_id", bowl.alias("b")))).alias("day_rows"),
     )
+    # only a day's last BOWLER_ROWS rows can be among the team's last BOWLER_ROWS: the rank filter bounds every list
+    # and runs before the shuffle too (WindowGroupLimit), so no task collects a whole team-day
+    wd = Window.partitionBy("team_id", "match_date").orderBy(F.desc("match_id"), F.desc("player_id"), F.desc("b"))
+    tail = rows.select("team_id", "match_date", "match_id", "player_id", bowl.alias("b")).withColumn(
+        "_r", F.row_number().over(wd)).where(F.col("_r") <= BOWLER_ROWS)
+    tail = tail.groupBy("team_id", "match_date").agg(
+        F.array_sort(F.collect_list(F.struct("match_id", "player_id", "b"))).alias("day_rows"))
+    day = day.join(tail, ["team_id", "match_date"])
     wt = Window.partitionBy("team_id").orderBy("match_date").rowsBetween(-(BOWLER_ROWS - 1), 0)
     recent = asof.last_k(F.flatten(F.collect_list("day_rows").over(wt)), BOWLER_ROWS)
     bowlers = F.size(F.array_distinct(F.transform(F.filter(recent, lambda r: r["b"]), lambda r: r["player_id"])))

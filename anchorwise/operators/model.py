@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -131,15 +132,18 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
     """M4 + M5 + M10 + M11: forward-chaining CV (optional), final fit on everything, metrics record.
 
     ``early_stopping`` (M6): each fold's model stops on its own test block (the reference's
-    eval set); the final model has no held-out block and trains all rounds.
+    eval set) at the round after which the error no longer falls; the final model is fitted on all
+    rows with the mean of the rounds that the folds found (rounded up), its ``best_iteration``.
+    Without it, or without folds, every fit trains all ``maxIter`` rounds.
     """
     rows = training_rows(features, label)
     shared_dir(spark)
     folded = time_series_folds(rows, n_splits).checkpoint()  # reliable, in spark.checkpoint.dir
+    early_stopping = early_stopping and cv
     pipe = build_pipeline(label=label, **gbt)
-    fold_pipe = build_pipeline(label=label, validation_col="_is_val", **gbt) if early_stopping else pipe
+    fold_pipe = build_pipeline(label=label, validation_col="_is_val", **{"validationTol": 0.0, **gbt}) if early_stopping else pipe
 
-    def fit_fold(f: int) -> DataFrame:
+    def fit_fold(f: int) -> tuple[DataFrame, int]:
         tr = folded.where((F.col("first_train_fold") >= 0) & (F.col("first_train_fold") <= f))
         te = folded.where(F.col("test_fold") == f)
         if early_stopping:
@@ -147,22 +151,27 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
         else:
             m = pipe.fit(tr)
         p = predict(m, te).select(F.col(label).alias("y"), F.col("predicted_fantasy_points").alias("yhat"))
-        r = regression_metrics(p).withColumn("fold", F.lit(f))
-        return spark.createDataFrame(r.collect(), r.schema)  # one metrics row per fold, kept with its fold
+        rounds = m.stages[-1].getNumTrees
+        r = regression_metrics(p).withColumn("fold", F.lit(f)).withColumn("best_iteration", F.lit(rounds))
+        return spark.createDataFrame(r.collect(), r.schema), rounds  # one metrics row per fold, kept with its fold
 
-    # the folds and the final fit are independent: fit them concurrently, Spark interleaves their
-    # jobs on the executors (small per-iteration GBT jobs otherwise leave most cores idle)
+    # the folds are independent: fit them concurrently, Spark interleaves their jobs on the executors
+    # (small per-iteration GBT jobs otherwise leave most cores idle); so is the final fit, unless the
+    # folds tell its rounds
     with ThreadPoolExecutor(max_workers=(n_splits if cv else 0) + 1) as pool:
-        final_fit = pool.submit(pipe.fit, folded)
-        cv_parts = list(pool.map(fit_fold, range(n_splits))) if cv else []
-        model = final_fit.result()
-    if not cv_parts:
+        final_fit = None if early_stopping else pool.submit(pipe.fit, folded)
+        parts = list(pool.map(fit_fold, range(n_splits))) if cv else []
+        model = final_fit.result() if final_fit else build_pipeline(
+            label=label, **{**gbt, "maxIter": math.ceil(sum(n for _, n in parts) / len(parts))}).fit(folded)
+    best = F.lit(model.stages[-1].getNumTrees).alias("best_iteration")
+    if not parts:
         final = regression_metrics(predict(model, folded).select(
             F.col(label).alias("y"), F.col("predicted_fantasy_points").alias("yhat")))
-        return TrainResult(model, final.withColumn("feature_count", F.lit(len(FEATURES))), final.limit(0),
+        no_folds = final.withColumn("fold", F.lit(0)).withColumn("best_iteration", F.lit(0)).limit(0)
+        return TrainResult(model, final.select("*", F.lit(len(FEATURES)).alias("feature_count"), best), no_folds,
                            feature_importance(spark, model))
-    cv = cv_parts[0]
-    for c in cv_parts[1:]:
+    cv = parts[0][0]
+    for c, _ in parts[1:]:
         cv = cv.unionByName(c)
     fitted = predict(model, folded).select(*key, F.col(label).alias("y"), F.col("predicted_fantasy_points").alias("yhat"))
     final = regression_metrics(fitted)
@@ -170,7 +179,7 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
                     F.avg("variance_score").alias("cv_mean_variance_score"),
                     (F.stddev_pop("variance_score") * 2).alias("cv_variance_2std"))
     metrics = final.select("*", *[cv_sum.select(c).scalar().alias(c) for c in cv_sum.columns],
-                           F.lit(len(FEATURES)).alias("feature_count"))
+                           F.lit(len(FEATURES)).alias("feature_count"), best)
     return TrainResult(model, metrics, cv, feature_importance(spark, model))
 
 

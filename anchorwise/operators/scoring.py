@@ -213,8 +213,24 @@ def _in_band(v: Column, lo: float | None, hi: float | None) -> Column:
     return cond
 
 
-def compile_rules(rules: list[Rule], role_col: str = "role_std", out_col: str = "is_out") -> dict[str, Column]:
+def points_type(rules: list[Rule]) -> str:
+    """Whole points stay long; one fractional rule makes all points double."""
+    return "long" if all(r.points.is_integer() for r in rules) else "double"
+
+
+def _points(rule: Rule, dtype: str) -> Column:
+    return F.lit(int(rule.points) if dtype == "long" else rule.points)
+
+
+def _linear(rule: Rule, dtype: str) -> Column:
+    """Points of one per-unit rule, in the total and the explanation alike: a null stat scores nothing."""
+    return F.coalesce((F.col(rule.column) * _points(rule, dtype)).cast(dtype), F.lit(0).cast(dtype))
+
+
+def compile_rules(rules: list[Rule], role_col: str = "role_std", out_col: str = "is_out",
+                  dtype: str | None = None) -> dict[str, Column]:
     """Rules -> {component name: points Column}. Components are the rule groups."""
+    dtype = dtype or points_type(rules)
     groups: dict[str, list[Rule]] = {}
     for r in rules:
         groups.setdefault(r.rule_group, []).append(r)
@@ -224,13 +240,12 @@ def compile_rules(rules: list[Rule], role_col: str = "role_std", out_col: str =
         if kind == "linear":
             expr = F.lit(0)
             for r in rs:
-                # a null stat scores nothing and leaves the group's other stats alone
-                expr = expr + F.coalesce(F.col(r.column) * F.lit(int(r.points) if r.points.is_integer() else r.points), F.lit(0))
+                expr = expr + _linear(r, dtype)
         elif kind in ("band", "rate_band"):
             v = _rate(rs[0].column)
             chain = None
             for r in sorted(rs, key=lambda r: r.priority):
-                pts = F.lit(int(r.points))
+                pts = _points(r, dtype)
                 chain = F.when(_in_band(v, r.min, r.max), pts) if chain is None else chain.when(_in_band(v, r.min, r.max), pts)
             expr = chain.otherwise(F.lit(0))
             if kind == "rate_band":
@@ -238,13 +253,13 @@ def compile_rules(rules: list[Rule], role_col: str = "role_std", out_col: str =
         elif kind == "duck":
             r = rs[0]
             cond = (F.col(r.column) == 0) & F.col(out_col) & F.col(role_col).isin(*r.roles)
-            expr = F.when(cond, F.lit(int(r.points))).otherwise(F.lit(0))
+            expr = F.when(cond, _points(r, dtype)).otherwise(F.lit(0))
         elif kind == "threshold":
             r = rs[0]
-            expr = F.when(F.col(r.column) >= F.lit(r.min), F.lit(int(r.points))).otherwise(F.lit(0))
+            expr = F.when(F.col(r.column) >= F.lit(r.min), _points(r, dtype)).otherwise(F.lit(0))
         else:  # pragma: no cover
             raise ValueError(kind)
-        comps[g] = F.coalesce(expr, F.lit(0)).cast("long")
+        comps[g] = F.coalesce(expr, F.lit(0)).cast(dtype)
     return comps
 
 
@@ -252,26 +267,27 @@ def score_components(lines: DataFrame, rules: list[Rule] | None = None) -> DataF
     """Adds one points column per rule group plus section totals and the total (K1-K6)."""
     rules = rules or flatten_rules(SCORING_RULES)
     comps = compile_rules(rules)
+    zero = F.lit(0).cast(points_type(rules))
     sections: dict[str, list[str]] = {}
     for r in rules:
         sections.setdefault(r.section, [])
         if r.rule_group not in sections[r.section]:
             sections[r.section].append(r.rule_group)
     out = lines.select("*", *[c.alias(n) for n, c in comps.items()])
-    totals = [sum((F.col(g) for g in gs), F.lit(0).cast("long")).alias(f"{s}_points") for s, gs in sections.items()]
+    totals = [sum((F.col(g) for g in gs), zero).alias(f"{s}_points") for s, gs in sections.items()]
     out = out.select("*", *totals)
-    return out.withColumn("total_points", sum((F.col(f"{s}_points") for s in sections), F.lit(0).cast("long")))
+    return out.withColumn("total_points", sum((F.col(f"{s}_points") for s in sections), zero))
 
 
 def explain_scores(lines: DataFrame, keys: list[str], rules: list[Rule] | None = None) -> DataFrame:
     """K7: one row per (line, firing rule) with its points; rules named as in the document."""
     rules = rules or flatten_rules(SCORING_RULES)
+    dtype = points_type(rules)
     items = []
     for r in rules:
         if r.kind == "linear":
-            pts = (F.col(r.column) * F.lit(int(r.points))).cast("long")
-            items.append(F.struct(F.lit(r.name).alias("rule"), pts.alias("points")))
-    comps = compile_rules([r for r in rules if r.kind != "linear"])
+            items.append(F.struct(F.lit(r.name).alias("rule"), _linear(r, dtype).alias("points")))
+    comps = compile_rules([r for r in rules if r.kind != "linear"], dtype=dtype)
     names = {r.rule_group: r for r in rules if r.kind != "linear"}
     for g, expr in comps.items():
         r = names[g]

@@ -11,14 +11,13 @@ from ..operators import features as FE
 from ..operators import model as M
 from ..sources import fixtures as fx
 from ..sources.sinks import output_path
+from . import oracle_features as OF
 from .prep_queries import TEST_END, TEST_START, TRAIN_CUTOFF
 from .views_sql import with_views
 
 R6 = 6
-# Trees per fit in the registered queries (library default mirrors the reference's 500):
-# the check runs six fits (five folds + final) per call, so it uses fewer rounds.
-QUERY_TREES = 20
 _MODELS: dict = {}
+_IN_RANGE = "isnan(predicted_fantasy_points) = false and predicted_fantasy_points between -2 and 200"  # P16's clip
 
 
 def _round(df: DataFrame, cols: set[str]) -> DataFrame:
@@ -33,12 +32,13 @@ def _features(spark: SparkSession, sf: str, anchors_fn) -> DataFrame:
     return f.where("is_valid")
 
 
-def _trained(spark: SparkSession, sf: str, cv: bool = False) -> M.TrainResult:
-    """Fitted once per session and folder (the fitted model is a small driver-side object)."""
-    key = (spark.sparkContext.applicationId, sf, QUERY_TREES, cv)
+def _trained(spark: SparkSession, sf: str) -> M.TrainResult:
+    """Fitted once per session and folder (the fitted model is a small driver-side object): up to the library's 500
+    rounds, ended by early stopping alone (M6)."""
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
         train = _features(spark, sf, lambda inn: A.training_anchors(inn, TRAIN_CUTOFF))
-        _MODELS[key] = M.train(spark, train, cv=cv, maxIter=QUERY_TREES)
+        _MODELS[key] = M.train(spark, train, early_stopping=True)
     return _MODELS[key]
 
 
@@ -52,11 +52,11 @@ def train_predict(spark, sf):
 
 def model_metrics(spark, sf):
     """M10 (+ M7-M9 in-sample and CV summary): one row."""
-    return _trained(spark, sf, cv=True).metrics
+    return _trained(spark, sf).metrics
 
 
 def cv_folds_metrics(spark, sf):
-    return _trained(spark, sf, cv=True).cv
+    return _trained(spark, sf).cv
 
 
 def feature_importance(spark, sf):
@@ -71,6 +71,45 @@ def save_load_model(spark, sf):
     return M.predict(loaded, test).select("match_id", "player_id", "predicted_fantasy_points")
 
 
+def train_predict_check(spark, sf):
+    """Which rows train_predict scores, with what actuals, and that every score is finite and inside the clip."""
+    return train_predict(spark, sf).select("match_id", "player_id", "match_date", "fantasy_points",
+                                           F.expr(_IN_RANGE).alias("in_range"))
+
+
+def model_metrics_check(spark, sf):
+    """The parts of model_metrics that don't depend on the trees."""
+    return model_metrics(spark, sf).select("n", F.round("target_std", R6).alias("target_std"), "feature_count",
+                                           F.col("best_iteration").between(1, 500).alias("rounds_ok"))
+
+
+def cv_fold_check(spark, sf):
+    """The parts of cv_fold_metrics that don't depend on the trees."""
+    return cv_folds_metrics(spark, sf).select("fold", "n", F.round("target_std", R6).alias("target_std"),
+                                              F.col("best_iteration").between(1, 500).alias("rounds_ok"))
+
+
+def feature_importance_check(spark, sf):
+    """All 30 features, each importance in [0, 1], their sum 1."""
+    imp = M.feature_importance(spark, _trained(spark, sf).model)
+    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"),
+                      F.round(imp.select(F.sum("importance")).scalar(), R6).alias("total"))
+
+
+def save_load_model_check(spark, sf):
+    """The model read back scores every test row as the one in memory does."""
+    return save_load_model(spark, sf).withColumnRenamed("predicted_fantasy_points", "_loaded").join(
+        train_predict(spark, sf), ["match_id", "player_id"]).select(
+        "match_id", "player_id", (F.col("_loaded") == F.col("predicted_fantasy_points")).alias("equal"))
+
+
+def predict_requests_check(spark, sf):
+    """Every request row is scored inside the clip and ranked within its request."""
+    return predict_requests(spark, sf).groupBy("request_id", "player_id", "team_no").agg(
+        F.count(F.lit(1)).alias("n"), F.every(F.expr(_IN_RANGE)).alias("in_range"),
+        F.every(F.expr("predicted_rank >= 1 and percentile between 0 and 100")).alias("ranked"))
+
+
 def predict_requests(spark, sf):
     """Requests -> anchors + 30 features (P10, M21, P11) -> model (M12) -> enrichment."""
     from .prep_queries import prediction_features
@@ -100,7 +139,7 @@ def pick_teams(spark, sf):
 def _pred_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
     """Candidate scores joined to the innings actuals on the (match, player) key."""
     inn = fx.innings(spark, sf)
-    p = EN.dedupe_first(fx.predictions(spark, sf, fx.requests(spark, sf, inn)), ["request_id", "player_id"],
+    p = EN.dedupe_first(fx.predictions(spark, sf), ["request_id", "player_id"],
                         [F.col("fp_pred").desc(), F.col("team_no").asc()])
     act = inn.where(F.col("fantasy_points").isNotNull()).select(
         F.col("match_id").alias("request_id"), "player_id", F.col("fantasy_points").alias("y"))
@@ -135,6 +174,12 @@ QUERIES = {
     "regression_metrics": regression_metrics,
     "variance_score": variance_score,
     "ts_folds": ts_folds,
+    "train_predict_check": train_predict_check,
+    "model_metrics_check": model_metrics_check,
+    "cv_fold_check": cv_fold_check,
+    "feature_importance_check": feature_importance_check,
+    "save_load_model_check": save_load_model_check,
+    "predict_requests_check": predict_requests_check,
 }
 
 _PVA = """dd AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id, player_id ORDER BY fp_pred DESC, team_no)
@@ -151,7 +196,23 @@ _METRICS = """COUNT(*) AS n, ROUND(SQRT(AVG((y - yhat) * (y - yhat))), 6) AS rms
 
 def oracles() -> dict[str, str]:
     w = with_views("innings", "predictions", extra=_PVA)
+    valid = f"""vf AS (SELECT f.match_id, f.player_id, f.match_date, i.fantasy_points
+   FROM ({OF.ALL_SELECT}) f JOIN innings i ON i.match_id = f.match_id AND i.player_id = f.player_id WHERE f.is_valid),
+tr AS (SELECT *, ROW_NUMBER() OVER (ORDER BY match_date, match_id, player_id) - 1 AS pos, COUNT(*) OVER () AS n FROM vf
+   WHERE match_date < DATE '{TRAIN_CUTOFF}' AND fantasy_points BETWEEN -5 AND 200),
+te AS (SELECT * FROM vf WHERE match_date >= DATE '{TEST_START}' AND match_date < DATE '{TEST_END}')"""
+    v = with_views("innings", "deliveries", "matchstat", "venue_stats", extra=",\n".join([OF.ANCHORS, *OF.ALL_CTES, valid]))
+    names = ", ".join(f"'{f}'" for f in FE.FEATURES)
     return {
+        "train_predict_check": v + "SELECT *, TRUE AS in_range FROM te",
+        "model_metrics_check": v + f"""SELECT COUNT(*) AS n, ROUND(STDDEV_POP(fantasy_points), 6) AS target_std,
+  CAST({len(FE.FEATURES)} AS INTEGER) AS feature_count, TRUE AS rounds_ok FROM tr""",
+        "cv_fold_check": v + """SELECT CAST((pos - (n - (n // 6) * 5)) // (n // 6) AS INTEGER) AS fold, COUNT(*) AS n,
+  ROUND(STDDEV_POP(fantasy_points), 6) AS target_std, TRUE AS rounds_ok FROM tr WHERE pos >= n - (n // 6) * 5 GROUP BY 1""",
+        "feature_importance_check": f"SELECT UNNEST([{names}]) AS feature, TRUE AS in_range, CAST(1 AS DOUBLE) AS total",
+        "save_load_model_check": v + "SELECT match_id, player_id, TRUE AS equal FROM te",
+        "predict_requests_check": with_views("requests") + """SELECT request_id, player_id, team_no, COUNT(*) AS n,
+  TRUE AS in_range, TRUE AS ranked FROM requests GROUP BY request_id, player_id, team_no""",
         "regression_metrics": w + f"SELECT {_METRICS} FROM pva",
         "variance_score": w + """SELECT request_id, COUNT(*) AS n,
   ROUND(CASE WHEN VAR_POP(y) = 0 THEN 0 ELSE 1 / (1 + ABS(VAR_POP(yhat) / VAR_POP(y) - 1)) END, 6) AS variance_score,

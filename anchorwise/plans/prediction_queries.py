@@ -103,15 +103,15 @@ def probability_summary(spark, sf):
 
 
 def roundtrip_sinks(spark, sf):
-    """Tagged predictions partitioned by request, the report as JSON; read back from the shared folder."""
+    """Tagged predictions sorted by request, the report as JSON; read back from the shared folder."""
     from ..sources.sinks import output_path, save_predictions
 
     e = _enriched(spark, sf).select("request_id", "player_id", "team_no", "fp_pred", "predicted_rank",
                                     "variance_category")
     path = save_predictions(e, output_path(spark, "predictions"), MODEL_TYPE,
                             report=R.quality_report(fx.predictions(spark, sf)))
-    back = spark.read.parquet(f"{path}/predictions")  # request_id comes back as the partition column
-    return back.select(F.col("request_id").cast("long").alias("request_id"), "player_id", "team_no", "fp_pred", "predicted_rank", "variance_category",
+    back = spark.read.parquet(f"{path}/predictions")
+    return back.select("request_id", "player_id", "team_no", "fp_pred", "predicted_rank", "variance_category",
                        "model_type")
 
 

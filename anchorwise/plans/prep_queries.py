@@ -92,7 +92,7 @@ def opponent_squads(spark, sf):
 def prediction_features(spark, sf):
     """P10 -> M21 -> P11: request anchors, all 30 features, invalid anchors replaced by the default row."""
     ds = fx.load_datasets(spark, sf)
-    anc = A.prediction_anchors(fx.requests(spark, sf, ds.innings))
+    anc = A.prediction_anchors(fx.requests(spark, sf))
     f = FE.build_features(anc, ds.innings, ds.deliveries, ds.matchstat, ds.venue_stats,
                           keep=["request_id", "player_id", "team_no"], with_prior_venue=False)
     f = FE.replace_invalid_with_defaults(f)
@@ -199,6 +199,9 @@ FROM innings GROUP BY CAST(YEAR(match_date) AS INTEGER)""",
   WHERE fantasy_points IS NOT NULL AND match_date IS NOT NULL AND match_date < DATE '{TRAIN_CUTOFF}'""",
         "test_anchors": with_views("innings") + anchors_cols + f"""
   WHERE match_date >= DATE '{TEST_START}' AND match_date < DATE '{TEST_END}' AND fantasy_points IS NOT NULL""",
+        "sample_anchors": with_views("innings") + anchors_cols + f"""
+  WHERE fantasy_points IS NOT NULL AND match_date IS NOT NULL AND match_date < DATE '{TRAIN_CUTOFF}'
+  ORDER BY MD5(CONCAT_WS(':', match_id, player_id, '42')), match_id, player_id LIMIT {SAMPLE_N}""",
         "prediction_anchors": with_views("requests") + """SELECT request_id, player_id, team_no, CAST(cutoff_date AS DATE) AS cutoff_date,
   CAST(cutoff_date AS DATE) + 1 AS match_date, venue_id, CAST(NULL AS BIGINT) AS opposition_id FROM requests""",
         "opponent_squads": with_views("requests", extra="""sq AS (SELECT request_id, team_no,

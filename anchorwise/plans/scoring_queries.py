@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,17 @@ def score_explained(spark: SparkSession, sf: str) -> DataFrame:
     return S.explain_scores(fx.stat_lines(spark, sf), KEY)
 
 
+def score_fractional(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 + K7 over stat lines with null stats and a rule set with a fractional rule: total and explained points of a
+    key agree (a few keys have several lines)."""
+    lines = fx.stat_lines(spark, sf).withColumn("fours", F.when(F.col("player_id") % 11 != 0, F.col("fours")))
+    rules = [replace(r, points=0.5) if r.name == "Run" else r for r in S.flatten_rules(S.SCORING_RULES)]
+    total = S.score_components(lines, rules).groupBy(*KEY).agg(F.sum("total_points").alias("total_points"))
+    explained = S.explain_scores(lines, KEY, rules).groupBy(*KEY).agg(F.sum("points").alias("_explained"))
+    return total.join(explained, KEY, "left").select(
+        *KEY, "total_points", (F.coalesce("_explained", F.lit(0.0)) == F.col("total_points")).alias("explained"))
+
+
 def score_rule_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Lines and points per rule over all stat lines, with the rules read from a JSON document."""
     import json
@@ -53,6 +66,7 @@ QUERIES = {
     "score_total": score_total,
     "score_explained": score_explained,
     "score_rule_summary": score_rule_summary,
+    "score_fractional": score_fractional,
 }
 
 _SR = "CAST(runs_batting AS DOUBLE) * 100 / balls_faced"
@@ -122,6 +136,12 @@ def oracles() -> dict[str, str]:
   batting_direct + milestones + strike_rate + duck + bowling_direct + wicket_bonuses + economy_rate
     + fielding_direct + catch_bonus AS total_points FROM sc""",
         "score_explained": w + _EXPLAINED,
+        "score_fractional": w + """SELECT match_id, player_id, line_no, CAST(all_points - less AS DOUBLE) AS total_points, TRUE AS explained
+FROM (SELECT match_id, player_id, line_no, SUM(batting_direct + milestones + strike_rate + duck + bowling_direct + wicket_bonuses
+  + economy_rate + fielding_direct + catch_bonus) AS all_points FROM sc GROUP BY match_id, player_id, line_no)
+JOIN (SELECT match_id, player_id, line_no, SUM(CAST(runs_batting AS DOUBLE) / 2
+  + CASE WHEN player_id % 11 = 0 THEN 4 * fours ELSE 0 END) AS less FROM stat_lines GROUP BY match_id, player_id, line_no)
+USING (match_id, player_id, line_no)""",
         "score_rule_summary": w + f"""SELECT rule, COUNT(*) AS n_lines, CAST(SUM(points) AS BIGINT) AS points
   FROM ({_EXPLAINED}) GROUP BY rule""",
     }

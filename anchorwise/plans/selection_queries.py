@@ -19,7 +19,7 @@ R6 = 6
 
 def starting_probability(spark: SparkSession, sf: str) -> DataFrame:
     inn = fx.innings(spark, sf)
-    req = fx.requests(spark, sf, inn)
+    req = fx.requests(spark, sf)
     sp = SEL.starting_probability(inn, req)
     return sp.select("request_id", "player_id", "team_no", F.round("starting_probability", R6).alias("starting_probability"))
 
@@ -29,7 +29,7 @@ def _cands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feasibility(spark: SparkSession, sf: str) -> DataFrame:
-    return SEL.feasibility(_cands(spark, sf))
+    return SEL.feasibility(_cands(spark, sf), fx.requests(spark, sf))
 
 
 def _team(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,10 +195,11 @@ def oracles() -> dict[str, str]:
   ({froles_ok}) AND n_candidates >= 11 AND ({team_ok}) AS feasible, likely_starters < 11 AS likely_starters_warning,
   CONCAT_WS('; ', {reasons}, CASE WHEN n_candidates < 11 THEN 'not enough players' END,
      CASE WHEN NOT ({team_ok}) THEN 'not enough players with team limits' END) AS reasons
-FROM (SELECT request_id, COUNT(*) AS n_candidates, {role_counts},
+FROM (SELECT request_id, COUNT(role_std) AS n_candidates, {role_counts},
   COUNT(CASE WHEN team_no = 1 THEN 1 END) AS n_team1, COUNT(CASE WHEN team_no = 2 THEN 1 END) AS n_team2,
   COUNT(CASE WHEN hi = 1 THEN 1 END) AS n_high_probability,
-  COUNT(CASE WHEN starting_probability >= 0.5 THEN 1 END) AS likely_starters FROM cand GROUP BY request_id)""",
+  COUNT(CASE WHEN starting_probability >= 0.5 THEN 1 END) AS likely_starters
+  FROM (SELECT DISTINCT request_id FROM requests) LEFT JOIN cand USING (request_id) GROUP BY request_id)""",
         "select_team": w + """SELECT request_id, player_id, team_no, role_std, fp_pred, starting_probability,
   ROUND(prediction_confidence, 6) AS prediction_confidence, ROUND(weight, 6) AS weight, ROUND(objective, 6) AS objective
 FROM sel""",

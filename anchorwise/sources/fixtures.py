@@ -249,6 +249,16 @@ def materialize_views(spark: SparkSession, sf_dir: str) -> None:
             list(pool.map(lambda view: view(spark, sf_dir), wave))
 
 
+def reset_views(spark: SparkSession) -> None:
+    """Forget this session's stored views and delete their folders: call it after the input folder changed, and
+    at the end of a run. Frames built on the views before can't be read afterwards."""
+    jvm = spark.sparkContext._jvm
+    for key in [k for k in _STORED if k[0] == spark.sparkContext.applicationId]:
+        for file in _STORED.pop(key).inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def load_datasets(spark: SparkSession, sf_dir: str) -> Datasets:
     """All domain views of a scale-factor folder; lazy, no action is run."""
     inn = innings(spark, sf_dir)
@@ -257,5 +267,5 @@ def load_datasets(spark: SparkSession, sf_dir: str) -> Datasets:
         profiles=profiles(spark, sf_dir),
         venue_stats=venue_stats(spark, sf_dir),
         deliveries=deliveries(spark, sf_dir),
-        matchstat=matchstat(spark, sf_dir, inn),
+        matchstat=matchstat(spark, sf_dir),
     )
