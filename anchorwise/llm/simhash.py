@@ -29,6 +29,7 @@ from .shared import sized, stored
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 BLOCK = 256
+SLICE = 1 << 20  # bytes of text at a time: about 50 bytes of arrays for each
 TILE_LEAST, TILE_MOST, TILES = 4096, 131072, 256
 _ONE = np.uint64(1)
 
@@ -39,7 +40,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        for rows, data, off in tx.slices(batches):
+        for rows, data, off in tx.slices(batches, SLICE):
             data = tx.lowered(data)
             starts, ends, bounds = tx.words(data, off)
             letters = ends - starts
