@@ -88,7 +88,7 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = loaded(vocabulary)
-        for rows, data, off in tx.slices(batches, 2 * tx.SLICE_BYTES):
+        for rows, data, off in tx.slices(batches, tx.SLICE_BYTES // 2):
             flat, bounds = ended(*units.encode(data, off), end)
             n = np.diff(bounds)
             parts = -(-n // capacity)
