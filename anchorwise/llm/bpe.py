@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from . import text as tx
 
 CACHE, PAIRS = 400_000, 500_000  # words and pairs that a worker remembers
-_LOADED: dict[tuple[str, str], Replay] = {}
 
 
 class Replay:
@@ -146,9 +145,7 @@ class Replay:
 
 
 def loaded(path: str, pattern: str) -> Replay:
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = Replay(path, pattern)
-    return _LOADED[path, pattern]
+    return tx.warm(("replay", path, pattern), lambda: Replay(path, pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -34,7 +34,6 @@ ROUNDS = 3
 FLOOR = 1e-7  # of a character that no piece covers, and of pieces not seen in a language
 CACHE = 300_000
 _PIECES: dict[str, dict[str, int]] = {}
-_KNOWN: dict[str, dict[str, np.ndarray]] = {}
 
 
 def vocabulary(path: str) -> dict[str, int]:
@@ -54,13 +53,11 @@ def vocabulary(path: str) -> dict[str, int]:
 
 
 def remembered(key: str) -> dict[str, np.ndarray]:
-    """Scores of words already seen by this worker under one model; another model's are dropped."""
-    if key not in _KNOWN:
-        _KNOWN.clear()
-        _KNOWN[key] = {}
-    if len(_KNOWN[key]) > CACHE:
-        _KNOWN[key].clear()
-    return _KNOWN[key]
+    """Scores of words already seen by this worker under one model."""
+    known = tx.warm(("langid", key), dict)
+    if len(known) > CACHE:
+        known.clear()
+    return known
 
 
 def parts(word: str) -> list[str]:

@@ -35,18 +35,19 @@ DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-f
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 WORDY = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}|[/_=+-])+\Z")
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, n_random long, spans array<struct<kind:string,start:int,end:int>>"
-_LOADED: dict[tuple[str, str], object] = {}
 
 
 def encoder(path: str, pattern: str):
-    """tiktoken's encoder, one per worker process."""
-    if (path, pattern) not in _LOADED:
+    """A worker's tiktoken encoder."""
+
+    def make():
         import tiktoken
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        _LOADED[path, pattern] = tiktoken.Encoding("secrets", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _LOADED[path, pattern]
+        return tiktoken.Encoding("secrets", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return tx.warm(("secrets", path, pattern), make)
 
 
 def identifier(run: str) -> bool:

@@ -8,10 +8,11 @@ work happens once per *distinct* string of a slice. Slices bound the memory; a t
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_WARM: dict[Hashable, object] = {}
 
 
 def remainder(doc_id: str = "doc_id") -> Column:
@@ -39,6 +41,7 @@ def small_batches(spark, rows: int = 1000) -> None:
 
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, offsets) of whole documents, about ``limit`` bytes each; small batches are put together."""
+    _only_this_stage()
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -68,6 +71,24 @@ def released() -> None:
         libc.malloc_trim(0)
 
 
+def warm(key: Hashable, make: Callable[[], object]):
+    """What a worker keeps between the tasks of a stage: a vocabulary and the words it met."""
+    _only_this_stage()
+    if key not in _WARM:
+        _WARM[key] = make()
+    return _WARM[key]
+
+
+def _only_this_stage() -> None:
+    """Drops what a worker kept for another stage, so operators that run one after the other don't add up."""
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if _WARM.get("stage") != stage:
+        _WARM.clear()
+        released()
+        _WARM["stage"] = stage
+
+
 def _joined(held: list[pa.RecordBatch], column: str):
     table = pa.Table.from_batches(held).combine_chunks()
     rows = table.to_batches()[0]

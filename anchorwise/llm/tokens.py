@@ -10,7 +10,6 @@ import numpy as np
 from . import text as tx
 
 CACHE = 800_000  # units that a worker remembers
-_LOADED: dict[str, Units] = {}
 
 
 class Units:
@@ -44,10 +43,8 @@ class Units:
 
 
 def loaded(path: str) -> Units:
-    """One encoder per worker process and vocabulary file."""
-    if path not in _LOADED:
-        _LOADED[path] = Units(path)
-    return _LOADED[path]
+    """A worker's encoder."""
+    return tx.warm(("units", path), lambda: Units(path))
 
 
 def ended(flat: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
