@@ -59,7 +59,7 @@ def clean_key(c: Column) -> Column:
     """Dirty text id -> long (P5): trim, 'nan' -> null, numeric or null, then integral part."""
     s = F.trim(c.cast("string"))
     num = F.when(s == "nan", F.lit(None)).otherwise(s).try_cast("double")
-    return F.when(num.isNotNull() & ~F.isnan(num), num.cast("long"))
+    return F.when(num.isNotNull() & ~F.isnan(num), num.try_cast("long"))
 
 
 def clean_name(c: Column) -> Column:
@@ -85,6 +85,17 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str = "table")
     return df
 
 
+def number(c: Column, dtype: str) -> Column:
+    """Text or number to a numeric type: '1.0' is a whole number; junk, NaN and infinities are null."""
+    d = c.try_cast("double")
+    d = F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
+    return d if dtype == "double" else F.coalesce(c.try_cast(dtype), d.try_cast(dtype))
+
+
+def _typed(c: Column, dtype: str) -> Column:
+    return c.try_cast(dtype) if dtype == "string" else number(c, dtype)
+
+
 def conform(df: DataFrame, spec: Mapping[str, tuple[Sequence[str], str, object]]) -> DataFrame:
     """Alias -> canonical columns with types and defaults.
 
@@ -98,7 +109,7 @@ def conform(df: DataFrame, spec: Mapping[str, tuple[Sequence[str], str, object]]
         present = [n for n in (canon, *aliases) if n in df.columns]
         used.update(present)
         if present:
-            expr = F.coalesce(*[F.col(f"`{n}`").try_cast(dtype) for n in present])  # junk -> null, never a failed job
+            expr = F.coalesce(*[_typed(F.col(f"`{n}`"), dtype) for n in present])  # junk -> null, never a failed job
         else:
             expr = F.lit(default).cast(dtype)
         cols.append(expr.alias(canon))

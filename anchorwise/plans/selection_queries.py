@@ -216,6 +216,8 @@ FROM (SELECT request_id, COUNT(*) AS n_players, COUNT(DISTINCT player_id) AS n_u
   ROUND(SUM(fp_pred * starting_probability), 6) AS weighted_points,
   ROUND(AVG(starting_probability), 6) AS avg_starting_probability, ROUND(AVG(prediction_confidence), 6) AS avg_confidence,
   COUNT(CASE WHEN starting_probability >= 0.8 THEN 1 END) AS high_probability_starters,
+  COUNT(CASE WHEN prediction_confidence >= CAST(0.8 AS DOUBLE) THEN 1 END) AS high_confidence_players,
+  COUNT(CASE WHEN team_no = 1 THEN 1 END) AS n_team1, COUNT(CASE WHEN team_no = 2 THEN 1 END) AS n_team2,
   ROUND(STDDEV_SAMP(fp_pred), 6) AS team_std, {role_counts},
   CASE WHEN STDDEV_SAMP(fp_pred) > 8 THEN 'HIGH' WHEN STDDEV_SAMP(fp_pred) > 4 THEN 'MODERATE' ELSE 'LOW' END
     AS team_variance_quality

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.cleaning import (DELIVERY_SPEC, MATCHSTAT_SPEC, VENUE_SPEC, clean_key, clean_name, conform,
-                                  normalize_result, parse_date, require_columns)
+                                  normalize_result, number, parse_date, require_columns)
 from .fixtures import Datasets
 
 INNINGS_REQUIRED = ["player_id", "match_date", "fantasy_points"]
@@ -30,23 +30,32 @@ INNINGS_SCHEMA = T.StructType([
     T.StructField("innings_bowling", T.IntegerType()),
     T.StructField("fantasy_points", T.DoubleType()),
 ])
+MATCH_KEY = T.StructType([T.StructField("match_id", T.LongType())])
+CROSSWALK_SCHEMA = T.StructType([
+    T.StructField("ground_name_howstat", T.StringType()),
+    T.StructField("ground_id_howstat", T.LongType()),
+    T.StructField("ground_id_espn", T.LongType()),
+    T.StructField("ground_name_espn", T.StringType()),
+    T.StructField("City", T.StringType()),
+])
 
 
 def _csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", True).csv(path)
+    """All columns as text, in one pass; the readers give them their types by name."""
+    return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
 def typed_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast the schema's columns *by name* (a CSV schema would be applied by position); integral
-    targets go through double so '1.0' from float-typed writers survives; other columns are kept."""
+    """Cast the schema's columns *by name* (a CSV schema would be applied by position); '1.0' from
+    float-typed writers is a whole number, junk, NaN and infinities are null; other columns are kept."""
     names = {f.name for f in schema}
     cols = []
     for f in schema:
         if f.name not in df.columns:
             continue
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.LongType, T.IntegerType)):
-            c = c.try_cast("double").cast(f.dataType)
+        if isinstance(f.dataType, (T.LongType, T.IntegerType, T.DoubleType)):
+            c = number(c, f.dataType.simpleString())
         elif not isinstance(f.dataType, T.StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
@@ -96,13 +105,14 @@ def read_matchstat(spark: SparkSession, path: str) -> DataFrame | None:
     df = read_optional(spark, path)
     if df is None:
         return None
+    df = typed_by_name(df, MATCH_KEY)
     df = conform(df, MATCHSTAT_SPEC).withColumn("match_date", parse_date(F.col("match_date")))
     return df.withColumn("result", normalize_result(F.col("result")))
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
     """Venue id crosswalk (quoted names with commas, blank-padded city)."""
-    df = spark.read.option("header", True).option("quote", '"').option("inferSchema", True).csv(path)
+    df = typed_by_name(_csv(spark, path), CROSSWALK_SCHEMA)
     return df.select(*[F.trim(F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
 
 

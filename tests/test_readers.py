@@ -70,3 +70,16 @@ def test_team_sink_roundtrip(spark):
     path = SK.write_team(team, SK.output_path(spark, "team"))
     back = spark.read.parquet(path)
     assert back.count() == 3 and os.path.isdir(f"{path}/request_id=1")
+
+
+def test_nan_infinity_and_junk_text_are_null(spark):
+    folder = tempfile.mkdtemp(prefix="anchorwise-csv-")
+    with open(f"{folder}/innings.csv", "w") as fh:
+        fh.write("player_id,match_date,fantasy_points,fours,match_id\n"
+                 "1.0,20240101,nan,inf,7\nNaN,2024-01-02,12.5,2,x\n9007199254740993,2024-01-03,Infinity,1,8\n")
+    rows = RD.read_innings(spark, f"{folder}/innings.csv").collect()
+    assert [r["player_id"] for r in rows] == [1, None, 9007199254740993]
+    assert [r["fantasy_points"] for r in rows] == [None, 12.5, None]
+    assert [r["fours"] for r in rows] == [None, 2.0, 1.0] and [r["match_id"] for r in rows] == [7, None, 8]
+    keys = spark.createDataFrame([("inf",), ("nan",), (" 5 ",)], "k string")
+    assert [r[0] for r in keys.select(RD.clean_key(F.col("k"))).collect()] == [None, None, 5]
