@@ -301,18 +301,18 @@ def _state(rows: list[dict]) -> pa.Table:
 def discounts(n: list[int]) -> np.ndarray:
     """Good-Turing discounts d[r] of counts r = 0..K from the counts of counts n[1..K+1] (n[0] is count 1); d[0] is 0.
 
-    Where the counts of counts are too thin for the formula (a discount outside 0 to 1), all counts up to K lose
-    the share n1 / (n1 + 2 n2) of one occurrence instead."""
-    out = np.zeros(K + 1)
-    n1, last = n[0], n[K]
-    common = (K + 1) * last / n1 if n1 else 1.0
-    for r in range(1, K + 1):
-        if n[r - 1] and common < 1:
-            out[r] = ((r + 1) * n[r] / (r * n[r - 1]) - common) / (1 - common)
-    if not all(0 < d < 1 for d in out[1:]):
-        lost = n1 / (n1 + 2 * n[1]) if n1 and n[1] else 0.5
-        out[1:] = 1 - lost / np.arange(1, K + 1)
-    return out
+    Groups of copies push up single counts of counts, so the formula takes them from the line that fits
+    log n[r] over log r best (Gale and Sampson's smoothing), on every table. With slope s they are in proportion to
+    r ** s, and all discounts lie in 0 to 1 for s below -1. A table too small or too odd for such a line has Zipf's -2."""
+    r = np.arange(1, K + 2)
+    seen = np.array(n[: K + 1], float)
+    at = seen > 0
+    slope = np.polyfit(np.log(r[at]), np.log(seen[at]), 1)[0] if at.sum() > 1 else -2.0
+    if not slope < -1:
+        slope = -2.0
+    common = (K + 1.0) ** (slope + 1)  # (K + 1) n[K + 1] / n[1]
+    ratio = (1 + 1 / r[:K]) ** (slope + 1)  # (r + 1) n[r + 1] / (r n[r])
+    return np.concatenate([[0.0], (ratio - common) / (1 - common)])
 
 
 class Model:

@@ -184,6 +184,25 @@ def test_katz(spark, folder, hot, monkeypatch):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
 
 
+#: Words and pairs seen 1 to 6 times in the training rows of sf0.01 and sf0.1, counted apart from the operator.
+@pytest.mark.parametrize("n", [[47735, 12166, 4990, 2407, 2203, 1012], [184712, 23127, 5984, 1951, 2262, 607], [200420, 57120, 23804, 13644, 12859, 6775], [1482341, 227973, 46941, 19718, 17404, 6993]])
+def test_discounts_are_good_turings(n):
+    x, y = [math.log(r) for r in range(1, 7)], [math.log(v) for v in n]
+    mx, my = sum(x) / 6, sum(y) / 6
+    slope = sum((a - mx) * (b - my) for a, b in zip(x, y, strict=True)) / sum((a - mx) ** 2 for a in x)
+    fit = [math.exp(my + slope * (a - mx)) for a in x]
+    common = 6 * fit[5] / fit[0]
+    want = [((r + 1) * fit[r] / (r * fit[r - 1]) - common) / (1 - common) for r in range(1, 6)]
+    got = katz.discounts(n)
+    assert got[0] == 0 and np.allclose(got[1:], want) and all(0 < d < 1 for d in want) and want == sorted(want)
+
+
+@pytest.mark.parametrize("n", [[0] * 6, [3, 0, 0, 0, 0, 0], [0, 5, 0, 0, 0, 0], [1, 2, 3, 4, 5, 6], [9, 0, 0, 0, 4, 0]])
+def test_discounts_of_thin_counts(n):
+    got = katz.discounts(n)[1:]
+    assert all(0 < d < 1 for d in got) and list(got) == sorted(got)
+
+
 def test_katz_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = katz.fit_and_score(docs, text.remainder() > 9).collect()
