@@ -1,10 +1,10 @@
 """Secret scans: patterns, and a token-efficiency test for random strings.
 
 Prose has many characters to a token of a public vocabulary, random strings few. Runs of at least ``MIN_CHARS``
-characters of ``[A-Za-z0-9+/=_-]``, letters with digits or of both cases, outside the pattern spans, are encoded with tiktoken;
-those with less than ``MAX_RATIO`` characters a token are reported as kind ``random``. Known digests and
-identifiers are left out first: hexadecimal strings of a digest's length, UUIDs, dotted or dated numbers, paths, and
-names made of words joined by ``_`` or ``-`` or by changes of case.
+characters of ``[A-Za-z0-9+/=_-]`` outside the pattern spans are encoded with tiktoken; those with less than
+``MAX_RATIO`` characters a token are reported as kind ``random``. Only known digests (hexadecimal strings of a digest's
+length), UUIDs, numbers, runs without a letter and repeats of one character are left out before. Of the others, a run is a name
+only if words of the vocabulary, of ``WORD_CHARS`` letters a token or more, make up at least half of it.
 
 Null texts count as empty and have no span. Rows are kept one for one; an empty table gives no rows; other columns
 pass through ``redact`` and are ignored by ``scan``.
@@ -33,7 +33,9 @@ MIN_CHARS, MAX_RATIO = 20, 2.0
 RUN = re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % MIN_CHARS)
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})\Z")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
-WORDY = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}|[/_=+-])+\Z")
+NUMBER = re.compile(r"[0-9+/=_-]+(?:[eE][+-]?[0-9]+)?\Z")
+WORD_CHARS = 4
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")  # no part of a run is read twice
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, n_random long, spans array<struct<kind:string,start:int,end:int>>"
 
 
@@ -50,13 +52,17 @@ def encoder(path: str, pattern: str):
     return tx.warm(("secrets", path, pattern), make)
 
 
-def identifier(run: str) -> bool:
-    """A known digest, or a name that people or programs read."""
-    if DIGEST.match(run) or UUID.match(run):
-        return True
-    if not any(c.isalpha() for c in run) or not any(c.isdigit() for c in run) and (run.islower() or run.isupper()):
-        return True  # numbers, rules of one character, plain words
-    return bool(WORDY.match(run)) and sum(c.isdigit() for c in run) <= len(run) // 4
+def known(run: str) -> bool:
+    """A known digest, a number or a rule of one character."""
+    return bool(DIGEST.match(run) or UUID.match(run) or NUMBER.match(run)) or len(set(run)) == 1
+
+
+def name(run: str, encode) -> bool:
+    """At least half of the run is in words of few tokens, as they stand or as they begin in prose."""
+    words = [w for w in WORD.findall(run) if len(w) >= WORD_CHARS]
+    if 2 * sum(map(len, words)) < len(run):
+        return False
+    return 2 * sum(len(w) for w in words if WORD_CHARS * min(len(encode(w)), len(encode(" " + w.lower()))) <= len(w)) >= len(run)
 
 
 def spans(text: str, encode) -> list[tuple[int, int, int]]:
@@ -73,9 +79,9 @@ def spans(text: str, encode) -> list[tuple[int, int, int]]:
         base = sorted(found)
         for a, b in runs:
             run = text[a:b]
-            if any(s < b and a < e for s, _, e in base) or identifier(run):
+            if any(s < b and a < e for s, _, e in base) or known(run):
                 continue
-            if len(run) < MAX_RATIO * len(encode(run)):
+            if len(run) < MAX_RATIO * len(encode(run)) and not name(run, encode):
                 found.append((a, 3, b))
     return sorted(found)
 

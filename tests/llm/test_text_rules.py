@@ -77,6 +77,17 @@ def test_random_strings_are_secrets_and_names_are_not():
         assert secrets.spans(f"see {name} there", encode) == []
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"])
+def test_random_strings_of_one_case_are_secrets(letters):
+    encode = secrets.encoder(P.path(queries.RANKS_50K), P.PATTERN).encode_ordinary
+    rnd = random.Random(9)
+    keys = ["".join(rnd.choice(letters) for _ in range(32)) for _ in range(500)]
+    few = [k for k in keys if len(k) < 2 * len(encode(k))]
+    assert len(few) > 450 and all([k for _, k, _ in secrets.spans(f"see {key} there", encode)] == [3] for key in few)
+    for name in ("MAX_INTERNAL_BUFFER_SIZE_V2_0", "internationalization", "wp-content/uploads/2019/05/my-photo", "85192780976896427000E+58"):
+        assert secrets.spans(f"see {name} there", encode) == []
+
+
 def test_redaction_keeps_rows_and_columns(spark, edge):
     docs = queries.documents(spark, edge)
     clean = secrets.redact(docs, P.path(queries.RANKS_50K), P.PATTERN)
