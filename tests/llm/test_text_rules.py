@@ -47,6 +47,27 @@ def test_quality_bands(spark):
     assert (got[0], got[1], got[2], got[4]) == ("", "", "", "repetitive") and got[3] in ("incompressible", "chunks")
 
 
+def test_quality_of_prose_with_base64():
+    import base64
+
+    import zstandard
+
+    from anchorwise.llm import quality
+
+    compress = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    rnd = random.Random(2)
+    rows = duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' WHERE length(text) BETWEEN 4000 AND 60000 ORDER BY doc_id").fetchall()
+    clean = [t.encode() for (t,) in rows if quality.verdict(t.encode(), compress)[3] == ""]
+    assert len(clean) > 0.9 * len(rows)
+    prose = b"\n".join(clean)
+    for size, share in ((100_000, 0.65), (100_000, 0.3), (30_000, 0.5), (30_000, 0.35), (6_000, 0.7)):
+        noise = base64.b64encode(rnd.randbytes(size))[: int(size * share)]
+        half = (size - len(noise)) // 2
+        for text in (prose[: size - len(noise)] + noise, noise + prose[: size - len(noise)], prose[:half] + noise + prose[half : size - len(noise)]):
+            assert quality.verdict(text, compress)[3] in ("chunks", "incompressible"), (size, share)
+        assert quality.verdict(prose[:size], compress)[3] == ""
+
+
 def quality_rows(spark, docs):
     from anchorwise.llm import quality
 
