@@ -109,6 +109,14 @@ def test_random_strings_of_one_case_are_secrets(letters):
         assert secrets.spans(f"see {name} there", encode) == []
 
 
+def test_long_runs_are_read_once():
+    encode = secrets.encoder(P.path(queries.RANKS_50K), P.PATTERN).encode_ordinary
+    padded = "A" * 70 + "b3Kx9/QzT7" * 12  # a base64 line that begins with zero bytes
+    for line in (padded, "A" * 60 + "1a", "a" * 60 + "-B-" + "c" * 60 + "1-d", "ab" * 200_000 + "1-d"):
+        secrets.spans(f"see {line} there", encode)  # one pass: a pattern that backtracks does not end
+    assert [k for _, k, _ in secrets.spans(padded[60:], encode)] == [3]
+
+
 def test_redaction_keeps_rows_and_columns(spark, edge):
     docs = queries.documents(spark, edge)
     clean = secrets.redact(docs, P.path(queries.RANKS_50K), P.PATTERN)
