@@ -4,7 +4,9 @@ P(w | v) = d(c(vw)) c(vw) / c(v) for pairs seen in training, else a(v) P(w); P(w
 words, and what discounting frees for the unknown word. d is Good-Turing's discount for counts up to ``K`` and 1
 above; a(v) and Z are fixed so that each distribution sums to one exactly. The recursion ends at the unknown word.
 
-Nothing is looked up token by token. Documents are dealt to chunks of bounded size, and the work goes in three steps:
+Nothing is looked up token by token. Documents are dealt to chunks of bounded size by id, text, input partition and how
+often the partition had both before, so rows that share an id, or are equal, spread over the chunks. The input is read twice
+and must give the same rows in each partition both times, in any order. The work goes in three steps:
 
 1. A chunk's distinct words go to word buckets, which add the counts, number the words and reply ids and counts.
 2. The chunk sends its distinct word pairs, with their counts and the documents that have them, to context buckets.
@@ -29,6 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,16 +77,20 @@ def ascending(a: np.ndarray) -> np.ndarray:
 _BUNDLE = "chunk long, doc_ids array<long>, train array<boolean>, bytes array<long>, text binary"
 
 
-def _bundle():
+def _bundle(chunks: int):
     """An input partition's documents in lower case, put together and compressed by chunk."""
 
     def run(batches):
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
+        partition, seen = TaskContext.get().partitionId(), {}
         for rows, data, off in tx.slices(batches, 4 * tx.SLICE_BYTES):
             data = tx.lowered(data)
-            of = rows.column("chunk").to_numpy()
+            of = np.empty(rows.num_rows, np.int64)
+            for k, key in enumerate(rows.column("key").to_pylist()):
+                before = seen[key] = seen.get(key, -1) + 1
+                of[k] = zlib.crc32(struct.pack("<qqq", key, partition, before)) % chunks
             doc_ids, train, sizes = rows.column("doc_id"), rows.column("train"), np.diff(off)
             for chunk in np.unique(of).tolist():
                 at = np.flatnonzero(of == chunk)
@@ -179,6 +186,8 @@ def _send_pairs(buckets: int, hot: int):
         number = table.column("chunk")[0].as_py()
         got = [unpack(r) for r in replies.sort_by("bucket").column("reply").to_pylist()]
         ids, counts = (np.concatenate([g[i] for g in got]) for i in range(2))
+        if len(ids) != len(chunk.words):
+            raise ValueError("the documents were not the same when they were read again")
         before = np.empty_like(chunk.tokens)
         before[1:] = chunk.tokens[:-1]
         before[chunk.bounds[:-1]] = chunk.end
@@ -381,6 +390,11 @@ def _add_up(chunk: pa.Table, parts: pa.Table) -> pa.Table:
     return pa.table({c: pa.array(v, pa.int64() if c in ("doc_id", "n_tokens", "n_known") else pa.float64()) for c, v in columns.items()})
 
 
+def deal(rows: DataFrame, chunks: int) -> DataFrame:
+    """Bundles of documents with the number of their chunk."""
+    return rows.withColumn("key", F.xxhash64("doc_id", "text")).mapInArrow(_bundle(chunks), _BUNDLE)
+
+
 def fit_and_score(docs: DataFrame, train: Column, path: str | None = None) -> DataFrame:
     """doc_id, train, n_tokens, n_known, base_score, score, train_tokens, types of every text; rows with ``train`` teach.
 
@@ -393,7 +407,7 @@ def fit_and_score(docs: DataFrame, train: Column, path: str | None = None) -> Da
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks, buckets = (max(least, math.ceil(size["chars"] / n)) for n in (CHUNK_CHARS, BUCKET_CHARS))
     hot = max(1000, (size["chars"] // 6 + size["n"]) // (4 * buckets))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks))).mapInArrow(_bundle(), _BUNDLE)
+    dealt = deal(rows, chunks)
     words = dealt.groupBy("chunk").applyInArrow(_send_words(buckets), _WORDS)
     replies = words.groupBy("bucket").applyInArrow(_number_words(buckets), _REPLY)
     pairs = dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_send_pairs(buckets, hot), _SENT)

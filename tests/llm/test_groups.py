@@ -203,6 +203,17 @@ def test_discounts_of_thin_counts(n):
     assert all(0 < d < 1 for d in got) and list(got) == sorted(got)
 
 
+def test_katz_deals_rows_of_one_id_over_the_chunks(spark):
+    docs = [(None, f"text {k}") for k in range(300)] + [(None, None)] * 300 + [(7, "the same row")] * 300
+    rows = text.keyed(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), (text.remainder() != 1).alias("train"))
+    sizes = Counter()
+    for r in katz.deal(rows, 10).collect():
+        sizes[r["chunk"]] += len(r["doc_ids"])
+    assert sum(sizes.values()) == 900 and len(sizes) == 10 and max(sizes.values()) < 150
+    got = katz.fit_and_score(rows.select("doc_id", "text"), text.remainder() != 1).collect()
+    assert Counter(r["doc_id"] for r in got) == {None: 600, 7: 300} and len({r["score"] for r in got if r["doc_id"] == 7}) == 1
+
+
 def test_katz_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = katz.fit_and_score(docs, text.remainder() > 9).collect()
