@@ -5,8 +5,8 @@ words, and what discounting frees for the unknown word. d is Good-Turing's disco
 above; a(v) and Z are fixed so that each distribution sums to one exactly. The recursion ends at the unknown word.
 
 Nothing is looked up token by token. Documents are dealt to chunks of bounded size by id, text, input partition and how
-often the partition had both before, so rows that share an id, or are equal, spread over the chunks. The input is read twice
-and must give the same rows in each partition both times, in any order. The work goes in three steps:
+often the partition had both before, so rows that share an id, or are equal, spread over the chunks. If Spark reads the
+input again, each partition must give the same rows, in any order. The work goes in three steps:
 
 1. A chunk's distinct words go to word buckets, which add the counts, number the words and reply ids and counts.
 2. The chunk sends its distinct word pairs, with their counts and the documents that have them, to context buckets.
