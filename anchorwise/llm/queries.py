@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, katz, langid, packing, quality, secrets, simhash, text, toxicity, wavelet
+from . import bpe, dedup, katz, langid, packing, quality, runs, secrets, simhash, text, toxicity, wavelet
 from .shared import fresh
 
 BPE_50K, RANKS_50K, RANKS_MULTI, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
@@ -82,7 +82,28 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base, 256).alias("base_sha256"), secrets.joined().alias("spans"), "n_random")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_wavelet, op4_packing, op5_langid, op6_quality, op7_simhash, op8_katz, op9_exact_dedup, op10_secrets)}
+def _planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; the words of every tenth text, by the crc32 of its id, repeat from word a on with period p."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.expr("h div 10")
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    split = text.keyed(docs).withColumn("h", h).withColumn("words", words).withColumn("n", F.size("words").cast("long")).withColumn("g", g)
+    at = split.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("concat(slice(words, 1, int(a)), slice(flatten(array_repeat(slice(words, int(a + 1), int(p)), int((n - a + p - 1) div p))), 1, int(n - a)))")
+    return at.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_planted(documents(spark, sf_dir)))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    longest = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    start, period = -F.col("b.s"), -F.col("b.p")
+    milli = F.expr("(1000 * b.length) div (-b.p)")
+    return longest.select("doc_id", "n_runs", start.alias("start"), F.col("b.length").alias("length"), period.alias("period"), milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_wavelet, op4_packing, op5_langid, op6_quality, op7_simhash, op8_katz, op9_exact_dedup, op10_secrets, op11_runs)}
 
 #: The normalised text's groups; text_sha256 in DuckDB is sha256() of a string in lowercase hex.
 _OP9 = r"""

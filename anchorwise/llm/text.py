@@ -131,8 +131,12 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[str]]:
     """Dictionary codes of the strings data[starts:ends] (in order, not overlapping) and the distinct strings."""
-    if not len(starts):
-        return np.zeros(0, np.int64), []
+    found = coded(data, starts, ends)
+    return found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+
+
+def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
+    """The strings data[starts:ends] (in order, not overlapping), dictionary-encoded."""
     lens = ends - starts
     if int(lens.sum()) != len(data):
         mark = np.zeros(len(data) + 1, np.int8)
@@ -142,8 +146,7 @@ def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     off = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(lens, out=off[1:])
     found = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(data)))
-    coded = found.dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    return found.dictionary_encode()
 
 
 def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
