@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, katz, langid, packing, quality, runs, secrets, simhash, text, toxicity, wavelet
+from . import bpe, dedup, divergence, katz, langid, packing, quality, runs, secrets, simhash, text, toxicity, wavelet
 from .shared import fresh
 
 BPE_50K, RANKS_50K, RANKS_MULTI, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
@@ -103,7 +103,11 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longest.select("doc_id", "n_runs", start.alias("start"), F.col("b.length").alias("length"), period.alias("period"), milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_wavelet, op4_packing, op5_langid, op6_quality, op7_simhash, op8_katz, op9_exact_dedup, op10_secrets, op11_runs)}
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_wavelet, op4_packing, op5_langid, op6_quality, op7_simhash, op8_katz, op9_exact_dedup, op10_secrets, op11_runs, op13_divergence)}
 
 #: The normalised text's groups; text_sha256 in DuckDB is sha256() of a string in lowercase hex.
 _OP9 = r"""
@@ -114,6 +118,31 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n
 FROM n JOIN g ON n.t = g.t
 """
 
+#: 10 documents, 10 terms and 10^9 as in divergence; // on HUGEINT is exact.
+_OP13 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, coalesce(text, '') AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), g AS (SELECT DISTINCT lang, source FROM d), o AS (
+    SELECT id, lang, source, translate(unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM d
+), k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+x AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (
+    SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v.v)::HUGEINT AS p,
+        1 + 1000000000::HUGEINT * (sum(n) OVER (PARTITION BY lang, term) + 2)::HUGEINT // (sum(n) OVER (PARTITION BY lang) + 2 * v.v)::HUGEINT AS q
+    FROM x JOIN v USING (lang)
+), w AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN w ON w.lang = a.lang AND w.source = a.source AND w.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q
+), z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r)
+SELECT * FROM z WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op9_exact_dedup": _OP9}
+    return {"op9_exact_dedup": _OP9, "op13_divergence": _OP13}

@@ -113,11 +113,11 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` and the word bounds of the documents."""
+def words(data: np.ndarray, off: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of the words ``[^\\x20\\x09-\\x0D]+``, or of runs of other bytes than ``outside``, and the word bounds of the documents."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    space = _SPACE[data]
+    space = outside[data]
     before = np.empty(len(data), bool)
     before[1:] = space[:-1]
     before[off[:-1][off[:-1] < len(data)]] = True
