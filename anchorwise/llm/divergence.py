@@ -2,8 +2,7 @@
 
 A stripe belongs to a term of a language: the number of its documents and its count in every source. Each partition folds
 whole documents into a hash of stripes and spills it as rows when it holds ``STRIPES`` counts. Spark shuffles the spilled
-stripes by (lang, term) and merges those of one key by adding them up, so a task meets a key once a spill and keeps one
-stripe of it. The empty term stands for the documents themselves: its stripe names every source of a language, also those
+stripes by (lang, term) and sorts them; those of one key are merged by adding them up, one open stripe at a time. The empty term stands for the documents themselves: its stripe names every source of a language, also those
 without a term. Merged stripes of terms in ``least`` documents or more are stored.
 
 From them come V (terms of a language) and N (a source's count of all kept terms). Stripes are then dealt by language and
@@ -22,13 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
 from .shared import stored
 
-STRIPES = 400_000  # counts that a partition holds before it spills
+STRIPES = 1_000_000  # counts that a partition holds before it spills
+MERGED = 20_000  # rows that are merged at once
 BUCKET, BLOCK, CELLS = 2_000, 256, 2_000_000
 SCALE, LEAST, TOP = 9, 10, 10  # digits of a share, documents of a term, terms of a report
 _OUTSIDE = np.ones(256, dtype=bool)
@@ -39,45 +40,124 @@ _VALUE = pa.schema([("lang", pa.string()), ("source", pa.string()), ("part", pa.
 
 
 class Stripes:
-    """The hash of a partition: (lang, term) to [documents, {source: count}]."""
+    """The hash of a partition: documents and counts a source of every (lang, term), both numbered by dictionaries."""
 
     def __init__(self) -> None:
-        self.held: dict[tuple[str, str], list] = {}
+        self.names: tuple[dict[str, int], dict[str, int]] = ({}, {})  # of languages and of sources
+        self.terms = pa.array([], pa.large_string())
+        self.held: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         self.size = 0
 
     def fold(self, rows: pa.RecordBatch, data: np.ndarray, off: np.ndarray) -> None:
         """Adds the documents of a slice."""
         data = tx.lowered(data)
         starts, ends, bounds = tx.words(data, off, _OUTSIDE)
-        code, terms = tx.codes(data, starts, ends)
-        langs, sources = (rows.column(c).dictionary_encode() for c in ("lang", "source"))
-        lang, source = (x.indices.to_numpy().astype(np.int64) for x in (langs, sources))
-        langs, sources = langs.dictionary.to_pylist(), sources.dictionary.to_pylist()
-        code, terms = np.append(code, np.full(len(lang), len(terms))), [*terms, ""]
+        coded = tx.coded(data, starts, ends)
+        lang, source = (self._numbers(rows.column(c).dictionary_encode(), k) for k, c in enumerate(("lang", "source")))
+        width, sources = len(coded.dictionary) + 1, len(self.names[1])
+        code = np.append(coded.indices.to_numpy().astype(np.int64), np.full(len(lang), width - 1))
         doc = np.append(tx.by_doc(bounds), np.arange(len(lang)))
-        once = np.unique(doc * len(terms) + code)
-        key, n = np.unique(lang[once // len(terms)] * len(terms) + once % len(terms), return_counts=True)
-        for k, df in zip(key.tolist(), n.tolist(), strict=True):
-            self.held.setdefault((langs[k // len(terms)], terms[k % len(terms)]), [0, {}])[0] += df
-        key, n = np.unique((lang[doc] * len(terms) + code) * len(sources) + source[doc], return_counts=True)
-        for k, count in zip(key.tolist(), n.tolist(), strict=True):
-            k, s = divmod(k, len(sources))
-            counts = self.held[langs[k // len(terms)], terms[k % len(terms)]][1]
-            s = sources[s]
-            if s in counts:
-                counts[s] += count
-            else:
-                counts[s] = count
-                self.size += 1
+        once = np.unique(doc * width + code)
+        key, df = np.unique(lang[once // width] * width + once % width, return_counts=True)
+        full, n = np.unique((lang[doc] * width + code) * sources + source[doc], return_counts=True)
+        of = full // sources
+        terms = pa.concat_arrays([coded.dictionary, pa.array([""], pa.large_string())])
+        # source 0 stands for the documents
+        self._add(terms, np.append(key // width, of // width), np.append(key % width, of % width), np.append(np.zeros(len(key), np.int64), full % sources + 1), np.append(df, n))
+
+    def _numbers(self, coded: pa.DictionaryArray, kind: int) -> np.ndarray:
+        names = self.names[kind]
+        own = np.array([names.setdefault(x, len(names)) for x in coded.dictionary.to_pylist()], np.int64)
+        return own[coded.indices.to_numpy()]
+
+    def _add(self, terms: pa.Array, lang: np.ndarray, code: np.ndarray, source: np.ndarray, n: np.ndarray) -> None:
+        self.held.append((terms, lang, code, source, n))
+        self.size += len(n)
+
+    def merge(self) -> None:
+        """Adds up what the slices brought; ``size`` is the number of counts then."""
+        if not self.held:
+            return
+        coded = pa.concat_arrays([h[0] for h in self.held]).dictionary_encode()
+        number, at = coded.indices.to_numpy().astype(np.int64), 0
+        codes = []
+        for terms, _, code, _, _ in self.held:
+            codes.append(number[at : at + len(terms)][code])
+            at += len(terms)
+        lang, source, n = (np.concatenate([h[k] for h in self.held]) for k in (1, 3, 4))
+        width, sources = len(coded.dictionary), len(self.names[1]) + 1
+        key = (lang * width + np.concatenate(codes)) * sources + source
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        key, n = key[first], np.add.reduceat(n, first)
+        self.held, self.size = [], 0
+        self._add(coded.dictionary, key // sources // width, key // sources % width, key % sources, n)
 
     def spilled(self) -> Iterator[pa.RecordBatch]:
         """The stripes as rows; the hash is empty then."""
-        rows = list(self.held.items())
+        self.merge()
+        if not self.held:
+            return
+        (terms, lang, code, source, n), names = self.held[0], [pa.array(list(x), pa.string()) for x in self.names]
         self.__init__()
-        for lo in range(0, len(rows), 20_000):
-            part = rows[lo : lo + 20_000]
-            counts = [[{"source": s, "n": n} for s, n in c.items()] for _, (_, c) in part]
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in part]), pa.array([k[1] for k, _ in part]), pa.array([v[0] for _, v in part], pa.int64()), pa.array(counts, _COUNTS)], schema=_STRIPE)
+        heads = np.flatnonzero(source == 0)  # a stripe's entries lie together, the documents first
+        ends = np.append(heads[1:], len(n))
+        for lo in range(0, len(heads), 50_000):
+            head, end = heads[lo : lo + 50_000], ends[lo : lo + 50_000]
+            inner = np.ones(end[-1] - head[0], bool)
+            inner[head - head[0]] = False
+            inner = np.flatnonzero(inner) + head[0]
+            counts = pa.StructArray.from_arrays([names[1].take(pa.array(source[inner] - 1)), pa.array(n[inner])], fields=list(_COUNTS.value_type))
+            offset = np.concatenate([[0], np.cumsum(end - head - 1)])
+            columns = [names[0].take(pa.array(lang[head])), terms.take(pa.array(code[head])).cast(pa.string()), pa.array(n[head]), pa.ListArray.from_arrays(pa.array(offset, pa.int32()), counts)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_STRIPE)
+
+
+class Merger:
+    """Adds up the sorted rows of equal (lang, term); keeps stripes of ``least`` documents and those of the empty term."""
+
+    def __init__(self, least: int):
+        self.least = least
+        self.open: pa.Table | None = None  # the stripe that more rows may follow
+
+    def add(self, rows: pa.Table, last: bool = False) -> pa.Table:
+        rows = rows if self.open is None else pa.concat_tables([self.open, rows])
+        rows = rows.combine_chunks()
+        if not rows.num_rows:
+            return rows
+        lang, term = (rows.column(c).chunk(0) for c in ("lang", "term"))
+        new = np.ones(len(lang), bool)
+        for c in (lang, term):
+            same = pc.equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            new[1:] = same if c is lang else ~(new[1:] & same)
+        first = np.flatnonzero(new)
+        df = np.add.reduceat(rows.column("df").chunk(0).to_numpy(), first)
+        keep = (df >= self.least) | pc.equal(term.take(pa.array(first)), "").to_numpy(zero_copy_only=False)
+        keep[-1] |= not last  # open: more rows may follow
+        stripe = np.cumsum(new) - 1
+        stripes = self._added(rows, np.flatnonzero(keep[stripe]), stripe, first[keep], df[keep])
+        if last:
+            return stripes
+        self.open = stripes.slice(stripes.num_rows - 1)
+        return stripes.slice(0, stripes.num_rows - 1)
+
+    def _added(self, rows: pa.Table, taken: np.ndarray, stripe: np.ndarray, first: np.ndarray, df: np.ndarray) -> pa.Table:
+        counts = rows.column("counts").chunk(0).take(pa.array(taken))
+        sizes = pc.list_value_length(counts).to_numpy()
+        entries = counts.flatten()
+        coded = entries.field("source").dictionary_encode()
+        number = np.unique(stripe[taken], return_inverse=True)[1]
+        key = np.repeat(number, sizes) * max(1, len(coded.dictionary)) + coded.indices.to_numpy()
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], entries.field("n").to_numpy()[order]
+        at = np.flatnonzero(np.diff(key, prepend=-1))
+        key, n = key[at], np.add.reduceat(n, at) if len(at) else n
+        of, source = np.divmod(key, max(1, len(coded.dictionary)))
+        offset = np.searchsorted(of, np.arange(len(first) + 1))
+        merged = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(source)), pa.array(n)], fields=list(_COUNTS.value_type))
+        columns = [rows.column(c).chunk(0).take(pa.array(first)) for c in ("lang", "term")]
+        return pa.Table.from_arrays([*columns, pa.array(df), pa.ListArray.from_arrays(pa.array(offset, pa.int32()), merged)], schema=_STRIPE)
 
 
 def merged_stripes(docs: DataFrame, least: int = LEAST, limit: int = STRIPES, slice_bytes: int = tx.SLICE_BYTES) -> DataFrame:
@@ -87,19 +167,27 @@ def merged_stripes(docs: DataFrame, least: int = LEAST, limit: int = STRIPES, sl
         stripes = Stripes()
         for rows, data, off in tx.slices(batches, slice_bytes):
             stripes.fold(rows, data, off)
-            if stripes.size >= limit:
-                yield from stripes.spilled()
+            if stripes.size >= 2 * limit:
+                stripes.merge()
+                if stripes.size >= limit:
+                    yield from stripes.spilled()
         yield from stripes.spilled()
 
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merger, held = Merger(least), []
+        for rows in batches:
+            held.append(rows)
+            if sum(r.num_rows for r in held) >= MERGED:
+                yield from merger.add(pa.Table.from_batches(held, _STRIPE)).to_batches()
+                held = []
+        yield from merger.add(pa.Table.from_batches(held, _STRIPE), last=True).to_batches()
+
     columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")]
-    spilled = docs.select(*columns).mapInArrow(folded, "lang string, term string, df long, counts array<struct<source:string,n:long>>")
-    # one shuffle: the two groupings below take the partitioning by (lang, term) as it is; a null source carries df
-    dealt = spilled.repartition("lang", "term")
-    entry = F.explode(F.concat(F.array(F.struct(F.lit(None).cast("string").alias("source"), F.col("df").alias("n"))), "counts")).alias("e")
-    added = dealt.select("lang", "term", entry).groupBy("lang", "term", F.col("e.source").alias("source")).agg(F.sum("e.n").alias("n"))
-    counts = F.collect_list(F.when(F.col("source").isNotNull(), F.struct("source", "n")))
-    stripes = added.groupBy("lang", "term").agg(F.max(F.when(F.col("source").isNull(), F.col("n"))).alias("df"), counts.alias("counts"))
-    return stored(stripes.where((F.col("df") >= least) | (F.col("term") == "")), "stripes")
+    shape = "lang string, term string, df long, counts array<struct<source:string,n:long>>"
+    dealt = docs.select(*columns).mapInArrow(folded, shape).repartition("lang", "term")
+    # a hash as the first key: it decides most comparisons
+    ordered = dealt.sortWithinPartitions(F.xxhash64("lang", "term"), "lang", "term")
+    return stored(ordered.mapInArrow(merged, shape), "stripes")
 
 
 def sources_of(stripes: DataFrame) -> DataFrame:
