@@ -1,0 +1,107 @@
+"""A corpus-wide table of distinct chunks: each is answered once, answers are joined back by position.
+
+1. Tasks cut whole documents into chunks and write one row for each slice of text: the documents' ids, the slice's distinct
+   chunks, and the chunks of all positions as numbers into them. The rows are stored in the shared folder.
+2. The distinct chunks of all slices are shuffled by the chunk and sorted, so each partition answers a chunk once for all
+   slices that hold it, in blocks of ``BLOCK_BYTES`` of distinct chunks.
+3. Answers (32-bit integers) go back to their slice by a second shuffle and are put together by position.
+
+A chunk takes part in the shuffles once for each slice that holds it, however often it stands there. A task holds one slice,
+or one block. A text is never cut over two slices; one longer than a slice makes its own.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import text as tx
+from .shared import stored
+
+BLOCK_BYTES = 4 << 20
+_SLICE = pa.schema([("slice", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("bounds", pa.binary()), ("picks", pa.binary()), ("chunks", pa.list_(pa.string()))])
+
+#: (bytes, offsets) of a slice to the number of each position's chunk, the distinct chunks, the position bounds of documents
+Cut = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, list[str], np.ndarray]]
+#: distinct chunks to flat 32-bit answers and their n + 1 bounds
+Answer = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+
+
+def dealt(docs: DataFrame, cut: Callable[[], Cut], prepared: Callable[[pa.Array], pa.Array] | None = None, slice_bytes: int = tx.SLICE_BYTES) -> DataFrame:
+    """The stored slices of the texts; ``prepared`` may change the texts of a batch before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work, task = cut(), TaskContext.get().partitionId() << 32
+        if prepared:
+            batches = (b.set_column(1, "text", prepared(b.column("text"))) for b in batches)
+        for k, (rows, data, off) in enumerate(tx.slices(batches, slice_bytes)):
+            picks, distinct, bounds = work(data, off)
+            width = np.uint16 if len(distinct) <= 1 << 16 else np.uint32
+            ids = rows.column("doc_id").cast(pa.int64()).to_pylist()
+            row = [[task + k], [ids], [bounds.astype(np.int64).tobytes()], [picks.astype(width).tobytes()], [distinct]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, _SLICE.types, strict=True)], schema=_SLICE)
+
+    return stored(tx.keyed(docs).mapInArrow(run, "slice long, doc_ids array<long>, bounds binary, picks binary, chunks array<string>"), "slices")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """Sorted rows in blocks of about ``limit`` bytes of distinct chunks; equal chunks are never in two blocks."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for rows in batches:
+        if not rows.num_rows:
+            continue
+        held.append(rows)
+        size += pc.sum(pc.binary_length(pc.unique(rows.column("chunk")))).as_py()
+        if size >= limit:
+            table = pa.Table.from_batches(held).combine_chunks()
+            chunk = table.column("chunk").chunk(0)
+            last = pc.index(chunk, chunk[-1]).as_py()  # more of the last chunk may follow
+            if last:
+                yield table.slice(0, last)
+                held, size = table.slice(last).to_batches(), 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def answered(slices: DataFrame, answer: Callable[[], Answer], limit: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, ids (array of int): the answers to a document's chunks, in order."""
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = answer()
+        for rows in _blocks(batches, limit):
+            coded = rows.column("chunk").chunk(0).dictionary_encode()
+            flat, bounds = work(coded.dictionary)
+            found = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat.astype(np.int32)))])
+            yield from pa.Table.from_arrays([rows.column("slice"), rows.column("place"), found.take(coded.indices)], ["slice", "place", "ids"]).to_batches(20_000)
+        tx.released()
+
+    def together(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["doc_id", "ids"]
+        if not left.num_rows:
+            return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
+        ids, bounds, picks = (left.column(c)[0] for c in ("doc_ids", "bounds", "picks"))
+        bounds = np.frombuffer(bounds.as_py(), np.int64)
+        place = right.column("place").to_numpy()
+        picks = np.frombuffer(picks.as_py(), np.uint16 if len(place) <= 1 << 16 else np.uint32)
+        if not len(place):
+            flat, to = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        else:
+            found = right.column("ids").combine_chunks()
+            found = (found.chunk(0) if isinstance(found, pa.ChunkedArray) else found).cast(pa.large_binary())
+            _, off, data = found.buffers()
+            off = np.frombuffer(off, np.int64)[found.offset : found.offset + len(found) + 1] // 4
+            begin, lens = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+            begin[place], lens[place] = off[:-1], np.diff(off)
+            flat, to = tx.gather(np.frombuffer(data, np.int32) if data else np.zeros(0, np.int32), begin, lens, picks)
+        return pa.Table.from_arrays([ids.values, pa.ListArray.from_arrays(pa.array(to[bounds], pa.int32()), pa.array(flat, pa.int32()))], names)
+
+    each = slices.select("slice", F.posexplode("chunks").alias("place", "chunk")).repartition("chunk").sortWithinPartitions("chunk")
+    found = each.mapInArrow(block, "slice long, place int, ids binary")
+    return slices.drop("chunks").groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(together, "doc_id long, ids array<int>")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, divergence, katz, langid, packing, quality, runs, secrets, simhash, text, toxicity, wavelet
+from . import bpe, dedup, divergence, katz, langid, packing, quality, runs, secrets, sentencepieces, simhash, text, toxicity, wavelet
 from .shared import fresh
 
 BPE_50K, RANKS_50K, RANKS_MULTI, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
@@ -103,11 +103,18 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longest.select("doc_id", "n_runs", start.alias("start"), F.col("b.length").alias("length"), period.alias("period"), milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(PIECES)
+    both = sentencepieces.decode(sentencepieces.encode(documents(spark, sf_dir), path), path)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_wavelet, op4_packing, op5_langid, op6_quality, op7_simhash, op8_katz, op9_exact_dedup, op10_secrets, op11_runs, op13_divergence)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_wavelet, op4_packing, op5_langid, op6_quality, op7_simhash, op8_katz, op9_exact_dedup, op10_secrets, op11_runs, op12_sentencepiece, op13_divergence)}
 
 #: The normalised text's groups; text_sha256 in DuckDB is sha256() of a string in lowercase hex.
 _OP9 = r"""
