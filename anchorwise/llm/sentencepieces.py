@@ -2,7 +2,9 @@
 
 No piece of the vocabulary holds a white-space marker after another character, so no merge crosses from the end of a word to
 the marker of the next: a text falls into chunks, each one or more markers and the characters up to the next marker.
-``chunks`` deals them: every distinct chunk of the corpus is segmented once, and ids are joined back by position.
+Spark deals documents to tasks in slices of whole texts. A slice's distinct chunks make a table, each is segmented once, and
+ids are joined back by position; chunks that a slice holds twice or more stay known to the worker, up to ``KNOWN`` of
+them. Nothing is shuffled: one table for the whole corpus would move each slice's distinct chunks and their answers.
 
 A chunk begins as its characters. Of all neighbours whose joint string is a piece, the pair with the highest score, the
 leftmost of equals, becomes one symbol, until no pair is a piece. A block's chunks take their merges in step, one
@@ -24,11 +26,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from . import chunks
 from . import text as tx
 
 MARK, LONG, ROUND = "▁", 48, 20_000
 UNKNOWN = " ⁇ ".encode()  # a fixed value: the library's text for the unknown id
+KNOWN = 200_000  # chunks that a worker remembers
 NO_PAIR = np.iinfo(np.int32).max
 
 
@@ -173,15 +175,47 @@ class Pieces:
         return left, [symbols[i] for i in left]
 
 
-def cut(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """The chunks of marked texts: every first blank of a stretch begins one."""
+class Table:
+    """The distinct chunks of slices and their ids."""
+
+    def __init__(self, path: str, known: int = KNOWN):
+        self.pieces, self.limit = Pieces(path), known
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.flat, self.bounds = pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of all marked texts, and the id bounds of the texts."""
+        starts, bounds = cut(data, off)
+        coded = tx.coded(data, starts, np.append(starts[1:], len(data)))
+        picks, distinct = coded.indices.to_numpy(), coded.dictionary
+        at = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy()
+        new = np.flatnonzero(at < 0)
+        fresh = distinct.take(pa.array(new))
+        flat, to = self.pieces.segment(fresh)
+        where = at.astype(np.int64)
+        where[new] = len(self.known) + np.arange(len(new))
+        begin, lens = np.append(self.bounds[:-1], to[:-1] + len(self.flat)), np.append(np.diff(self.bounds), np.diff(to))
+        ids, ends = tx.gather(np.append(self.flat, flat), begin, lens, where[picks])
+        often = np.flatnonzero(np.bincount(picks, minlength=len(distinct))[new] > 1)
+        if len(self.known) + len(often) > self.limit:
+            self._forget()
+        more, to_more = tx.gather(flat, to[:-1], np.diff(to), often)
+        self.known = pa.concat_arrays([self.known, fresh.take(pa.array(often))])
+        self.bounds = np.append(self.bounds, len(self.flat) + to_more[1:])
+        self.flat = np.append(self.flat, more)
+        return ids, ends[bounds]
+
+
+def cut(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chunks of marked texts begin, every first blank of a stretch, and the chunk bounds of the texts."""
     blank = data == 32
     head = blank.copy()
     head[1:] &= ~blank[:-1]
     head[off[:-1][np.diff(off) > 0]] = True
     starts = np.flatnonzero(head)
-    picks, distinct = tx.codes(data, starts, np.append(starts[1:], len(data)))
-    return picks, distinct, np.searchsorted(starts, off)
+    return starts, np.searchsorted(starts, off)
 
 
 def marked(texts: pa.Array) -> pa.Array:
@@ -190,14 +224,18 @@ def marked(texts: pa.Array) -> pa.Array:
     return pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise("", texts, " "))
 
 
-def loaded(path: str) -> Pieces:
-    return tx.warm(("pieces", path), lambda: Pieces(path))
-
-
-def encode(docs: DataFrame, path: str, slice_bytes: int = tx.SLICE_BYTES, block_bytes: int = chunks.BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, path: str, slice_bytes: int = tx.SLICE_BYTES, known: int = KNOWN) -> DataFrame:
     """doc_id, ids (array of int) of every whole text."""
-    slices = chunks.dealt(docs, lambda: cut, marked, slice_bytes)
-    return chunks.answered(slices, lambda: loaded(path).segment, block_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = tx.warm(("pieces", path, known), lambda: Table(path, known))
+        texts = (pa.RecordBatch.from_arrays([b.column("doc_id"), marked(b.column("text"))], ["doc_id", "text"]) for b in batches)
+        for rows, data, off in tx.slices(texts, slice_bytes):
+            flat, bounds = table.encode(data, off)
+            ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), ids], ["doc_id", "ids"])
+
+    return tx.keyed(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 class Decoder:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import public_tokenizers as P
 import pytest
 
-from anchorwise.llm import chunks, queries, sentencepieces, text
+from anchorwise.llm import queries, sentencepieces, text
 
 from .conftest import table
 
@@ -36,48 +36,31 @@ def test_query_is_the_library(spark, folder, library):
     assert Counter(map(tuple, queries.op12_sentencepiece(spark, folder).collect())) == want
 
 
-def test_small_slices_and_blocks(spark, edge, library):
-    """A text longer than a slice, chunks longer than a block, and every frequent chunk in many slices."""
-    docs = queries.documents(spark, edge)
-    got = sentencepieces.encode(docs, PATH, slice_bytes=3000, block_bytes=500).collect()
+@pytest.mark.parametrize("known", [0, 50, 10_000])
+def test_small_slices_and_tables(spark, edge, library, known):
+    """A text longer than a slice, and frequent chunks that are known from the slice before, or forgotten."""
+    got = sentencepieces.encode(queries.documents(spark, edge), PATH, slice_bytes=3000, known=known).collect()
     assert Counter((i, tuple(x)) for i, x in got) == Counter((i, tuple(library.encode(t or ""))) for i, t in table(spark, edge))
 
 
-def test_each_chunk_is_answered_once(spark, edge):
-    """The answers of a partition name a chunk once, however many slices hold it."""
-    slices = chunks.dealt(queries.documents(spark, edge), lambda: sentencepieces.cut, sentencepieces.marked, 3000)
-    places = slices.selectExpr("explode(chunks) c").count()
-    seen = spark.sparkContext.accumulator(0)
-
-    def answer():
-        def run(found):
-            seen.add(len(found))
-            return np.zeros(0, np.int32), np.zeros(len(found) + 1, np.int64)
-
-        return run
-
-    assert chunks.answered(slices, answer, 500).count() == queries.documents(spark, edge).count()
-    distinct = slices.selectExpr("explode(chunks) c").distinct().count()
-    assert seen.value % distinct == 0 and distinct < places
+def test_a_known_chunk_is_not_segmented_again():
+    own, seen = sentencepieces.Table(PATH), []
+    segment = own.pieces.segment
+    own.pieces.segment = lambda found: (seen.extend(found.to_pylist()), segment(found))[1]
+    for texts in (["x y x", "y z"], ["z x y", "y"]):
+        own.encode(*text.raw(sentencepieces.marked(pa.array(texts))))
+    assert seen == [" x", " y", " z", " z"]
 
 
 def test_empty_table(spark, empty):
     assert queries.op12_sentencepiece(spark, empty).collect() == []
 
 
-def encoded(model, texts):
-    data, off = text.raw(sentencepieces.marked(pa.array(texts)))
-    picks, distinct, bounds = sentencepieces.cut(data, off)
-    flat, of = model.segment(pa.array(distinct, pa.string()))
-    flat, to = text.gather(flat, of[:-1], np.diff(of), picks)
-    return flat, to[bounds]
-
-
 def test_mixed_texts(library):
     rnd = random.Random(5)
     texts = ["".join(rnd.choice(MIXED) for _ in range(rnd.randint(0, 150))) for _ in range(2000)]
     texts += ["", " ", "  ", "▁", "▁▁x", " " * 50, "\n" * 60, "w" * 3000, "ab" * 700]
-    flat, bounds = encoded(sentencepieces.Pieces(PATH), texts)
+    flat, bounds = sentencepieces.Table(PATH).encode(*text.raw(sentencepieces.marked(pa.array(texts))))
     want = library.encode(texts)
     assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
     assert sentencepieces.Decoder(PATH).decode(flat, bounds).to_pylist() == library.decode(want)
