@@ -33,6 +33,8 @@ TARGET_RANGE = (-5.0, 200.0)
 PREDICTION_CLIP = (-2.0, 200.0)
 VARIANCE_THRESHOLD = 10.0
 N_SPLITS = 5
+ROWS_PER_TASK = 20_000
+PATIENCE, ROUND_STAGES = 50, (80, 160, 320)  # rounds without a lower error; rounds that are tried before all
 
 
 def _clean_sql(features: list[str]) -> str:
@@ -44,20 +46,53 @@ def _clean_sql(features: list[str]) -> str:
     return f"SELECT *, {', '.join(exprs)} FROM __THIS__"
 
 
-def build_pipeline(features: list[str] = FEATURES, label: str = "fantasy_points", validation_col: str | None = None,
-                   **gbt) -> Pipeline:
-    """P14 -> assembler (carries the feature list) -> GBT. With ``validation_col`` (M6) rows flagged
-    true are held out for early stopping (``validationTol``) instead of being trained on."""
-    params = {**GBT_DEFAULTS, **gbt}
-    if validation_col:
-        params["validationIndicatorCol"] = validation_col
+def build_pipeline(features: list[str] = FEATURES, label: str = "fantasy_points", **gbt) -> Pipeline:
+    """P14 -> assembler (carries the feature list) -> GBT."""
     return Pipeline(stages=[
         SQLTransformer(statement=_clean_sql(features)),
         VectorAssembler(inputCols=[f"{f}__x" for f in features], outputCol="features"),
-        GBTRegressor(featuresCol="features", labelCol=label, predictionCol="raw_prediction", **params),
+        GBTRegressor(featuresCol="features", labelCol=label, predictionCol="raw_prediction", **{**GBT_DEFAULTS, **gbt}),
     ])
 
 
+# ---------------------------------------------------------------- early stopping with patience (M6)
+
+def best_round(errors: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """The round (from 1) of the lowest error seen before ``patience`` rounds went by without a lower one, and
+    whether those rounds went by: if not, more rounds may still find a better one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_with_patience(pipe: Pipeline, train: DataFrame, validation: DataFrame, patience: int = PATIENCE,
+                      stages: tuple[int, ...] = ROUND_STAGES) -> tuple[PipelineModel, int, int]:
+    """M6: the model at its best round on ``validation``, that round, and the number of rounds that were looked at.
+
+    Spark's own early stopping ends at the first round that doesn't improve. Here a fit of ``stages[0]`` rounds is judged
+    round by round (``evaluateEachIteration``); while its best round has fewer than ``patience`` rounds behind it, the
+    next stage fits more, up to the estimator's ``maxIter``. A seeded fit begins with the trees of any shorter one,
+    so the last fit, cut to the best round, is the model.
+    """
+    clean, assembler, gbt = pipe.getStages()
+    most = gbt.getMaxIter()
+    ready = [assembler.transform(clean.transform(df)).select("features", gbt.getLabelCol()) for df in (train, validation)]
+    best = rounds = 0
+    trees = None
+    for rounds in sorted({min(n, most) for n in (*stages, most)}):
+        trees = gbt.copy({gbt.maxIter: rounds}).fit(ready[0])
+        best, over = best_round(trees.evaluateEachIteration(ready[1], "squared"), patience)
+        if over:
+            break
+    if best < rounds:
+        trees = gbt.copy({gbt.maxIter: best}).fit(ready[0])
+    return PipelineModel([clean, assembler, trees]), best, rounds
+
+
 def training_rows(features: DataFrame, label: str = "fantasy_points") -> DataFrame:
     """P13 + P15: rows with a target inside the outlier range."""
     return features.where(F.col(label).isNotNull() & F.col(label).between(*TARGET_RANGE))
@@ -128,32 +163,32 @@ class TrainResult:
 
 def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points", n_splits: int = N_SPLITS,
           key: tuple[str, ...] = ("match_id", "player_id"), cv: bool = True, early_stopping: bool = False,
-          **gbt) -> TrainResult:
+          patience: int = PATIENCE, **gbt) -> TrainResult:
     """M4 + M5 + M10 + M11: forward-chaining CV (optional), final fit on everything, metrics record.
 
-    ``early_stopping`` (M6): each fold's model stops on its own test block (the reference's
-    eval set) at the round after which the error no longer falls; the final model is fitted on all
-    rows with the mean of the rounds that the folds found (rounded up), its ``best_iteration``.
-    Without it, or without folds, every fit trains all ``maxIter`` rounds.
+    ``early_stopping`` (M6): each fold's model is the one at its best round on its own test block (the reference's
+    eval set), found with ``patience``; the final model is fitted on all rows with the mean of the rounds that the folds
+    found (rounded up), its ``best_iteration``. Without it, or without folds, every fit trains all ``maxIter`` rounds.
     """
     rows = training_rows(features, label)
     shared_dir(spark)
     folded = time_series_folds(rows, n_splits).checkpoint()  # reliable, in spark.checkpoint.dir
+    # a tree is one job a level: tasks of few rows cost more to start than to run
+    folded = folded.coalesce(math.ceil(max(1, folded.count()) / ROWS_PER_TASK))
     early_stopping = early_stopping and cv
     pipe = build_pipeline(label=label, **gbt)
-    fold_pipe = build_pipeline(label=label, validation_col="_is_val", **{"validationTol": 0.0, **gbt}) if early_stopping else pipe
 
     def fit_fold(f: int) -> tuple[DataFrame, int]:
         tr = folded.where((F.col("first_train_fold") >= 0) & (F.col("first_train_fold") <= f))
         te = folded.where(F.col("test_fold") == f)
         if early_stopping:
-            m = fold_pipe.fit(tr.withColumn("_is_val", F.lit(False)).unionByName(te.withColumn("_is_val", F.lit(True))))
+            m, best, rounds = fit_with_patience(pipe, tr, te, patience)
         else:
             m = pipe.fit(tr)
+            best = rounds = m.stages[-1].getNumTrees
         p = predict(m, te).select(F.col(label).alias("y"), F.col("predicted_fantasy_points").alias("yhat"))
-        rounds = m.stages[-1].getNumTrees
-        r = regression_metrics(p).withColumn("fold", F.lit(f)).withColumn("best_iteration", F.lit(rounds))
-        return spark.createDataFrame(r.collect(), r.schema), rounds  # one metrics row per fold, kept with its fold
+        r = regression_metrics(p).withColumns({"fold": F.lit(f), "best_iteration": F.lit(best), "rounds": F.lit(rounds)})
+        return spark.createDataFrame(r.collect(), r.schema), best  # one metrics row per fold, kept with its fold
 
     # the folds are independent: fit them concurrently, Spark interleaves their jobs on the executors
     # (small per-iteration GBT jobs otherwise leave most cores idle); so is the final fit, unless the
@@ -167,7 +202,8 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
     if not parts:
         final = regression_metrics(predict(model, folded).select(
             F.col(label).alias("y"), F.col("predicted_fantasy_points").alias("yhat")))
-        no_folds = final.withColumn("fold", F.lit(0)).withColumn("best_iteration", F.lit(0)).limit(0)
+        no_folds = final.withColumn("fold", F.lit(0)).withColumns(
+            {"best_iteration": F.lit(0), "rounds": F.lit(0)}).limit(0)
         return TrainResult(model, final.select("*", F.lit(len(FEATURES)).alias("feature_count"), best), no_folds,
                            feature_importance(spark, model))
     cv = parts[0][0]

@@ -1,5 +1,6 @@
 """Model path: forward-chaining folds, early stopping, and the end-to-end selection flow."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -22,6 +23,54 @@ def test_cv_with_early_stopping(spark):
     assert res.feature_importance.count() == 30
 
 
+@pytest.mark.parametrize("errors, patience, want", [
+    ([5, 4, 3, 4, 5, 6], 3, (3, True)),
+    ([5, 4, 3, 4, 5], 3, (3, False)),  # only two rounds behind the best
+    ([5, 6, 7, 8, 1], 3, (1, True)),  # a lower error after the patience ran out isn't seen
+    ([3, 3, 3, 3], 3, (1, True)),  # equal is not lower
+    ([9, 8, 7], 1, (3, False)),
+    ([1], 50, (1, False)),
+])
+def test_best_round(errors, patience, want):
+    assert M.best_round(errors, patience) == want
+
+
+def _learnable(spark, n, noise):
+    rows = spark.range(n).select("id", *[(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 1000.0).alias(f"x{k}") for k in range(3)])
+    return rows.withColumn("y", F.col("x0") * 20 + F.col("x1") * F.col("x0") * 10 + F.col("x2") * F.lit(noise))
+
+
+def test_patience_finds_the_best_round(spark):
+    """Fits that start short reach the round that one long fit shows to be the best, also over a rise of the error."""
+    train, test = _learnable(spark, 400, 0.0), _learnable(spark, 900, 0.0).where("id >= 400")
+    pipe = M.build_pipeline(["x0", "x1", "x2"], "y", maxDepth=2, maxIter=24, subsamplingRate=0.5, stepSize=0.2)
+    clean, assembler, gbt = pipe.getStages()
+    ready = [assembler.transform(clean.transform(df)) for df in (train, test)]
+    errors = gbt.fit(ready[0]).evaluateEachIteration(ready[1], "squared")
+    for patience in (1, 4):
+        want, over = M.best_round(errors, patience)
+        model, best, rounds = M.fit_with_patience(pipe, train, test, patience, stages=(3, 9))
+        assert (best, model.stages[-1].getNumTrees) == (want, want)
+        assert rounds - best >= patience if over else rounds == 24
+    error = M.predict(model, test).agg(F.avg((F.col("y") - F.col("predicted_fantasy_points")) ** 2)).first()[0]
+    assert abs(error - errors[want - 1]) < 1.0  # the model cut to its best round
+
+
+def test_folds_learn_a_learnable_target(spark):
+    """Fold errors lie well below the spread of the target, and the features that make it lead the importances."""
+    days = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 4).cast("int"))
+    feats = spark.range(600).select(
+        F.col("id").alias("match_id"), F.lit(1).alias("player_id"), days.alias("match_date"),
+        *[(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 10.0).alias(name) for k, name in enumerate(FE.FEATURES)])
+    a, b = FE.FEATURES[0], FE.FEATURES[7]
+    res = M.train(spark, feats.withColumn("fantasy_points", F.col(a) + F.when(F.col(b) > 50, 40.0).otherwise(0.0)),
+                  early_stopping=True, patience=3, maxIter=20, maxDepth=4)
+    for r in res.cv.collect():
+        assert r["rmse"] < 0.5 * r["target_std"] and r["r2"] > 0.75
+        assert r["rounds"] - r["best_iteration"] >= 3 or r["rounds"] == 20
+    assert {r["feature"] for r in res.feature_importance.limit(2).collect()} == {a, b}
+
+
 def test_folds_partition_time_order(spark):
     rows = A.training_anchors(fx.innings(spark, SF0001))
     f = M.time_series_folds(rows).collect()
