@@ -126,12 +126,13 @@ def predict_requests(spark, sf):
 def pick_teams(spark, sf):
     """The whole flow: predictions of every request -> starting probability from the innings
     -> candidates (W10, P17, F3, G1) -> exact selection (G2) -> captains (W14)."""
+    from ..operators import pick_status as PS
     from ..operators import selection as SEL
 
     inn = fx.innings(spark, sf)
     preds = predict_requests(spark, sf).join(
         fx.requests(spark, sf).select("request_id", "cutoff_date").distinct(), "request_id")
-    cands = SEL.selection_candidates(SEL.starting_probability(inn, preds))
+    cands = PS.prepare_candidates(preds, inn)
     team = SEL.captains(SEL.select_teams(spark, cands))
     return team.select("request_id", "player_id", "team_no", "role", "role_std", "fp_pred", "starting_probability",
                        "prediction_confidence", "captain_score", "captain", "vice_captain")

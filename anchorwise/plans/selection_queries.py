@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.roles import ROLE_LIMITS, ROLES
+from ..operators import pick_status as PS
 from ..operators import selection as SEL
+from ..session import shared_dir
 from ..sources import fixtures as fx
 from .views_sql import with_views
 
@@ -58,7 +60,16 @@ def team_report(spark: SparkSession, sf: str) -> DataFrame:
     return r.select(*[F.round(c, R6).alias(c) if c in dbl else F.col(c) for c in r.columns])
 
 
+def pick_status(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for every request, with the starting probabilities that the innings give (as in ``pick_teams``)."""
+    shared_dir(spark)
+    req = fx.requests(spark, sf)
+    preds = fx.predictions(spark, sf).join(req.select("request_id", "cutoff_date").distinct(), "request_id")
+    return PS.pick_status(PS.prepare_candidates(preds, fx.innings(spark, sf)), req)
+
+
 QUERIES = {
+    "pick_status": pick_status,
     "starting_probability": starting_probability,
     "feasibility": feasibility,
     "select_team": select_team,
@@ -178,6 +189,43 @@ cap2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY
     return ",\n".join(parts)
 
 
+def _pick_status_sql() -> str:
+    """Role by role over all picks, with the rules each would drop; the fewest rules of the full teams."""
+    bit = {r: 1 << PS.RULES.index(r) for r in ROLES}
+    cells = ", ".join(f"COUNT(CASE WHEN role_std = '{r}' AND team_no = {t}{h} THEN 1 END) AS {c}_{r.lower()}{t}"
+                      for r in ROLES for t in (1, 2) for c, h in (("a", ""), ("h", " AND hi = 1")))
+    ctes = [START_PROB_CTES, f"""pw AS (SELECT p.* REPLACE (sp.prob AS starting_probability) FROM predictions p
+   JOIN (SELECT DISTINCT request_id, cutoff_date FROM requests) r USING (request_id)
+   JOIN sp ON sp.player_id = p.player_id AND sp.cutoff_date = r.cutoff_date),
+cd AS (SELECT *, {ROLE_STD_SQL} AS role_std, CASE WHEN starting_probability >= {_D.format(0.8)} THEN 1 ELSE 0 END AS hi
+   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id, player_id ORDER BY fp_pred DESC, team_no) AS rr FROM pw)
+   WHERE rr = 1 AND starting_probability >= {_D.format(0.5)}),
+ce AS (SELECT request_id, COUNT(role_std) AS n_candidates, COUNT(CASE WHEN hi = 1 THEN 1 END) AS n_high_probability,
+   COUNT(CASE WHEN starting_probability >= 0.5 THEN 1 END) AS likely_starters, {cells}
+   FROM (SELECT DISTINCT request_id FROM requests) LEFT JOIN cd USING (request_id) GROUP BY request_id),
+s0 AS (SELECT request_id, 0 AS n, 0 AS t1, 0 AS dropped, 0 AS h FROM ce)""",
+            "k AS (SELECT range AS x FROM range(12))"]
+    for i, r in enumerate(ROLES):
+        lo, hi = ROLE_LIMITS[r]
+        low = r.lower()
+        ctes.append(f"""s{i + 1} AS (SELECT s.request_id, s.n + i.x + j.x AS n, s.t1 + i.x AS t1,
+   s.dropped + CASE WHEN i.x + j.x BETWEEN {lo} AND {hi} THEN 0 ELSE {bit[r]} END AS dropped,
+   MAX(s.h + LEAST(i.x, h_{low}1) + LEAST(j.x, h_{low}2)) AS h
+   FROM s{i} s JOIN ce USING (request_id) JOIN k i ON i.x <= a_{low}1 JOIN k j ON j.x <= a_{low}2
+   WHERE s.n + i.x + j.x <= 11 GROUP BY ALL)""")
+    ctes.append("""fe AS (SELECT request_id, MIN({'k': bit_count(CAST(d AS INT)), 'd': d}).d AS d FROM (
+   SELECT s4.request_id, s4.dropped + CASE WHEN n_high_probability < 6 OR h >= 6 THEN 0 ELSE 1 END
+      + CASE WHEN GREATEST(t1, 11 - t1) <= 7 THEN 0 ELSE 2 END AS d FROM s4 JOIN ce USING (request_id) WHERE n = 11)
+   GROUP BY request_id)""")
+    names = ", ".join(f"CASE WHEN CAST(d AS INT) & {1 << k} <> 0 THEN '{name}' END" for k, name in enumerate(PS.RULES))
+    return with_views("predictions", "innings", extra=",\n".join(ctes)) + f"""SELECT request_id, n_candidates, n_high_probability,
+  likely_starters, COALESCE(d = 0, FALSE) AS feasible,
+  CASE WHEN n_candidates = 0 THEN 'no candidates' WHEN d IS NULL THEN 'too few players' WHEN d = 0 THEN 'team'
+       ELSE 'rules conflict' END AS status,
+  CASE WHEN d IS NOT NULL THEN CONCAT_WS('; ', {names}) END AS dropped_rules
+FROM ce LEFT JOIN fe USING (request_id)"""
+
+
 def oracles() -> dict[str, str]:
     w = with_views("predictions", extra=selection_ctes())
     role_counts = ", ".join(f"COUNT(CASE WHEN role_std = '{r}' THEN 1 END) AS n_{r.lower()}" for r in ROLES)
@@ -188,6 +236,7 @@ def oracles() -> dict[str, str]:
         for r, (lo, _) in ROLE_LIMITS.items())
     team_ok = " AND ".join(f"(n_team{t} = 0 OR n_candidates - n_team{t} + LEAST(n_team{t}, 7) >= 11)" for t in (1, 2))
     return {
+        "pick_status": _pick_status_sql(),
         "starting_probability": with_views("requests", extra=START_PROB_CTES) + """SELECT r.request_id, r.player_id, r.team_no,
   ROUND(sp.prob, 6) AS starting_probability FROM requests r JOIN sp ON sp.player_id = r.player_id
   AND sp.cutoff_date = r.cutoff_date""",
