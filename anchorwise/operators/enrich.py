@@ -2,9 +2,8 @@
 
 Every statistic the reference computes over "the" prediction list is computed
 per ``request_id``: request-level aggregates come from one grouped aggregate
-(partial aggregation, one row per request) joined back on the key; ranks are
-windows partitioned by request (a request is a pair of squads, so its
-partition is bounded by squad size).
+(partial aggregation, one row per request) joined back on the key. Quantiles and
+ranks of requests too large for one task are those of ``hot_groups``.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_key, clean_name, first_present
 from ..functions.roles import credit_role_bonus, standardize_role
+from .hot_groups import HOT_ROWS, group_quantiles, with_positions
 
 # Fixed values of the confidence, credit and category rules.
 CONF_STD_BANDS = ((5.0, 0.3), (15.0, 0.6))   # std < 5 -> .3, < 15 -> .6, else .8
@@ -24,15 +24,9 @@ CATEGORY_QUANTILES = (0.25, 0.5, 0.75, 0.9)
 DEFAULT_ROLE = "Batter"
 
 
-def request_stats(preds: DataFrame, score: str = "fp_pred", quantiles: tuple[float, ...] = CATEGORY_QUANTILES) -> DataFrame:
-    """One row per request: n, mean, sample std, quantiles of the score."""
-    qs = F.percentile(F.col(score), F.array(*[F.lit(q) for q in quantiles]))
-    return preds.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.avg(score).alias("_mean"),
-        F.stddev_samp(score).alias("_std"),
-        qs.alias("_q"),
-    )
+def request_stats(preds: DataFrame, score: str = "fp_pred") -> DataFrame:
+    """One row per request: mean and sample std of the score."""
+    return preds.groupBy("request_id").agg(F.avg(score).alias("_mean"), F.stddev_samp(score).alias("_std"))
 
 
 def profile_lookup(profiles: DataFrame) -> DataFrame:
@@ -68,24 +62,22 @@ def confidence(score: Column, mean: Column, std: Column) -> Column:
     return F.least(F.greatest(base + F.lit(CONF_TANH_W) * F.tanh(z), F.lit(CONF_CLIP[0])), F.lit(CONF_CLIP[1]))
 
 
-def average_rank_pct(score: str, part: str = "request_id") -> Column:
+def average_rank_pct() -> Column:
     """Pandas ``rank(pct=True)`` (average rank of ties / n); not percent_rank or cume_dist."""
-    lowest = F.rank().over(Window.partitionBy(part).orderBy(F.col(score).asc()))
-    ties = F.count(F.lit(1)).over(Window.partitionBy(part, score))
-    n = F.count(F.lit(1)).over(Window.partitionBy(part))
-    return (lowest + (ties - 1) / F.lit(2.0)) / n
+    return (F.col("_low") + (F.col("_ties") - 1) / F.lit(2.0)) / F.col("_n")
 
 
-def enrich_predictions(preds: DataFrame, profiles: DataFrame | None = None, score: str = "fp_pred") -> DataFrame:
+def enrich_predictions(preds: DataFrame, profiles: DataFrame | None = None, score: str = "fp_pred",
+                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """Profile join, confidence, credits, rank, percentile, variance category per request."""
     p = with_profiles(preds, profiles)
-    stats = request_stats(p, score)
-    p = p.join(stats, "request_id")
+    quantiles = group_quantiles(preds, "request_id", score, CATEGORY_QUANTILES, hot_rows)
+    p = with_positions(p, "request_id", score, "player_id", hot_rows)
+    p = p.join(request_stats(preds, score).join(quantiles, "request_id"), "request_id")
     s = F.col(score)
-    pct = average_rank_pct(score)
+    pct = average_rank_pct()
     credits = F.lit(CREDIT_BASE) + pct * F.lit(CREDIT_SCALE) + credit_role_bonus(F.col("role"))
     credits = F.when((F.col("_std") > CREDIT_STD) & (pct >= CREDIT_TOP_PCT), credits + F.lit(CREDIT_TOP_BONUS)).otherwise(credits)
-    rank = F.row_number().over(Window.partitionBy("request_id").orderBy(s.desc(), F.col("player_id").asc()))
     q = F.col("_q")
     category = (F.when(s >= q[3], "High Variance").when(s >= q[2], "Above Average").when(s >= q[1], "Average")
                 .when(s >= q[0], "Below Average").when(s < q[0], "Low Variance").otherwise("Medium"))
@@ -93,11 +85,11 @@ def enrich_predictions(preds: DataFrame, profiles: DataFrame | None = None, scor
         "*",
         confidence(s, F.col("_mean"), F.col("_std")).alias("prediction_confidence"),
         F.least(F.greatest(credits, F.lit(CREDIT_CLIP[0])), F.lit(CREDIT_CLIP[1])).alias("credits"),
-        rank.alias("predicted_rank"),
+        F.col("_rank").alias("predicted_rank"),
         category.alias("variance_category"),
     )
     out = out.withColumn("percentile", (F.lit(1.0) - (F.col("predicted_rank") - 1) / F.col("_n")) * 100)
-    return out.drop("_n", "_mean", "_std", "_q")
+    return out.drop("_n", "_mean", "_std", "_q", "_rank", "_low", "_ties")
 
 
 def with_role_std(df: DataFrame, role: str = "role") -> DataFrame:
@@ -111,6 +103,6 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
 
 
 def top_n(df: DataFrame, n: int, score: str = "fp_pred", part: str = "request_id") -> DataFrame:
-    """Top ``n`` per request; Spark plans a WindowGroupLimit below the window."""
+    """Top ``n`` per request; Spark plans a WindowGroupLimit below the window, so a task passes on n rows a request."""
     w = Window.partitionBy(part).orderBy(F.col(score).desc(), F.col("player_id").asc())
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

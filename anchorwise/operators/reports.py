@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.roles import range_quality, variance_quality
+from .hot_groups import HOT_ROWS, group_quantiles
 
 # Fixed values of the report rules.
 DIST_QUANTILES = (0.10, 0.25, 0.50, 0.75, 0.90)
@@ -32,22 +33,21 @@ def frequency(df: DataFrame, col: str, part: str = "request_id") -> DataFrame:
     return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(part)))
 
 
-def distribution_report(df: DataFrame, score: str = "fp_pred", part: str = "request_id") -> DataFrame:
+def distribution_report(df: DataFrame, score: str = "fp_pred", part: str = "request_id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Spread, quantiles, score buckets, coefficient of variation."""
     s = F.col(score)
-    q = F.percentile(s, F.array(*[F.lit(x) for x in DIST_QUANTILES]))
     g = df.groupBy(part).agg(
         F.count(s).alias("total_predictions"),
         F.avg(s).alias("mean"),
         F.stddev_pop(s).alias("std"),
         F.min(s).alias("min"),
         F.max(s).alias("max"),
-        q.alias("_q"),
         F.count(F.when(s < LOW, 1)).alias("low_scores"),
         F.count(F.when((s >= LOW) & (s < MID), 1)).alias("medium_scores"),
         F.count(F.when(s >= HIGH, 1)).alias("high_scores"),
         F.count(F.when(s >= VERY_HIGH, 1)).alias("very_high_scores"),
     )
+    g = g.join(group_quantiles(df, part, score, DIST_QUANTILES, hot_rows), part, "left")
     return g.select(
         part, "total_predictions", "mean", "std", "min", "max",
         (F.col("max") - F.col("min")).alias("range"),
@@ -58,10 +58,9 @@ def distribution_report(df: DataFrame, score: str = "fp_pred", part: str = "requ
     )
 
 
-def quality_report(df: DataFrame, score: str = "fp_pred", part: str = "request_id") -> DataFrame:
+def quality_report(df: DataFrame, score: str = "fp_pred", part: str = "request_id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Variety, labels, flags and quantile tiers per request."""
     s = F.col(score)
-    q = F.percentile(s, F.array(*[F.lit(x) for x in TIER_QUANTILES]))
     stats = df.groupBy(part).agg(
         F.count(s).alias("total_players"),
         F.avg(s).alias("avg_prediction"),
@@ -69,9 +68,8 @@ def quality_report(df: DataFrame, score: str = "fp_pred", part: str = "request_i
         F.max(s).alias("max_prediction"),
         F.stddev_samp(s).alias("prediction_std"),
         F.count_distinct(s).alias("unique_predictions"),
-        q.alias("_q"),
     )
-    j = df.select(part, s).join(stats.select(part, "_q"), part)
+    j = df.select(part, s).join(group_quantiles(df, part, score, TIER_QUANTILES, hot_rows), part, "left")
     q85, q60, q40, q15 = (F.col("_q")[i] for i in range(4))
     tiers = j.groupBy(part).agg(
         F.count(F.when(s >= q85, 1)).alias("tier_high_variance"),

@@ -116,7 +116,7 @@ def predict_requests(spark, sf):
     from .prep_queries import prediction_features
 
     feats = prediction_features(spark, sf)
-    p = M.predict(_trained(spark, sf).model, feats).withColumn("fp_pred", F.col("predicted_fantasy_points"))
+    p = M.predict(_trained(spark, sf).model, feats).withColumn("fp_pred", F.col("predicted_fantasy_points")).checkpoint()
     e = EN.enrich_predictions(p.select("request_id", "player_id", "team_no", "predicted_fantasy_points", "fp_pred"),
                               fx.profiles(spark, sf))
     return e.select("request_id", "player_id", "team_no", "predicted_fantasy_points", "fp_pred", "role", "name",
