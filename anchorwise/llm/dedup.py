@@ -9,9 +9,9 @@ Only texts with such a fingerprint are compared byte by byte: they are grouped b
 partial aggregation before the shuffle, so a text that fills a third of the table is one row of each task.
 
 Texts are equal when identical after each run of ``[\\x20\\x09-\\x0D]`` becomes one space. Null counts as empty.
-Of equal texts the smallest doc_id stays; null ids are larger than all others. doc_id is a key: rows that repeat
-an id with equal text all count in group_size and stay or go together. An empty table gives no rows. ``annotate``
-carries all columns in a struct, so their names cannot clash.
+Of equal texts the row with the smallest doc_id stays; null ids are larger than all others. Where several rows have
+that id, or no row has any, they are stored with a row key, and of them the smallest key stays: exactly one row of equal
+texts is kept. An empty table gives no rows. ``annotate`` carries all columns in a struct, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -118,18 +118,30 @@ def annotate(docs: DataFrame, carry: list[str] | None = None, bits: int = BITS)
     fp = F.xxhash64("norm")
     hashed = hashed.withColumn("fp", fp if bits == 64 else F.pmod(fp, F.lit(1 << bits)))
     twice = sized(stored(duplicate_fingerprints(hashed.select("fp"), bits), "dedup-fingerprints").select("fp"))
-    same = hashed.select("doc_id", "fp", "norm").join(twice, "fp", "left_semi")
+    same = hashed.select("doc_id", "fp", "norm").join(twice, "fp", "left_semi").select("*", F.sha2("norm", 256).alias("text_sha256"))
+    same = stored(same, "dedup-candidates")
     groups = same.groupBy("fp", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     groups = groups.where("group_size > 1").select(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size")
     groups = sized(stored(groups, "dedup-groups"))
+    least = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    tied = same.select("doc_id", "text_sha256").join(groups, "text_sha256").where(least).groupBy("text_sha256").count()
+    tied = stored(tied.where("count > 1").select("text_sha256", F.lit(True).alias("tied")), "dedup-tied")
     rows = hashed.select("row", "doc_id", F.sha2("norm", 256).alias("text_sha256")).join(groups, "text_sha256", "left")
     alone = F.col("group_size").isNull()
-    return rows.select(
+    if tied.isEmpty():
+        decided = rows.withColumn("kept", alone | least)
+    else:
+        rows = rows.join(sized(tied), "text_sha256", "left").withColumn("open", F.coalesce("tied", F.lit(False)) & least).drop("tied")
+        open_ = stored(rows.where("open").withColumn("key", F.monotonically_increasing_id()), "dedup-open")
+        first = sized(stored(open_.groupBy("text_sha256").agg(F.min("key").alias("first")), "dedup-first"))
+        open_ = open_.join(first, "text_sha256").withColumn("kept", F.col("key") == F.col("first")).drop("key", "first")
+        decided = rows.where("not open").withColumn("kept", alone | least).unionByName(open_)
+    return decided.select(
         "row",
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (alone | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+        "kept",
         "text_sha256",
     )
 

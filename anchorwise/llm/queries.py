@@ -119,9 +119,9 @@ QUERIES = {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_wavelet, op4_packi
 #: The normalised text's groups; text_sha256 in DuckDB is sha256() of a string in lowercase hex.
 _OP9 = r"""
 WITH n AS (
-    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+    SELECT doc_id, row_number() OVER () AS k, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
 ), g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
-SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256
+SELECT n.doc_id, g.keep_id, g.group_size, row_number() OVER (PARTITION BY n.t ORDER BY n.doc_id NULLS LAST, n.k) = 1 AS kept, sha256(n.t) AS text_sha256
 FROM n JOIN g ON n.t = g.t
 """
 

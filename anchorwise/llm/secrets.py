@@ -4,7 +4,9 @@ Prose has many characters to a token of a public vocabulary, random strings few.
 characters of ``[A-Za-z0-9+/=_-]`` outside the pattern spans are encoded with tiktoken; those with less than
 ``MAX_RATIO`` characters a token are reported as kind ``random``. Only known digests (hexadecimal strings of a digest's
 length), UUIDs, numbers, runs without a letter and repeats of one character are left out before. Of the others, a run is a name
-only if words of the vocabulary, of ``WORD_CHARS`` letters a token or more, make up at least half of it.
+only if words of the vocabulary, of ``WORD_CHARS`` letters a token or more, make up at least half of it. Where a pattern span
+lies in a run, what is left of the run beside it is tested; a run that isn't reported whole is tested again part by part
+between ``/ = _ -``, since the words of a path may outvote a random part.
 
 Null texts count as empty and have no span. Rows are kept one for one; an empty table gives no rows; other columns
 pass through ``redact`` and are ignored by ``scan``.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +34,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # leftmost runs of 32 or more are the long o
 MIN_VALUE, MIN_ACCESS = 8, 16
 MIN_CHARS, MAX_RATIO = 20, 2.0
 RUN = re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % MIN_CHARS)
+PART = re.compile(r"[A-Za-z0-9+]{%d,}" % MIN_CHARS)
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})\Z")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 NUMBER = re.compile(r"[0-9+/=_-]+(?:[eE][+-]?[0-9]+)?\Z")
@@ -65,6 +69,35 @@ def name(run: str, encode) -> bool:
     return 2 * sum(len(w) for w in words if WORD_CHARS * min(len(encode(w)), len(encode(" " + w.lower()))) <= len(w)) >= len(run)
 
 
+def beside(a: int, b: int, base: list[tuple[int, int, int]], text: str) -> list[tuple[int, int]]:
+    """What the spans of ``base`` (ascending) leave of text[a:b], without separators at its ends; all of it if none touches it."""
+    touching = [(s, e) for s, _, e in base if s < b and a < e]
+    if not touching:
+        return [(a, b)]
+    left, at = [], a
+    for s, e in [*touching, (b, b)]:
+        part = text[at:s] if s > at else ""
+        begin = at + len(part) - len(part.lstrip("/=_-"))
+        end = at + len(part.rstrip("/_-"))
+        if end - begin >= MIN_CHARS:
+            left.append((begin, end))
+        at = max(at, e)
+    return left
+
+
+def random_parts(a: int, b: int, text: str, encode) -> list[tuple[int, int]]:
+    """The whole of text[a:b], or its parts between separators, where they are random strings."""
+
+    def random(run: str) -> bool:
+        return not known(run) and len(run) < MAX_RATIO * len(encode(run)) and not name(run, encode)
+
+    run = text[a:b]
+    if random(run):
+        return [(a, b)]
+    parts = [(a + m.start(), a + m.end()) for m in PART.finditer(run)]
+    return [] if known(run) or parts == [(a, b)] else [(s, e) for s, e in parts if random(text[s:e])]
+
+
 def spans(text: str, encode) -> list[tuple[int, int, int]]:
     """(start, kind, end) in order; the random runs overlap no other span."""
     found = []
@@ -77,12 +110,11 @@ def spans(text: str, encode) -> list[tuple[int, int, int]]:
     if runs:
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         base = sorted(found)
+        starts, longest = [s for s, _, _ in base], max((e - s for s, _, e in base), default=0)
         for a, b in runs:
-            run = text[a:b]
-            if any(s < b and a < e for s, _, e in base) or known(run):
-                continue
-            if len(run) < MAX_RATIO * len(encode(run)) and not name(run, encode):
-                found.append((a, 3, b))
+            near = base[bisect_left(starts, a - longest) : bisect_left(starts, b)]
+            for s, e in beside(a, b, near, text):
+                found += [(x, 3, y) for x, y in random_parts(s, e, text, encode)]
     return sorted(found)
 
 

@@ -181,19 +181,41 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return sides.groupBy("t1", "t2").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id that links reach) of every document."""
-    fps = stored(fingerprints(docs, shingle), "fingerprints")
+def _components_of(fps: DataFrame, radius: int) -> DataFrame:
+    """fp, root, component_id (the smallest doc_id that links reach) of the distinct stored fingerprints."""
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints-distinct")
     roots = components(links(distinct.select("fp"), radius))
     rooted = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(sized(stored(named, "fingerprints-named")), "fp").select("doc_id", "fp", "component_id")
+    return stored(rooted.join(least, "root").select("fp", "root", "component_id"), "fingerprints-named")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id that links reach) of every document."""
+    fps = stored(fingerprints(docs, shingle), "fingerprints")
+    return fps.join(sized(_components_of(fps, radius).drop("root")), "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs whose doc_id is their component's id, with its columns; rows without a doc_id stay."""
-    gone = near_duplicates(docs, shingle, radius).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    """One row of docs for each component, with its columns: the one of the smallest doc_id, nulls last. Rows without an
+    id, or with one that other rows have too, are told apart by a row key that is stored with them; the smallest stays."""
+    fps = stored(fingerprints(docs, shingle), "fingerprints")
+    named = _components_of(fps, radius)
+    gone = fps.join(sized(named.drop("root")), "fp").where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     gone = sized(stored(gone, "near-duplicates"))
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    own = docs["doc_id"].cast("long")
+    repeated = stored(fps.groupBy(F.col("doc_id").alias("id")).count().where("count > 1 or id is null").select("id"), "repeated-ids")
+    if repeated.isEmpty():
+        return docs.join(gone, own == gone["gone"], "left_anti")
+    repeated = sized(repeated)
+    clean = docs.join(repeated, own.eqNullSafe(repeated["id"]), "left_anti")
+    clean = clean.join(gone, clean["doc_id"].cast("long") == gone["gone"], "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.join(repeated, own.eqNullSafe(repeated["id"]), "left_semi").select(row, F.monotonically_increasing_id().alias("key"))
+    keyed = stored(keyed, "repeated-rows")
+    found = fingerprints(keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), shingle)
+    found = found.select(F.col("doc_id").alias("key"), "fp").join(sized(named), "fp").drop("fp")
+    least = keyed.select("key", F.col("row.doc_id").cast("long").alias("doc_id")).join(found, "key").where("doc_id <=> component_id")
+    first = sized(stored(least.groupBy("root").agg(F.min("key").alias("key")).select("key"), "repeated-kept"))
+    stay = keyed.join(first, "key", "left_semi")
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(stay.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
