@@ -69,7 +69,10 @@ def venue_experience(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features_all(spark: SparkSession, sf: str) -> DataFrame:
-    ds, a = _anchors(spark, sf)
+    return all_features(*_anchors(spark, sf))
+
+
+def all_features(ds: fx.Datasets, a: DataFrame) -> DataFrame:
     f = FE.build_features(a, ds.innings, ds.deliveries, ds.matchstat, ds.venue_stats,
                           keep=[*KEY, "match_date", "cutoff_date"])
     return f.drop("src_recent", "src_archetype", "src_ball", "src_opposition", "src_venue")

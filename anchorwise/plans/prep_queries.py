@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import VENUE_SPEC, clean_key, clean_name, conform, normalize_result, parse_date
@@ -20,12 +20,14 @@ SAMPLE_N = 1000
 
 def _raw_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Order dates rendered the ways raw files carry them: yyyyMMdd, ISO, slashes, and an invalid day."""
-    o = read_table(spark, sf, "orders")
+    return read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), raw_date().alias("raw_date"))
+
+
+def raw_date() -> Column:
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    raw = (F.when(k % 4 == 0, F.date_format(d, "yyyyMMdd")).when(k % 4 == 1, F.date_format(d, "yyyy-MM-dd"))
+    return (F.when(k % 4 == 0, F.date_format(d, "yyyyMMdd")).when(k % 4 == 1, F.date_format(d, "yyyy-MM-dd"))
            .when(k % 4 == 2, F.date_format(d, "yyyy/MM/dd"))
            .otherwise(F.when(k % 3 == 0, F.lit("20240132")).otherwise(F.date_format(d, "yyyyMMdd"))))
-    return o.select(k.alias("order_id"), raw.alias("raw_date"))
 
 
 def clean_dates(spark, sf):
@@ -101,14 +103,21 @@ def prediction_features(spark, sf):
 
 def venue_crosswalk(spark, sf):
     """J15 + S9: a second id system for grounds (names from nation/region), joined both ways with anti-join flags."""
+    return crosswalk_joined(spark, sf, crosswalk_table(spark, sf))
+
+
+def crosswalk_table(spark: SparkSession, sf: str) -> DataFrame:
     n, r = read_table(spark, sf, "nation"), read_table(spark, sf, "region")
-    cw = n.join(r, n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         (F.col("n_nationkey") * 7 + 3).cast("long").alias("ground_id_howstat"),
         F.col("n_name").alias("ground_name_howstat"),
         F.col("n_nationkey").cast("long").alias("ground_id_espn"),
         F.concat(F.col("n_name"), F.lit(", "), F.col("r_name")).alias("ground_name_espn"),
         F.concat(F.lit(" "), F.col("r_name")).alias("City"),
     )
+
+
+def crosswalk_joined(spark: SparkSession, sf: str, cw: DataFrame) -> DataFrame:
     grounds = fx.innings(spark, sf).select(F.col("ground_id").alias("venue_id")).distinct()
     vs = fx.venue_stats(spark, sf).select("venue_id", F.lit(True).alias("in_venue_stats"))
     j = grounds.join(cw, grounds.venue_id == cw.ground_id_espn, "left").join(vs, "venue_id", "left")

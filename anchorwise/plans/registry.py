@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_QUERY_MODULES = ["feature_queries", "scoring_queries", "prediction_queries", "selection_queries", "prep_queries", "model_queries"]
-_ORACLE_MODULES = ["oracle_features", "scoring_queries", "prediction_queries", "selection_queries", "prep_queries", "model_queries"]
+_QUERY_MODULES = ["feature_queries", "scoring_queries", "prediction_queries", "selection_queries", "prep_queries", "csv_queries", "model_queries"]
+_ORACLE_MODULES = ["oracle_features", "scoring_queries", "prediction_queries", "selection_queries", "prep_queries", "csv_queries", "model_queries"]
 
 
 def queries() -> dict:
