@@ -31,6 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,34 +102,52 @@ def _bundle(chunks: int):
     return run
 
 
+def spread_hash(words: pa.LargeStringArray) -> np.ndarray:
+    """64-bit hashes of distinct words that are not empty, and of the empty word behind them."""
+    _, off, data = words.buffers()
+    off = np.frombuffer(off, np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8)[off[0] : off[-1]] if len(words) else np.zeros(0, np.uint8)
+    lens = np.diff(off)
+    power = np.full(int(lens.max(initial=0)) + 1, 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    at = np.arange(len(data)) - np.repeat(off[:-1] - off[0], lens)
+    h = np.add.reduceat(power[at + 1] * data, off[:-1] - off[0]) if len(words) else np.zeros(0, np.uint64)
+    h = np.append(h, np.uint64(0))
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    return h ^ (h >> np.uint64(29))
+
+
 class Chunk:
-    """The documents of a chunk as word numbers; words are numbered by bucket, then by spelling."""
+    """The documents of a chunk as word numbers; words are numbered by bucket, then by hash and spelling."""
 
     def __init__(self, bundles: pa.Table, buckets: int):
         import zstandard
 
-        codes, bounds, names = [], [0], {}
-        self.doc_ids, train = [], []
+        data, sizes, train = [], [], []
+        self.doc_ids = []
         for bundle in bundles.to_pylist():
-            data = np.frombuffer(zstandard.ZstdDecompressor().decompress(bundle["text"]), np.uint8)
-            off = np.concatenate([[0], np.cumsum(bundle["bytes"])]).astype(np.int64)
+            data.append(zstandard.ZstdDecompressor().decompress(bundle["text"]))
+            sizes += bundle["bytes"]
             self.doc_ids += bundle["doc_ids"]
             train += bundle["train"]
-            starts, ends, at = tx.words(data, off)
-            local, distinct = tx.codes(data, starts, ends)
-            number = np.array([names.setdefault(w, len(names)) for w in distinct], np.int64)
-            codes.append(number[local] if len(local) else local)
-            bounds.extend((at[1:] + bounds[-1]).tolist())
+        data, off = np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        starts, ends, bounds = tx.words(data, off)
+        coded = tx.coded(data, starts, ends)
         self.n, self.train = len(train), np.array(train, bool)
-        end = names.setdefault(END, len(names))
-        words = list(names)
-        bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-        order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
+        end, hashes = len(coded.dictionary), spread_hash(coded.dictionary)
+        words = pa.concat_arrays([coded.dictionary, pa.array([END], pa.large_string())])
+        bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((hashes, bucket))
+        if (np.diff(hashes[order]) == 0).any():  # equal hashes: by spelling
+            table = pa.table({"bucket": bucket, "hash": hashes, "word": words})
+            order = pc.sort_indices(table, [(c, "ascending") for c in table.column_names]).to_numpy()
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        self.words, self.bucket = [words[i] for i in order], bucket[order]
-        self.bounds = np.array(bounds) + np.arange(self.n + 1)  # with an end after each document
-        self.tokens = place[np.insert(np.concatenate(codes), np.array(bounds[1:]), end)]
+        self.words, self.bucket = words.take(pa.array(order)), bucket[order]
+        self.bounds = bounds + np.arange(self.n + 1)  # with an end after each document
+        self.tokens = place[np.insert(coded.indices.to_numpy().astype(np.int64), bounds[1:], end)]
         self.end = int(place[end])
         self.doc = tx.by_doc(self.bounds)
 
@@ -149,8 +168,9 @@ def _send_words(buckets: int):
 
         chunk = Chunk(table, buckets)
         counts, zip_ = chunk.counts(), zstandard.ZstdCompressor(level=1).compress
+        text, off = tx.raw(chunk.words)
         stops = np.searchsorted(chunk.bucket, np.arange(buckets + 1))
-        rows = [(b, zip_("\n".join(chunk.words[lo:hi]).encode()), pack(counts[lo:hi])) for b, (lo, hi) in enumerate(zip(stops[:-1], stops[1:], strict=True)) if hi > lo]
+        rows = [(b, zip_(text[off[lo] : off[hi]].tobytes()), pack(np.diff(off[lo : hi + 1]), counts[lo:hi])) for b, (lo, hi) in enumerate(zip(stops[:-1], stops[1:], strict=True)) if hi > lo]
         number = table.column("chunk")[0].as_py()
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int64()), "chunk": pa.array([number] * len(rows), pa.int64()), "words": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
@@ -162,20 +182,27 @@ def _number_words(buckets: int):
         import zstandard
 
         unzip = zstandard.ZstdDecompressor().decompress
-        total: dict[str, int] = {}
-        parts = []
-        for row in table.to_pylist():
-            words = unzip(row["words"]).decode().split("\n")
-            for w, c in zip(words, unpack(row["counts"])[0].tolist(), strict=True):
-                total[w] = total.get(w, 0) + c
-            parts.append((row["chunk"], words))
+        chunks, sizes, counts = table.column("chunk").to_pylist(), [], []
+        for blob in table.column("counts").to_pylist():
+            lens, n = unpack(blob)
+            sizes.append(lens)
+            counts.append(n)
+        off = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        text = b"".join(unzip(blob) for blob in table.column("words").to_pylist())
+        coded = pa.LargeStringArray.from_buffers(len(off) - 1, pa.py_buffer(off), pa.py_buffer(text)).dictionary_encode()
+        code = coded.indices.to_numpy()
+        total = np.zeros(len(coded.dictionary), np.int64)
+        np.add.at(total, code, np.concatenate(counts))
         bucket = table.column("bucket")[0].as_py()
-        ids = {w: k * buckets + bucket for k, w in enumerate(sorted(total))}
-        replies = [pack(np.array([ids[w] for w in words], np.int64), np.array([total[w] for w in words], np.int64)) for _, words in parts]
-        known = np.array([c for c in total.values() if c], np.int64)
+        order = pc.sort_indices(coded.dictionary).to_numpy()  # ids do not depend on the order of the rows
+        ids = np.empty(len(order), np.int64)
+        ids[order] = np.arange(len(order)) * buckets + bucket
+        stops = np.cumsum([len(x) for x in sizes])[:-1]
+        replies = [pack(ids[part], total[part]) for part in np.split(code, stops)]
+        known = total[total > 0]
         stats = [len(known), int(known.sum()), *[int((known == r).sum()) for r in range(1, K + 2)]]
-        stats = [stats] + [None] * (len(parts) - 1)  # with one reply, so that they are added once
-        return pa.table({"chunk": pa.array([c for c, _ in parts], pa.int64()), "bucket": pa.array([bucket] * len(parts), pa.int64()), "reply": pa.array(replies, pa.binary()), "stats": pa.array(stats, pa.list_(pa.int64()))})
+        stats = [stats] + [None] * (len(chunks) - 1)  # with one reply, so that they are added once
+        return pa.table({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array([bucket] * len(chunks), pa.int64()), "reply": pa.array(replies, pa.binary()), "stats": pa.array(stats, pa.list_(pa.int64()))})
 
     return run
 
@@ -192,25 +219,30 @@ def _send_pairs(buckets: int, hot: int):
         before[1:] = chunk.tokens[:-1]
         before[chunk.bounds[:-1]] = chunk.end
         n = len(chunk.words)
-        # a posting is a pair in a document with its number of occurrences
-        pair, of = np.unique(before * n + chunk.tokens, return_inverse=True)
-        posting, times = np.unique(of * chunk.n + chunk.doc, return_counts=True)
-        trained = np.bincount(of[chunk.train[chunk.doc]], minlength=len(pair))
-        del of, before
-        p_pair, p_doc = posting // chunk.n, (posting % chunk.n).astype(np.int32)
-        del posting
-        c1, c2 = pair // n, pair % n
+        # one stable sort by the ids of both words: documents stay in order, and a posting - a pair in a document, with
+        # its number of occurrences - is a run of equal (pair, document)
+        by_id = np.argsort(ids)
+        rank = np.empty(n, np.int64)
+        rank[by_id] = np.arange(n)
+        key = rank[before] * n + rank[chunk.tokens]
+        order = np.argsort(key, kind="stable")
+        key, doc = key[order], chunk.doc[order]
+        del order, before
+        other = np.concatenate([[True], key[1:] != key[:-1]])
+        posting = np.flatnonzero(other | np.concatenate([[True], doc[1:] != doc[:-1]]))
+        at = np.flatnonzero(other)
+        trained = np.add.reduceat(chunk.train[doc].astype(np.int64), at)
+        p_doc, times, begin = doc[posting].astype(np.int32), np.diff(posting, append=len(doc)), np.searchsorted(posting, at)
+        n_postings = np.diff(begin, append=len(posting))
+        c1, c2 = by_id[key[at] // n], by_id[key[at] % n]
+        del key, doc, other, posting
         parts = -(-counts[c1] // hot)  # a hot context lies in so many buckets
         spread = np.where(parts > 1, (ids[c2] * 0x9E3779B1 >> 16) % np.maximum(parts, 1), 0)
         bucket = ((ids[c1] * 0x9E3779B1 >> 8) + spread) % buckets
-        order = np.lexsort((ids[c2], ids[c1], bucket))
-        place = np.empty(len(pair), np.int64)
-        place[order] = np.arange(len(pair))
-        p_order = np.lexsort((p_doc, place[p_pair]))
-        p_place, p_doc, times = place[p_pair][p_order], p_doc[p_order], times[p_order]
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+        moved, p_stop = tx.gather(np.arange(len(p_doc)), begin, n_postings, order)
+        p_doc, times, n_postings = p_doc[moved], times[moved], n_postings[order]
         bucket, c1, c2, trained = bucket[order], c1[order], c2[order], trained[order]
-        n_postings = np.bincount(p_place, minlength=len(pair))
-        p_stop = np.concatenate([[0], np.cumsum(n_postings)])
         out: dict[str, list] = {c.split()[0]: [] for c in _SENT.split(", ")}
         stops = np.searchsorted(bucket, np.arange(buckets + 1))
         for b, (lo, hi) in enumerate(zip(stops[:-1], stops[1:], strict=True)):
