@@ -47,6 +47,25 @@ def test_quality_bands(spark):
     assert (got[0], got[1], got[2], got[4]) == ("", "", "", "repetitive") and got[3] in ("incompressible", "chunks")
 
 
+def test_quality_of_texts_that_repeat_themselves():
+    """Whole texts of clean prose stay; the same prose said 2.5 to 6 times over, far apart or near, goes."""
+    import zstandard
+
+    from anchorwise.llm import quality
+
+    compress = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    rows = duckdb.sql("SELECT text, l.quality FROM '/root/testdata/sf0.01/documents.parquet' d JOIN '/root/testdata/sf0.01/labels.parquet' l USING (doc_id) WHERE l.quality = 1 AND length(text) > 400").fetchall()
+    clean = [t.encode() for t, _ in rows]
+    assert len(clean) > 100 and all(quality.verdict(t, compress)[3] == "" for t in clean)
+    prose = b" ".join(sorted(clean))
+    for size in (600, 2000, 7000, 30_000):
+        for times in (2.5, 4, 6):
+            part = prose[: int(size / times)]
+            text = (part + b" ") * int(times) + part[: int(len(part) * (times % 1))]
+            ratio, _, _, said = quality.verdict(text, compress)
+            assert said in ("repetitive", "chunks"), (size, times, ratio)
+
+
 def test_quality_of_prose_with_base64():
     import base64
 
