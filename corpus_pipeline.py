@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, exact dedup, SimHash near-dedup, secret scans, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. All but the last return the columns
-of documents.
+of documents, further ones too. An empty table goes through all stages and gives no pieces.
 """
 
 from __future__ import annotations
@@ -22,23 +22,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of equal texts."""
+    """Keeps one row of equal texts, the one with the smallest doc_id (null ids last, then any one); null texts are empty."""
     return dedup.deduplicate(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the smallest doc_id, of each group of linked fingerprints."""
+    """Keeps one row, that of the smallest doc_id (null ids last, then any one), of each group of linked fingerprints."""
     return simhash.deduplicate(docs)
 
 
 def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks every secret in the texts that have any; n_chars follows the text."""
+    """Masks every secret in the texts that have any; n_chars follows the text. Every row stays, a null text stays null."""
     clean = secrets.redact(docs, public_tokenizers.path(queries.RANKS_50K), public_tokenizers.PATTERN)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 2048 tokens."""
+    """Pieces of all documents in sequences of at most 2048 tokens; a null text is one end token, repeated rows are packed each."""
     return queries.packed(docs)
 
 
