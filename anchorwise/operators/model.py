@@ -12,9 +12,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -221,8 +224,7 @@ def train(spark: SparkSession, features: DataFrame, label: str = "fantasy_points
 
 def feature_importance(spark: SparkSession, model: PipelineModel, top_n: int | None = None) -> DataFrame:
     """Importances zipped with the assembler's inputs (the saved model carries the feature list)."""
-    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    names = [c[:-3] if c.endswith("__x") else c for c in assembler.getInputCols()]
+    names = model_features(model)
     imp = model.stages[-1].featureImportances.toArray().tolist()
     rows = sorted(zip(names, imp), key=lambda t: (-t[1], t[0]))
     df = spark.createDataFrame(rows, "feature string, importance double")  # one row per feature (30)
@@ -235,5 +237,28 @@ def save_model(model: PipelineModel, path: str) -> str:
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def model_features(model: PipelineModel) -> list[str]:
+    """The features that the model was trained on, in order: the assembler's inputs."""
+    assembler = next((s for s in model.stages if isinstance(s, VectorAssembler)), None)
+    return [c.removesuffix("__x") for c in assembler.getInputCols()] if assembler else []
+
+
+def load_model(paths: str | Sequence[str], features: Sequence[str] | None = tuple(FEATURES)) -> PipelineModel:
+    """The first of the places that holds a readable model of these features, in this order (None: any).
+
+    A place without a model, with a damaged one or with one of other features is passed over; if none is left, the
+    error names what is wrong with each."""
+    wrong = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        try:
+            model = PipelineModel.load(path)
+        except (Py4JJavaError, PySparkException, ValueError, TypeError) as e:  # the last two: damaged metadata
+            wrong.append(f"{path}: no readable model ({type(e).__name__})")
+            continue
+        own = model_features(model)
+        if features is None or own == list(features):
+            return model
+        lacking, surplus = [f for f in features if f not in own], [f for f in own if f not in features]
+        wrong.append(f"{path}: other features (lacks {lacking}, has besides {surplus})" if lacking or surplus
+                     else f"{path}: the features in another order")
+    raise ValueError("no usable model: " + "; ".join(wrong))

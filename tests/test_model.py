@@ -71,6 +71,32 @@ def test_folds_learn_a_learnable_target(spark):
     assert {r["feature"] for r in res.feature_importance.limit(2).collect()} == {a, b}
 
 
+def test_model_from_the_first_place_that_fits(spark, tmp_path):
+    """A missing place, a damaged model and models of other features are passed over."""
+    rows = _learnable(spark, 60, 0.0)
+    fit = lambda names: M.build_pipeline(names, "y", maxDepth=1, maxIter=1).fit(rows)
+    path = {k: str(tmp_path / k) for k in ("missing", "damaged", "few", "turned", "right")}
+    right = fit(["x0", "x1", "x2"])
+    M.save_model(right, path["right"])
+    M.save_model(fit(["x0", "x1"]), path["few"])
+    M.save_model(fit(["x1", "x0", "x2"]), path["turned"])
+    M.save_model(right, path["damaged"])
+    for f in (tmp_path / "damaged" / "metadata").glob("*"):
+        f.unlink()
+    for f in (tmp_path / "damaged" / "metadata").glob(".*"):
+        f.unlink()
+    wanted = ["x0", "x1", "x2"]
+    got = M.load_model(list(path.values()), wanted)
+    assert M.model_features(got) == wanted
+    both = [sorted(r["predicted_fantasy_points"] for r in M.predict(m, rows).collect()) for m in (got, right)]
+    assert both[0] == both[1]
+    assert M.model_features(M.load_model(path["few"], None)) == ["x0", "x1"]
+    with pytest.raises(ValueError) as e:
+        M.load_model([path[k] for k in ("missing", "damaged", "few", "turned")], wanted)
+    assert all(path[k] in str(e.value) for k in ("missing", "damaged", "few", "turned"))
+    assert "lacks ['x2']" in str(e.value) and "another order" in str(e.value)
+
+
 def test_folds_partition_time_order(spark):
     rows = A.training_anchors(fx.innings(spark, SF0001))
     f = M.time_series_folds(rows).collect()
