@@ -7,6 +7,12 @@ join and no UDF; the explained score unpivots the per-rule points.
 
 Band evaluation (our decision, the reference has no code): bounds inclusive,
 null = unbounded, first listed band wins, no band = 0 points.
+
+The document drives all of it: stat columns, the two columns and the scale of a rate
+(``column_runs``, ``column_balls`` and ``scale``; ``columns`` of the economy rate), the value and the
+dismissal flag of the duck, and its flags. A ``special_rules`` flag set to false
+makes the group's bands add up (every band whose lower bound is reached counts);
+``negative_points_below_sr`` ends negative bands at that rate.
 """
 
 from __future__ import annotations
@@ -107,9 +113,16 @@ RULE_SCHEMA = T.StructType([
     T.StructField("guard_min", T.DoubleType()),
     T.StructField("roles", T.ArrayType(T.StringType())),
     T.StructField("priority", T.IntegerType()),
+    T.StructField("denominator", T.StringType()),  # rates: scale * column / denominator
+    T.StructField("scale", T.DoubleType()),
+    T.StructField("out_column", T.StringType()),
+    T.StructField("out_value", T.BooleanType()),
+    T.StructField("stacked", T.BooleanType()),     # bands reached add up
 ])
 
-STRIKE_RATE, ECONOMY = "strike_rate_batting", "economy_rate"
+DISMISSED = "out"  # the document's name for the dismissal flag; lines carry it as ``out_col``
+# Flags that say a band group is exclusive (set to false: its bands add up).
+EXCLUSIVE_FLAGS = {"milestones": "century_overrides_lower_bonuses", "wicket_bonuses": "wicket_bonus_highest_only"}
 
 
 def _std_role(text: str) -> str:
@@ -134,36 +147,56 @@ class Rule:
     guard_min: float | None = None
     roles: tuple[str, ...] | None = None
     priority: int = 0
+    denominator: str | None = None
+    scale: float | None = None
+    out_column: str | None = None
+    out_value: bool | None = None
+    stacked: bool = False
 
 
 def _num(x) -> float | None:
     return None if x is None else float(x)
 
 
+def _rate_rules(section: str, group: str, name: str, body: dict, columns: tuple[str, str], scale: float, guard: float,
+                negative_below: float | None = None) -> list[Rule]:
+    """The bands of a rate, whose two columns, scale and smallest denominator the document gives."""
+    out = []
+    for i, r in enumerate(body["ranges"]):
+        high = _num(r.get("max"))
+        if negative_below is not None and r["points"] < 0:
+            high = negative_below if high is None else min(high, negative_below)
+        out.append(Rule(section, "rate_band", group, name, columns[0], _num(r.get("min")), high, float(r["points"]), columns[1], guard,
+                        priority=i, denominator=columns[1], scale=scale))
+    return out
+
+
 def flatten_rules(doc: dict) -> list[Rule]:
     """Nested rule document -> flat rule list, in document order."""
     out: list[Rule] = []
     for section, body in doc.items():
+        flags = body.get("special_rules", {})
         for r in body.get("direct", []):
             out.append(Rule(section, "linear", f"{section}_direct", r["name"], r["column"], points=float(r["points_per_unit"])))
-        for grp in ("milestones", "wicket_bonuses"):
+        for grp, flag in EXCLUSIVE_FLAGS.items():
             for i, r in enumerate(body.get(grp, [])):
                 out.append(Rule(section, "band", grp, r["name"], r["column"], _num(r.get("min")), _num(r.get("max")), float(r["points"]),
-                                priority=i))
+                                priority=i, stacked=not flags.get(flag, True)))
         if "strike_rate" in body:
             sr = body["strike_rate"]
-            for i, r in enumerate(sr["ranges"]):
-                out.append(Rule(section, "rate_band", "strike_rate", "Strike Rate", STRIKE_RATE, _num(r.get("min")), _num(r.get("max")),
-                                float(r["points"]), sr["column_balls"], float(sr["min_balls"]), priority=i))
+            out += _rate_rules(section, "strike_rate", "Strike Rate", sr, (sr.get("column_runs", "runs_batting"), sr["column_balls"]),
+                               float(sr.get("scale", 100)), float(sr["min_balls"]), _num(sr.get("negative_points_below_sr")))
         if "economy_rate" in body:
             er = body["economy_rate"]
-            for i, r in enumerate(er["ranges"]):
-                out.append(Rule(section, "rate_band", "economy_rate", "Economy Rate", ECONOMY, _num(r.get("min")), _num(r.get("max")),
-                                float(r["points"]), er["columns"]["overs_bowled"], float(er["min_overs"]), priority=i))
+            out += _rate_rules(section, "economy_rate", "Economy Rate", er,
+                               (er["columns"]["runs_conceded"], er["columns"]["overs_bowled"]),
+                               float(er.get("scale", 1)), float(er["min_overs"]))
         if "duck" in body:
             d = body["duck"]
             roles = tuple(sorted({_std_role(t) for t in d["player_types"]}))
-            out.append(Rule(section, "duck", "duck", "Duck", d["column_runs"], points=float(d["points"]), roles=roles))
+            runs = float(d.get("condition_runs", 0))
+            out.append(Rule(section, "duck", "duck", "Duck", d["column_runs"], runs, runs, float(d["points"]), roles=roles,
+                            out_column=d.get("column_out", DISMISSED), out_value=d.get("condition_out", True)))
         if "catch_bonus" in body:
             c = body["catch_bonus"]
             out.append(Rule(section, "threshold", "catch_bonus", "Catch Bonus", c["column"], min=float(c["min_catches"]),
@@ -175,7 +208,8 @@ def rules_frame(spark: SparkSession, doc: dict | None = None) -> DataFrame:
     """The flat rules table (a handful of rows; broadcast-safe by construction)."""
     rules = flatten_rules(doc or SCORING_RULES)
     return spark.createDataFrame([(r.section, r.kind, r.rule_group, r.name, r.column, r.min, r.max, r.points,
-                                   r.guard_column, r.guard_min, list(r.roles) if r.roles else None, r.priority)
+                                   r.guard_column, r.guard_min, list(r.roles) if r.roles else None, r.priority,
+                                   r.denominator, r.scale, r.out_column, r.out_value, r.stacked)
                                   for r in rules], RULE_SCHEMA)
 
 
@@ -192,16 +226,15 @@ def rules_from_frame(rules: DataFrame) -> list[Rule]:
     for r in rules.orderBy("section", "rule_group", "priority").collect():
         out.append(Rule(r["section"], r["kind"], r["rule_group"], r["name"], r["column"], r["min"], r["max"],
                         r["points"], r["guard_column"], r["guard_min"],
-                        tuple(r["roles"]) if r["roles"] is not None else None, r["priority"]))
+                        tuple(r["roles"]) if r["roles"] is not None else None, r["priority"],
+                        r["denominator"], r["scale"], r["out_column"], r["out_value"], bool(r["stacked"])))
     return out
 
 
-def _rate(rule_column: str) -> Column:
-    if rule_column == STRIKE_RATE:
-        return F.try_divide(F.col("runs_batting").cast("double") * F.lit(100), F.col("balls_faced"))
-    if rule_column == ECONOMY:
-        return F.try_divide(F.col("runs_conceded").cast("double"), F.col("overs_bowled"))
-    return F.col(rule_column).cast("double")
+def _value(rule: Rule) -> Column:
+    """What a rule's bounds are held against: its column, or the rate of its two columns."""
+    v = F.col(rule.column).cast("double")
+    return v if rule.denominator is None else F.try_divide(v * F.lit(rule.scale), F.col(rule.denominator))
 
 
 def _in_band(v: Column, lo: float | None, hi: float | None) -> Column:
@@ -227,6 +260,11 @@ def _linear(rule: Rule, dtype: str) -> Column:
     return F.coalesce((F.col(rule.column) * _points(rule, dtype)).cast(dtype), F.lit(0).cast(dtype))
 
 
+def _reached(v: Column, rule: Rule, dtype: str) -> Column:
+    """Points of a band that adds to the others: its lower bound is reached."""
+    return F.when(_in_band(v, rule.min, None), _points(rule, dtype)).otherwise(F.lit(0)).cast(dtype)
+
+
 def compile_rules(rules: list[Rule], role_col: str = "role_std", out_col: str = "is_out",
                   dtype: str | None = None) -> dict[str, Column]:
     """Rules -> {component name: points Column}. Components are the rule groups."""
@@ -242,17 +280,21 @@ def compile_rules(rules: list[Rule], role_col: str = "role_std", out_col: str =
             for r in rs:
                 expr = expr + _linear(r, dtype)
         elif kind in ("band", "rate_band"):
-            v = _rate(rs[0].column)
-            chain = None
-            for r in sorted(rs, key=lambda r: r.priority):
-                pts = _points(r, dtype)
-                chain = F.when(_in_band(v, r.min, r.max), pts) if chain is None else chain.when(_in_band(v, r.min, r.max), pts)
-            expr = chain.otherwise(F.lit(0))
+            v = _value(rs[0])
+            if rs[0].stacked:
+                expr = sum((_reached(v, r, dtype) for r in rs), F.lit(0))
+            else:
+                chain = F
+                for r in sorted(rs, key=lambda r: r.priority):
+                    chain = chain.when(_in_band(v, r.min, r.max), _points(r, dtype))
+                expr = chain.otherwise(F.lit(0))
             if kind == "rate_band":
                 expr = F.when(F.col(rs[0].guard_column) >= F.lit(rs[0].guard_min), expr).otherwise(F.lit(0))
         elif kind == "duck":
             r = rs[0]
-            cond = (F.col(r.column) == 0) & F.col(out_col) & F.col(role_col).isin(*r.roles)
+            cond = _in_band(F.col(r.column), r.min, r.max) & F.col(role_col).isin(*r.roles)
+            if r.out_value is not None:
+                cond = cond & (F.col(out_col if r.out_column == DISMISSED else r.out_column) == F.lit(r.out_value))
             expr = F.when(cond, _points(r, dtype)).otherwise(F.lit(0))
         elif kind == "threshold":
             r = rs[0]
@@ -287,8 +329,11 @@ def explain_scores(lines: DataFrame, keys: list[str], rules: list[Rule] | None =
     for r in rules:
         if r.kind == "linear":
             items.append(F.struct(F.lit(r.name).alias("rule"), _linear(r, dtype).alias("points")))
-    comps = compile_rules([r for r in rules if r.kind != "linear"], dtype=dtype)
-    names = {r.rule_group: r for r in rules if r.kind != "linear"}
+        elif r.stacked:
+            items.append(F.struct(F.lit(r.name).alias("rule"), _reached(_value(r), r, dtype).alias("points")))
+    grouped = [r for r in rules if r.kind != "linear" and not r.stacked]
+    comps = compile_rules(grouped, dtype=dtype)
+    names = {r.rule_group: r for r in grouped}
     for g, expr in comps.items():
         r = names[g]
         if r.kind == "band":  # name the band that fired

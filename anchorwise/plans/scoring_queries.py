@@ -7,8 +7,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import rule_sets as RS
 from ..operators import scoring as S
 from ..sources import fixtures as fx
+from ..sources.tables import read_table
 from .views_sql import with_views
 
 KEY = ["match_id", "player_id", "line_no"]
@@ -60,7 +62,85 @@ def score_rule_summary(spark: SparkSession, sf: str) -> DataFrame:
     return agg
 
 
+# A second rule document: other stat columns, scales and conditions, and flags that the first one does not set.
+OTHER_RULES = {
+    "batting": {
+        "direct": [{"name": "Run", "column": "runs_batting", "points_per_unit": 1},
+                   {"name": "Boundary Bonus", "column": "fours", "points_per_unit": 0.5}],
+        "milestones": [{"name": "Century Bonus", "column": "runs_batting", "min": 100, "max": None, "points": 16},
+                       {"name": "Half-Century Bonus", "column": "runs_batting", "min": 50, "max": 99, "points": 8},
+                       {"name": "25 Run Bonus", "column": "runs_batting", "min": 25, "max": 49, "points": 4}],
+        "strike_rate": {"column_runs": "sixes", "column_balls": "balls_faced", "scale": 200, "min_balls": 20,
+                        "ranges": [{"min": 15.0, "max": None, "points": 5}, {"min": 3.0, "max": 12.0, "points": -3},
+                                   {"min": None, "max": 3.0, "points": -1}],
+                        "negative_points_below_sr": 8},
+        "duck": {"column_runs": "runs_batting", "column_out": "out", "condition_runs": 1, "condition_out": False,
+                 "points": -7, "player_types": ["Bowler"]},
+        "special_rules": {"century_overrides_lower_bonuses": False},
+    },
+    "bowling": {
+        "direct": [{"name": "Wicket", "column": "wickets_taken", "points_per_unit": 20}],
+        "wicket_bonuses": [{"name": "3 Wicket Bonus", "column": "wickets_taken", "min": 3, "max": 3, "points": 4},
+                           {"name": "5 Wicket Bonus", "column": "wickets_taken", "min": 5, "max": None, "points": 12}],
+        "economy_rate": {"columns": {"overs_bowled": "maidens", "runs_conceded": "dot_balls_bowled"}, "min_overs": 1,
+                         "ranges": [{"min": None, "max": 4.0, "points": 6}, {"min": 9.0, "max": None, "points": -6}]},
+        "special_rules": {"wicket_bonus_highest_only": False},
+    },
+    "fielding": {
+        "direct": [{"name": "Catch", "column": "catches_taken", "points_per_unit": 8}],
+        "catch_bonus": {"column": "stumpings_made", "min_catches": 1, "points": 3},
+    },
+}
+
+
+def score_document(spark: SparkSession, sf: str) -> DataFrame:
+    """K2, K3, K5: the columns, scales, conditions and flags come from the document, read as JSON."""
+    import json
+
+    from ..sources.sinks import output_path
+
+    path = output_path(spark, "rules")
+    spark.createDataFrame([(json.dumps(OTHER_RULES),)], "value string").coalesce(1).write.text(path)
+    rules = S.rules_from_frame(S.read_rules_json(spark, path))
+    return S.score_components(fx.stat_lines(spark, sf), rules).select(
+        *KEY, "batting_direct", "milestones", "strike_rate", "duck", "wicket_bonuses", "economy_rate", "catch_bonus", "total_points")
+
+
+def _season_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Stat lines with their season and format; each of the two names a rule set."""
+    orders = read_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("match_id"), F.year("o_orderdate").alias("season"), F.col("o_orderpriority").alias("format"))
+    return fx.stat_lines(spark, sf).join(orders, "match_id").withColumn("rule_set", F.concat_ws("/", "season", "format"))
+
+
+def _season_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule set for each season and format of the table: odd seasons follow the second document, and points grow by a
+    quarter for each season after one divisible by four."""
+    orders = read_table(spark, sf, "orders")
+    sets = orders.select(F.year("o_orderdate").alias("season"), F.col("o_orderpriority").alias("format")).distinct()
+    docs = S.rules_frame(spark, S.SCORING_RULES).withColumn("_odd", F.lit(0)).unionByName(
+        S.rules_frame(spark, OTHER_RULES).withColumn("_odd", F.lit(1)))
+    return sets.withColumn("_odd", F.col("season") % 2).join(docs, "_odd").select(
+        F.concat_ws("/", "season", "format").alias("rule_set"), *[c for c in docs.columns if c not in ("_odd", "points")],
+        (F.col("points") * (1 + F.col("season") % 4 / 4)).alias("points"))
+
+
+def score_season_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Each line under the rule set of its season and format, all rule sets in one job."""
+    scored = RS.score_rule_sets(_season_lines(spark, sf), _season_rules(spark, sf))
+    return scored.select(*KEY, "rule_set", *[F.col("section_points")[s].alias(f"{s}_points") for s in S.SCORING_RULES], "total_points")
+
+
+def score_season_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines and points per rule set and rule."""
+    explained = RS.explain_rule_sets(_season_lines(spark, sf), _season_rules(spark, sf), KEY)
+    return explained.groupBy("rule_set", "rule").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("points").alias("points"))
+
+
 QUERIES = {
+    "score_document": score_document,
+    "score_season_rules": score_season_rules,
+    "score_season_summary": score_season_summary,
     "score_linear": score_linear,
     "score_bands": score_bands,
     "score_total": score_total,
@@ -103,6 +183,71 @@ _PARTS = f"""sc AS (SELECT match_id, player_id, line_no,
        WHEN wickets_taken >= 5 THEN '5 Wicket Bonus' END AS wicket_label
 FROM stat_lines)"""
 
+# The second document as SQL, and both documents' bands as rows for a range join.
+_OTHER = """oc AS (SELECT match_id, player_id, line_no,
+  CAST(runs_batting + fours / CAST(2 AS DOUBLE) AS DOUBLE) AS batting_direct,
+  CAST((CASE WHEN runs_batting >= 100 THEN 16 ELSE 0 END) + (CASE WHEN runs_batting >= 50 THEN 8 ELSE 0 END)
+     + (CASE WHEN runs_batting >= 25 THEN 4 ELSE 0 END) AS DOUBLE) AS milestones,
+  CAST(CASE WHEN balls_faced < 20 THEN 0 WHEN sixes * CAST(200 AS DOUBLE) / balls_faced >= 15 THEN 5
+     WHEN sixes * CAST(200 AS DOUBLE) / balls_faced BETWEEN 3 AND 8 THEN -3
+     WHEN sixes * CAST(200 AS DOUBLE) / balls_faced <= 3 THEN -1 ELSE 0 END AS DOUBLE) AS strike_rate,
+  CAST(CASE WHEN runs_batting = 1 AND NOT is_out AND role_std = 'Bowler' THEN -7 ELSE 0 END AS DOUBLE) AS duck,
+  CAST(wickets_taken * 20 AS DOUBLE) AS bowling_direct,
+  CAST((CASE WHEN wickets_taken >= 3 THEN 4 ELSE 0 END) + (CASE WHEN wickets_taken >= 5 THEN 12 ELSE 0 END) AS DOUBLE) AS wicket_bonuses,
+  CAST(CASE WHEN maidens < 1 THEN 0 WHEN CAST(dot_balls_bowled AS DOUBLE) / maidens <= 4 THEN 6
+     WHEN CAST(dot_balls_bowled AS DOUBLE) / maidens >= 9 THEN -6 ELSE 0 END AS DOUBLE) AS economy_rate,
+  CAST(catches_taken * 8 AS DOUBLE) AS fielding_direct,
+  CAST(CASE WHEN stumpings_made >= 1 THEN 3 ELSE 0 END AS DOUBLE) AS catch_bonus
+FROM stat_lines)"""
+_OTHER_TOTAL = """batting_direct + milestones + strike_rate + duck + bowling_direct + wicket_bonuses + economy_rate
+  + fielding_direct + catch_bonus"""
+
+
+def _season_sql() -> str:
+    """Range join: every step's value of a line (long form) against the bands of its document. Of exclusive bands the
+    first listed counts, of others all whose lower bound is reached."""
+    def val(x: float | None) -> str:
+        return "NULL" if x is None else repr(float(x))
+
+    rows = []
+    for odd, doc in enumerate((S.SCORING_RULES, OTHER_RULES)):
+        for r in S.flatten_rules(doc):
+            if r.kind != "linear":
+                step = r.name if r.stacked else r.rule_group
+                high = None if r.stacked else r.max
+                label = r.name if r.stacked or r.kind != "band" else r.rule_group
+                rows.append(f"({odd}, '{r.section}', '{step}', '{label}', {r.priority}, {val(r.min)}, {val(high)}, {r.points!r})")
+    values = [("milestones", "runs_batting", "0 = 0"), ("wicket_bonuses", "wickets_taken", "0 = 0")]
+    even = [*values, ("strike_rate", _SR, "balls_faced >= 10"), ("economy_rate", _ECON, "overs_bowled >= 2"),
+            ("duck", "runs_batting", "is_out AND role_std IN ('Batter', 'Wicketkeeper', 'Allrounder')"),
+            ("catch_bonus", "catches_taken", "0 = 0")]
+    stacked = [(n, c, "0 = 0") for n, c in (("Century Bonus", "runs_batting"), ("Half-Century Bonus", "runs_batting"),
+               ("25 Run Bonus", "runs_batting"), ("3 Wicket Bonus", "wickets_taken"), ("5 Wicket Bonus", "wickets_taken"))]
+    odd_steps = [*stacked, ("strike_rate", "sixes * CAST(200 AS DOUBLE) / balls_faced", "balls_faced >= 20"),
+                 ("economy_rate", "CAST(dot_balls_bowled AS DOUBLE) / maidens", "maidens >= 1"),
+                 ("duck", "runs_batting", "NOT is_out AND role_std = 'Bowler'"), ("catch_bonus", "stumpings_made", "0 = 0")]
+    unit = [(0, "batting", "Run", "runs_batting"), (0, "batting", "Boundary Bonus", "fours * 4"), (0, "batting", "Six Bonus", "sixes * 6"),
+            (0, "bowling", "Maiden Over", "maidens * 12"), (0, "bowling", "Wicket", "wickets_taken * 30"),
+            (0, "bowling", "Dot Ball", "dot_balls_bowled"), (0, "bowling", "Bonus (LBW/Bowled)", "bowled_lbw_dismissals * 8"),
+            (0, "fielding", "Catch", "catches_taken * 8"), (0, "fielding", "Stumping", "stumpings_made * 12"),
+            (0, "fielding", "Run out (Direct hit)", "run_outs * 12"), (1, "batting", "Run", "runs_batting"),
+            (1, "batting", "Boundary Bonus", "fours / CAST(2 AS DOUBLE)"), (1, "bowling", "Wicket", "wickets_taken * 20"),
+            (1, "fielding", "Catch", "catches_taken * 8")]
+    longs = "\nUNION ALL ".join(f"SELECT _i, season, '{n}' AS step, CAST({e} AS DOUBLE) AS v FROM sl WHERE season % 2 = {odd} AND {c}"
+                                for odd, steps in enumerate((even, odd_steps)) for n, e, c in steps)
+    units = "\nUNION ALL ".join(f"SELECT _i, season, '{s}' AS section, '{n}' AS rule, CAST({e} AS DOUBLE) AS p FROM sl WHERE season % 2 = {odd}"
+                                for odd, s, n, e in unit)
+    return f"""sl AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS _i, s.*, YEAR(o_orderdate) AS season,
+  YEAR(o_orderdate) || '/' || o_orderpriority AS rule_set FROM stat_lines s JOIN orders ON o_orderkey = match_id),
+bands(odd, section, step, rule, priority, lo, hi, points) AS (VALUES {", ".join(rows)}),
+pts AS MATERIALIZED (SELECT _i, section, rule, points * (1 + season % 4 / CAST(4 AS DOUBLE)) AS p FROM (
+  SELECT l._i, l.season, b.section, b.rule, CAST(b.points AS DOUBLE) AS points,
+    ROW_NUMBER() OVER (PARTITION BY l._i, b.step ORDER BY b.priority) AS rn
+  FROM ({longs}) l JOIN bands b ON b.odd = l.season % 2 AND b.step = l.step
+    AND (b.lo IS NULL OR l.v >= b.lo) AND (b.hi IS NULL OR l.v <= b.hi)) WHERE rn = 1
+UNION ALL SELECT _i, section, rule, p * (1 + season % 4 / CAST(4 AS DOUBLE)) FROM ({units}))"""
+
+
 _EXPLAINED = """SELECT match_id, player_id, line_no, rule, points FROM (
   SELECT match_id, player_id, line_no, 'Run' AS rule, CAST(runs_batting AS BIGINT) AS points FROM stat_lines
   UNION ALL SELECT match_id, player_id, line_no, 'Boundary Bonus', CAST(fours * 4 AS BIGINT) FROM stat_lines
@@ -125,7 +270,18 @@ _EXPLAINED = """SELECT match_id, player_id, line_no, rule, points FROM (
 
 def oracles() -> dict[str, str]:
     w = with_views("stat_lines", extra=_PARTS)
+    wo = with_views("stat_lines", extra=_OTHER)
+    ws = with_views("stat_lines", extra=_season_sql())
     return {
+        "score_document": wo + f"""SELECT match_id, player_id, line_no, batting_direct, milestones, strike_rate, duck, wicket_bonuses,
+  economy_rate, catch_bonus, {_OTHER_TOTAL} AS total_points FROM oc""",
+        "score_season_rules": ws + """SELECT match_id, player_id, line_no, rule_set,
+  COALESCE(batting_points, 0) AS batting_points, COALESCE(bowling_points, 0) AS bowling_points,
+  COALESCE(fielding_points, 0) AS fielding_points, COALESCE(total_points, 0) AS total_points
+FROM sl LEFT JOIN (SELECT _i, SUM(p) FILTER (section = 'batting') AS batting_points, SUM(p) FILTER (section = 'bowling') AS bowling_points,
+  SUM(p) FILTER (section = 'fielding') AS fielding_points, SUM(p) AS total_points FROM pts GROUP BY _i) USING (_i)""",
+        "score_season_summary": ws + """SELECT rule_set, rule, COUNT(*) AS n_lines, SUM(p) AS points
+FROM pts JOIN sl USING (_i) WHERE p <> 0 GROUP BY rule_set, rule""",
         "score_linear": w + "SELECT match_id, player_id, line_no, batting_direct, bowling_direct, fielding_direct FROM sc",
         "score_bands": w + """SELECT match_id, player_id, line_no, milestones, strike_rate, duck, wicket_bonuses,
   economy_rate, catch_bonus FROM sc""",
