@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.roles import range_quality, variance_quality
+from ..functions.roles import range_quality, system_quality, variance_quality
 from .hot_groups import HOT_ROWS, group_quantiles
 
 # Fixed values of the report rules.
@@ -27,6 +27,31 @@ def group_stats(df: DataFrame, keys: list[str], score: str = "fp_pred", minmax:
     return df.groupBy(*keys).agg(*aggs)
 
 
+def level_report(df: DataFrame, levels: dict[str, str], score: str = "fp_pred", part: str = "request_id") -> DataFrame:
+    """A7 + A8 + A10 + F11 in one pass: a row for each request (level ``request``) and for each value of every column of
+    ``levels`` (level name -> column) within it, by grouping sets, so that one shuffle of partial aggregates serves all
+    reports. ``item`` is the value as text, null in the request's row and where the value itself is null (``level``
+    tells). Requests without a score have null figures and count 0. The request's row has the system quality label."""
+    s = F.col(score)
+    cols = list(levels.values())
+    ids = {c: F.grouping(c) for c in cols}
+    g = df.groupingSets([[part], *[[part, c] for c in cols]], part, *cols).agg(
+        F.avg(s).alias("mean"), F.stddev_samp(s).alias("std"), F.count(s).alias("count"), F.min(s).alias("min"), F.max(s).alias("max"),
+        F.count(F.when(s < LOW, 1)).alias("low_scores"),
+        F.count(F.when((s >= LOW) & (s < MID), 1)).alias("medium_scores"),
+        F.count(F.when(s >= HIGH, 1)).alias("high_scores"),
+        F.count(F.when(s >= VERY_HIGH, 1)).alias("very_high_scores"),
+        *[ids[c].alias(f"_g{i}") for i, c in enumerate(cols)])
+    level, item = F, F
+    for i, (name, c) in enumerate(levels.items()):
+        here = F.col(f"_g{i}") == 0
+        level, item = level.when(here, name), item.when(here, F.col(c).cast("string"))
+    level = level.otherwise("request")
+    stats = ["mean", "std", "count", "min", "max", "low_scores", "medium_scores", "high_scores", "very_high_scores"]
+    return g.select(part, level.alias("level"), item.alias("item"), *stats,
+                    F.when(level == "request", system_quality(F.col("std"))).alias("system_quality"))
+
+
 def frequency(df: DataFrame, col: str, part: str = "request_id") -> DataFrame:
     """Value counts and share within the partition (request)."""
     c = df.groupBy(part, col).agg(F.count(F.lit(1)).alias("n"))

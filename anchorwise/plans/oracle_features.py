@@ -53,14 +53,13 @@ FROM a LEFT JOIN ar_g USING (match_id, player_id))"""
 BALL = """bb_h AS (SELECT a.match_id, a.player_id, i.match_date AS ld, i.fours, i.sixes, i.runs_batting, i.balls_faced,
    ROW_NUMBER() OVER (PARTITION BY a.match_id, a.player_id ORDER BY i.match_date DESC, i.match_id DESC) AS rn
    FROM a JOIN innings i ON i.player_id = a.player_id AND i.match_date < a.cutoff),
-bb_l AS (SELECT * FROM bb_h WHERE rn = 1),
-bb_d AS (SELECT bb_l.match_id, bb_l.player_id, COUNT(*) AS nb,
-   COUNT(CASE WHEN d."over" <= 6 AND d.batsman_runs IN (4, 6) THEN 1 END) AS pp,
-   COALESCE(SUM(CASE WHEN d."over" >= 16 THEN d.batsman_runs END), 0) AS death,
-   COUNT(CASE WHEN d."over" BETWEEN 7 AND 15 AND d.batsman_runs = 0 THEN 1 END) AS dots,
-   COUNT(CASE WHEN d.batsman_runs IN (4, 6) THEN 1 END) AS bnd
-   FROM bb_l JOIN deliveries d ON d.batter_id = bb_l.player_id AND d.match_date = bb_l.ld
-   GROUP BY bb_l.match_id, bb_l.player_id),
+bb_l AS MATERIALIZED (SELECT * FROM bb_h WHERE rn = 1),
+bb_d AS MATERIALIZED (SELECT batter_id, match_date, COUNT(*) AS nb,
+   COUNT(CASE WHEN "over" <= 6 AND batsman_runs IN (4, 6) THEN 1 END) AS pp,
+   COALESCE(SUM(CASE WHEN "over" >= 16 THEN batsman_runs END), 0) AS death,
+   COUNT(CASE WHEN "over" BETWEEN 7 AND 15 AND batsman_runs = 0 THEN 1 END) AS dots,
+   COUNT(CASE WHEN batsman_runs IN (4, 6) THEN 1 END) AS bnd
+   FROM deliveries GROUP BY batter_id, match_date),
 bb AS (SELECT a.match_id, a.player_id,
    CAST(CASE WHEN l.ld IS NULL THEN 2 WHEN d.nb IS NOT NULL THEN d.pp ELSE LEAST(TRUNC(l.fours + l.sixes), 6) END AS INTEGER)
      AS powerplay_boundaries_last_match,
@@ -74,7 +73,8 @@ bb AS (SELECT a.match_id, a.player_id,
      AS total_boundaries_last_match,
    (l.ld IS NULL OR d.nb IS NOT NULL OR (l.fours IS NOT NULL AND l.sixes IS NOT NULL
       AND l.runs_batting IS NOT NULL AND l.balls_faced IS NOT NULL)) AS ball_valid
-FROM a LEFT JOIN bb_l l USING (match_id, player_id) LEFT JOIN bb_d d USING (match_id, player_id))"""
+FROM a LEFT JOIN bb_l l ON l.match_id = a.match_id AND l.player_id = a.player_id
+LEFT JOIN bb_d d ON d.batter_id = l.player_id AND d.match_date = l.ld)"""
 
 OPPOSITION = """op_t AS (SELECT a.match_id, a.player_id, MAX(i.match_date) AS ld
    FROM a JOIN innings i ON i.team_id = a.opposition_id AND i.match_date < a.cutoff
@@ -134,7 +134,7 @@ PROVENANCE = """SELECT feature_group, source, COUNT(*) AS n_anchors FROM (
      FROM a LEFT JOIN ar_g g USING (match_id, player_id)
   UNION ALL SELECT 'ball', CASE WHEN l.ld IS NULL THEN 'used_default_no_delivery_data'
        WHEN d.nb IS NOT NULL THEN 'used_real_delivery_data' ELSE 'used_proxy_from_innings_data' END
-     FROM a LEFT JOIN bb_l l USING (match_id, player_id) LEFT JOIN bb_d d USING (match_id, player_id)
+     FROM a LEFT JOIN bb_l l USING (match_id, player_id) LEFT JOIN bb_d d ON d.batter_id = a.player_id AND d.match_date = l.ld
   UNION ALL SELECT 'opposition', CASE WHEN COALESCE(a.opposition_id, 0) = 0 THEN 'used_default_no_opposition_data'
        WHEN t.ld IS NULL THEN 'used_default_no_opposition_matches' ELSE 'used_real_data' END
      FROM a LEFT JOIN op_t t USING (match_id, player_id)

@@ -52,6 +52,12 @@ def report_role(spark, sf):
     return g.select("request_id", "role", _r("mean"), _r("std"), "count")
 
 
+def report_levels(spark, sf):
+    """The reports by request, side and role from one shuffle."""
+    d = R.level_report(_preds_with_role(spark, sf), {"team": "team_no", "role": "role"})
+    return d.select(*[_r(c) if c in ("mean", "std") else F.col(c) for c in d.columns])
+
+
 def report_category(spark, sf):
     f = R.frequency(_enriched(spark, sf), "variance_category")
     return f.select("request_id", "variance_category", "n", _r("share"))
@@ -115,10 +121,33 @@ def roundtrip_sinks(spark, sf):
                        "model_type")
 
 
+def roundtrip_report(spark, sf):
+    """The JSON report read back, under its own column types."""
+    from ..sources.sinks import output_path, save_predictions
+
+    report = report_quality(spark, sf)
+    path = save_predictions(fx.predictions(spark, sf), output_path(spark, "predictions"), MODEL_TYPE, report=report)
+    return spark.read.schema(report.schema).json(f"{path}/analysis")
+
+
+def roundtrip_by_date(spark, sf):
+    """Predictions stored by cutoff date, those of one half of the dates written a second time over their own; read back."""
+    from ..sources.sinks import output_path, store_by_date
+
+    dates = fx.requests(spark, sf).select("request_id", "cutoff_date").distinct()
+    preds = fx.predictions(spark, sf).select("request_id", "player_id", "team_no", "fp_pred").join(dates, "request_id")
+    path = store_by_date(preds, output_path(spark, "by_date"))
+    store_by_date(preds.where(F.dayofmonth("cutoff_date") % 2 == 0), path)
+    return spark.read.schema(preds.schema).parquet(path).select(*preds.columns)
+
+
 MODEL_TYPE = "Spark GBT Variance Model with 30-Feature System"
 
 QUERIES = {
     "roundtrip_sinks": roundtrip_sinks,
+    "roundtrip_report": roundtrip_report,
+    "roundtrip_by_date": roundtrip_by_date,
+    "report_levels": report_levels,
     "enrich_rank": enrich_rank,
     "enrich_confidence": enrich_confidence,
     "enrich_credits": enrich_credits,
@@ -175,7 +204,44 @@ def oracles() -> dict[str, str]:
           ORDER BY fp_pred DESC, team_no) AS r, COUNT(*) OVER (PARTITION BY request_id, player_id) AS n_copies
           FROM predictions) WHERE r = 1)"""
     wd = with_views("predictions", extra=dd)
+    quality = with_views("predictions", extra="""q AS (SELECT request_id, COUNT(fp_pred) AS total_players,
+   AVG(fp_pred) AS avg_prediction, MIN(fp_pred) AS min_prediction, MAX(fp_pred) AS max_prediction,
+   STDDEV_SAMP(fp_pred) AS prediction_std, COUNT(DISTINCT fp_pred) AS unique_predictions,
+   QUANTILE_CONT(fp_pred, 0.85) AS q85, QUANTILE_CONT(fp_pred, 0.6) AS q60,
+   QUANTILE_CONT(fp_pred, 0.4) AS q40, QUANTILE_CONT(fp_pred, 0.15) AS q15
+   FROM predictions GROUP BY request_id),
+t AS (SELECT p.request_id,
+   COUNT(CASE WHEN fp_pred >= q85 THEN 1 END) AS tier_high_variance,
+   COUNT(CASE WHEN fp_pred >= q60 AND fp_pred < q85 THEN 1 END) AS tier_above_average,
+   COUNT(CASE WHEN fp_pred >= q40 AND fp_pred < q60 THEN 1 END) AS tier_average,
+   COUNT(CASE WHEN fp_pred >= q15 AND fp_pred < q40 THEN 1 END) AS tier_below_average,
+   COUNT(CASE WHEN fp_pred < q15 THEN 1 END) AS tier_low_variance
+   FROM predictions p JOIN q USING (request_id) GROUP BY p.request_id)""") + """SELECT request_id, total_players,
+  ROUND(avg_prediction, 6) AS avg_prediction, min_prediction, max_prediction, ROUND(prediction_std, 6) AS prediction_std,
+  unique_predictions, ROUND(unique_predictions / total_players, 6) AS prediction_variety,
+  prediction_std >= 10 AS variance_maintained,
+  CASE WHEN prediction_std > 20 THEN 'Excellent' WHEN prediction_std > 15 THEN 'Good'
+       WHEN prediction_std > 10 THEN 'Moderate' ELSE 'Poor' END AS variance_quality,
+  ROUND(max_prediction - min_prediction, 6) AS prediction_range_span,
+  CASE WHEN max_prediction - min_prediction > 40 THEN 'Good' WHEN max_prediction - min_prediction > 20 THEN 'Moderate'
+       ELSE 'Poor' END AS range_quality,
+  ROUND(prediction_std / 25, 6) AS variance_score,
+  unique_predictions < total_players * 0.8 AS many_duplicates,
+  max_prediction - min_prediction < 20 AS narrow_range,
+  tier_high_variance, tier_above_average, tier_average, tier_below_average, tier_low_variance
+FROM q JOIN t USING (request_id)"""
+    figures = """ROUND(AVG(fp_pred), 6) AS mean, ROUND(STDDEV_SAMP(fp_pred), 6) AS std, COUNT(fp_pred) AS count,
+  MIN(fp_pred) AS min, MAX(fp_pred) AS max, COUNT(CASE WHEN fp_pred < 20 THEN 1 END) AS low_scores,
+  COUNT(CASE WHEN fp_pred >= 20 AND fp_pred < 50 THEN 1 END) AS medium_scores,
+  COUNT(CASE WHEN fp_pred >= 50 THEN 1 END) AS high_scores, COUNT(CASE WHEN fp_pred >= 70 THEN 1 END) AS very_high_scores"""
     return {
+        "roundtrip_by_date": with_views("predictions", "requests") + """SELECT request_id, player_id, team_no, fp_pred, cutoff_date
+FROM predictions JOIN (SELECT DISTINCT request_id, cutoff_date FROM requests) USING (request_id)""",
+        "report_levels": wr + f"""SELECT request_id, 'request' AS level, CAST(NULL AS VARCHAR) AS item, {figures},
+  CASE WHEN STDDEV_SAMP(fp_pred) > 15 THEN 'EXCELLENT' WHEN STDDEV_SAMP(fp_pred) >= 10 THEN 'GOOD'
+       WHEN STDDEV_SAMP(fp_pred) > 5 THEN 'MODERATE' ELSE 'POOR' END AS system_quality FROM pr GROUP BY request_id
+UNION ALL SELECT request_id, 'team', CAST(team_no AS VARCHAR), {figures}, NULL FROM pr GROUP BY request_id, team_no
+UNION ALL SELECT request_id, 'role', role, {figures}, NULL FROM pr GROUP BY request_id, role""",
         "roundtrip_sinks": we + f"""SELECT request_id, player_id, team_no, fp_pred, CAST(predicted_rank AS INTEGER) AS predicted_rank,
   variance_category,
   '{MODEL_TYPE}' AS model_type FROM en""",
@@ -203,32 +269,8 @@ def oracles() -> dict[str, str]:
   STDDEV_POP(fp_pred) >= 10 AS sufficient_spread,
   ROUND(CASE WHEN AVG(fp_pred) > 0 THEN STDDEV_POP(fp_pred) / AVG(fp_pred) ELSE 0 END, 6) AS coefficient_of_variation
 FROM predictions GROUP BY request_id""",
-        "report_quality": with_views("predictions", extra="""q AS (SELECT request_id, COUNT(fp_pred) AS total_players,
-   AVG(fp_pred) AS avg_prediction, MIN(fp_pred) AS min_prediction, MAX(fp_pred) AS max_prediction,
-   STDDEV_SAMP(fp_pred) AS prediction_std, COUNT(DISTINCT fp_pred) AS unique_predictions,
-   QUANTILE_CONT(fp_pred, 0.85) AS q85, QUANTILE_CONT(fp_pred, 0.6) AS q60,
-   QUANTILE_CONT(fp_pred, 0.4) AS q40, QUANTILE_CONT(fp_pred, 0.15) AS q15
-   FROM predictions GROUP BY request_id),
-t AS (SELECT p.request_id,
-   COUNT(CASE WHEN fp_pred >= q85 THEN 1 END) AS tier_high_variance,
-   COUNT(CASE WHEN fp_pred >= q60 AND fp_pred < q85 THEN 1 END) AS tier_above_average,
-   COUNT(CASE WHEN fp_pred >= q40 AND fp_pred < q60 THEN 1 END) AS tier_average,
-   COUNT(CASE WHEN fp_pred >= q15 AND fp_pred < q40 THEN 1 END) AS tier_below_average,
-   COUNT(CASE WHEN fp_pred < q15 THEN 1 END) AS tier_low_variance
-   FROM predictions p JOIN q USING (request_id) GROUP BY p.request_id)""") + """SELECT request_id, total_players,
-  ROUND(avg_prediction, 6) AS avg_prediction, min_prediction, max_prediction, ROUND(prediction_std, 6) AS prediction_std,
-  unique_predictions, ROUND(unique_predictions / total_players, 6) AS prediction_variety,
-  prediction_std >= 10 AS variance_maintained,
-  CASE WHEN prediction_std > 20 THEN 'Excellent' WHEN prediction_std > 15 THEN 'Good'
-       WHEN prediction_std > 10 THEN 'Moderate' ELSE 'Poor' END AS variance_quality,
-  ROUND(max_prediction - min_prediction, 6) AS prediction_range_span,
-  CASE WHEN max_prediction - min_prediction > 40 THEN 'Good' WHEN max_prediction - min_prediction > 20 THEN 'Moderate'
-       ELSE 'Poor' END AS range_quality,
-  ROUND(prediction_std / 25, 6) AS variance_score,
-  unique_predictions < total_players * 0.8 AS many_duplicates,
-  max_prediction - min_prediction < 20 AS narrow_range,
-  tier_high_variance, tier_above_average, tier_average, tier_below_average, tier_low_variance
-FROM q JOIN t USING (request_id)""",
+        "report_quality": quality,
+        "roundtrip_report": quality,
         "top_players": wp + """SELECT * FROM (SELECT request_id, player_id, team_no, fp_pred,
   CAST(ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY fp_pred DESC, player_id) AS INTEGER) AS rank FROM predictions)
   WHERE rank <= 15""",

@@ -50,6 +50,14 @@ def captains(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("request_id", "player_id", F.round("captain_score", R6).alias("captain_score"), "captain", "vice_captain")
 
 
+def roundtrip_team(spark: SparkSession, sf: str) -> DataFrame:
+    """The teams with their captains, written and read back."""
+    from ..sources.sinks import output_path, write_team
+
+    team = captains(spark, sf)
+    return spark.read.schema(team.schema).parquet(write_team(team, output_path(spark, "teams"), partition_by=None))
+
+
 def validate_team(spark: SparkSession, sf: str) -> DataFrame:
     return SEL.validate_team(SEL.captains(_team(spark, sf)))
 
@@ -74,6 +82,7 @@ QUERIES = {
     "feasibility": feasibility,
     "select_team": select_team,
     "captains": captains,
+    "roundtrip_team": roundtrip_team,
     "validate_team": validate_team,
     "team_report": team_report,
 }
@@ -235,6 +244,8 @@ def oracles() -> dict[str, str]:
         f"CASE WHEN n_{r.lower()} < {lo} THEN '{r}: need {lo}, have ' || CAST(n_{r.lower()} AS VARCHAR) END"
         for r, (lo, _) in ROLE_LIMITS.items())
     team_ok = " AND ".join(f"(n_team{t} = 0 OR n_candidates - n_team{t} + LEAST(n_team{t}, 7) >= 11)" for t in (1, 2))
+    caps = """SELECT request_id, player_id, ROUND(captain_score, 6) AS captain_score, cr = 1 AS captain,
+  cr = 2 AS vice_captain FROM cap2"""
     return {
         "pick_status": _pick_status_sql(),
         "starting_probability": with_views("requests", extra=START_PROB_CTES) + """SELECT r.request_id, r.player_id, r.team_no,
@@ -252,8 +263,8 @@ FROM (SELECT request_id, COUNT(role_std) AS n_candidates, {role_counts},
         "select_team": w + """SELECT request_id, player_id, team_no, role_std, fp_pred, starting_probability,
   ROUND(prediction_confidence, 6) AS prediction_confidence, ROUND(weight, 6) AS weight, ROUND(objective, 6) AS objective
 FROM sel""",
-        "captains": w + """SELECT request_id, player_id, ROUND(captain_score, 6) AS captain_score, cr = 1 AS captain,
-  cr = 2 AS vice_captain FROM cap2""",
+        "captains": w + caps,
+        "roundtrip_team": w + caps,
         "validate_team": w + f"""SELECT *, {roles_ok} AS roles_ok,
   n_players = 11 AND n_unique = n_players AND n_captain = 1 AND n_vice = 1 AND n_both = 0 AND {roles_ok}
   AND n_team1 <= 7 AND n_team2 <= 7 AS valid
