@@ -9,9 +9,11 @@ are summed over the words of a language.
 The fit takes a bounded sample of labelled rows, ``max_docs`` of each language in expectation. Spark counts the
 sample's words and, in each round, sums the expected counts; the driver holds pieces by languages only.
 
-Words are the letters of white-space words in lower case with the vocabulary's word mark before them; a word of more
-than ``LONGEST`` letters is cut there, so no text is too long. Null texts and texts without a letter are ``und``
-with score 0, as is every text when nothing was learned. Null languages are not learned. Repeated rows each get
+Words are the runs of letters and combining marks in white-space words, in lower case, the first of each with the
+vocabulary's word mark before it. Every piece of the vocabulary that such a run can hold takes part, and a run is scored
+whole, whatever its length: the forward pass keeps the prefixes that a piece can reach back to, rescales them as it goes,
+and builds the lattice by stretches. Only the fit cuts runs, at ``FIT_LETTERS`` letters. Null texts and texts without a letter are
+``und`` with score 0, as is every text when nothing was learned. Null languages are not learned. Repeated rows each get
 their result; in ``predict``, other columns pass through unless they bear the names of its results, which replace them.
 """
 
@@ -22,34 +24,66 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
 
 MARK = "▁"
-LONGEST, PIECE = 32, 12
 MAX_DOCS = 3000  # of each language
 ROUNDS = 3
+FIT_LETTERS = 4096
 FLOOR = 1e-7  # of a character that no piece covers, and of pieces not seen in a language
 CACHE = 300_000
-_PIECES: dict[str, dict[str, int]] = {}
-
-
-def vocabulary(path: str) -> dict[str, int]:
-    """Lower-case piece to row, with the word mark; single characters outside it share row 0."""
-    if path not in _PIECES:
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        rows: dict[str, int] = {}
-        for i in range(model.get_piece_size()):
-            piece = model.id_to_piece(i)
-            body = piece.removeprefix(MARK)
-            if body.isalpha() and body == body.lower() and len(body) <= PIECE:
-                rows.setdefault(piece, len(rows) + 1)
-        _PIECES[path] = rows
-    return _PIECES[path]
+STRETCH = 4096  # letters of a run whose pieces are listed at once
+CELLS = 1 << 18  # words by letters that are scored at once
+RESCALE = 8  # letters; fewer than a double's range holds of the least probabilities
+_RUN = regex.compile(r"[\p{L}\p{M}]+")
+
+
+class Trie:
+    """The pieces as transitions from prefix to prefix: a sorted array of (prefix, character), looked up by binary search."""
+
+    def __init__(self, pieces: dict[str, int]):
+        number, rows, steps = {"": 0}, [-1], {}
+        for piece, row in pieces.items():
+            for k in range(1, len(piece) + 1):
+                if piece[:k] not in number:
+                    number[piece[:k]] = len(rows)
+                    steps[number[piece[: k - 1]] << 21 | ord(piece[k - 1])] = len(rows)
+                    rows.append(-1)
+            rows[number[piece]] = row
+        keys = sorted(steps)
+        self.keys = np.array([*keys, 1 << 62], np.int64)
+        self.to = np.array([*(steps[k] for k in keys), 0], np.int64)
+        self.row = np.array(rows, np.int64)
+        self.longest = max(map(len, pieces), default=1)
+
+    def step(self, state: np.ndarray, char: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the prefixes go on with their character, and the prefixes that those lead to."""
+        key = state << 21 | char
+        at = np.searchsorted(self.keys, key)
+        hit = self.keys[at] == key
+        return hit, self.to[at[hit]]
+
+
+def _rows(path: str) -> dict[str, int]:
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows: dict[str, int] = {}
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        body = piece.removeprefix(MARK)
+        if _RUN.fullmatch(body) and body == body.lower():
+            rows.setdefault(piece, len(rows) + 1)
+    return rows
+
+
+def vocabulary(path: str) -> Trie:
+    """Lower-case pieces of letters and marks, with the word mark, to rows; characters outside it share row 0."""
+    return tx.warm(("langid pieces", path), lambda: Trie(_rows(path)))
 
 
 def remembered(key: str) -> dict[str, np.ndarray]:
@@ -61,74 +95,105 @@ def remembered(key: str) -> dict[str, np.ndarray]:
 
 
 def parts(word: str) -> list[str]:
-    """The marked stretches of at most LONGEST letters that a word is scored by."""
-    key = tx.letters(word)
-    if not key:
-        return []
-    return [(MARK if i == 0 else "") + key[i : i + LONGEST] for i in range(0, len(key), LONGEST)]
+    """The runs of letters and marks that a white-space word is scored by, the first with the word mark."""
+    low = word.lower()
+    runs = [low] if low.isalpha() else _RUN.findall(low)
+    if runs:
+        runs[0] = MARK + runs[0]
+    return runs
+
+
+def groups(words: list[str]) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of words, sorted by length, of at most CELLS letters if the longest, or 16, counts for all."""
+    lo = 0
+    for hi in range(1, len(words) + 1):
+        if hi == len(words) or (hi + 1 - lo) * max(16, len(words[hi])) > CELLS:
+            yield lo, hi
+            lo = hi
 
 
 class Lattice:
-    """All pieces in all words: word, begin, end and row of each."""
-
-    def __init__(self, words: list[str], pieces: dict[str, int]):
-        of, begin, end, row = [], [], [], []
-        get = pieces.get
-        for w, word in enumerate(words):
-            n = len(word)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + PIECE + 1) + 1):
-                    r = get(word[i:j])
-                    if r is not None:
-                        of.append(w)
-                        begin.append(i)
-                        end.append(j)
-                        row.append(r)
-                    elif j == i + 1:  # a character always can stand alone
-                        of.append(w)
-                        begin.append(i)
-                        end.append(j)
-                        row.append(0)
+    """All pieces in all words."""
+
+    def __init__(self, words: list[str], pieces: Trie | dict[str, int]):
+        self.trie = pieces if isinstance(pieces, Trie) else Trie(pieces)
         self.n = len(words)
-        self.of, self.begin, self.end, self.row = (np.array(x, np.int64) for x in (of, begin, end, row))
         self.lens = np.fromiter(map(len, words), np.int64, len(words))
-        self.width = int(self.lens.max()) + 1 if self.n else 1
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """Probability of each prefix of each word, for every language: (words, width, languages)."""
-        alpha = np.zeros((self.n, self.width, p.shape[1]))
+        self.first = np.cumsum(self.lens) - self.lens
+        self.chars = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        self.width = int(self.lens.max()) if self.n else 0
+
+    def edges(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Word, begin, end and row of the pieces that end in (lo, hi]; a character always can stand alone."""
+        a = np.minimum(self.lens, max(0, lo + 1 - self.trie.longest))
+        stop = np.minimum(self.lens, hi)
+        n = stop - a
+        of = np.repeat(np.arange(self.n), n)
+        begin = np.arange(len(of)) - np.repeat(np.cumsum(n) - n - a, n)
+        at, room = self.first[of] + begin, stop[of] - begin
+        live, state, found = np.arange(len(of)), np.zeros(len(of), np.int64), []
+        for k in range(self.trie.longest):
+            fits = room[live] > k
+            live, state = live[fits], state[fits]
+            hit, to = self.trie.step(state, self.chars[at[live] + k])
+            if k == 0:
+                row = np.zeros(len(live), np.int64)
+                row[hit] = np.maximum(self.trie.row[to], 0)
+                found.append((live, np.ones(len(live), np.int64), row))
+            live, state = live[hit], to
+            if k:
+                row = self.trie.row[state]
+                piece = row >= 0
+                found.append((live[piece], np.full(int(piece.sum()), k + 1), row[piece]))
+        live, length, row = (np.concatenate(x) for x in zip(*found, strict=True))
+        of, begin = of[live], begin[live]
+        end = begin + length
+        late = end > lo
+        order = np.argsort(end[late] * self.n + of[late], kind="stable")
+        return tuple(x[late][order] for x in (of, begin, end, row))
+
+    def _sweep(self, p: np.ndarray, stretches: Iterator[tuple], logs: np.ndarray | None = None) -> np.ndarray:
+        """(words, languages): log of the sum over all segmentations; ``logs`` takes those of all prefixes."""
+        ring = self.trie.longest + 1
+        alpha = np.zeros((self.n, ring, p.shape[1]))
         alpha[:, 0] = 1.0
-        order = np.argsort(self.end, kind="stable")
-        stops = np.searchsorted(self.end[order], np.arange(self.width + 1))
-        for j in range(1, self.width):
-            e = order[stops[j] : stops[j + 1]]
-            add = alpha[self.of[e], self.begin[e]] * p[self.row[e]]
-            for k in range(p.shape[1]):
-                alpha[:, j, k] = np.bincount(self.of[e], weights=add[:, k], minlength=self.n)
-        return alpha
-
-    def backward(self, p: np.ndarray) -> np.ndarray:
-        beta = np.zeros((self.n, self.width, p.shape[1]))
-        beta[np.arange(self.n), self.lens] = 1.0
-        order = np.argsort(self.begin, kind="stable")
-        stops = np.searchsorted(self.begin[order], np.arange(self.width + 1))
-        for i in range(self.width - 2, -1, -1):
-            e = order[stops[i] : stops[i + 1]]
-            add = beta[self.of[e], self.end[e]] * p[self.row[e]]
-            for k in range(p.shape[1]):
-                beta[:, i, k] += np.bincount(self.of[e], weights=add[:, k], minlength=self.n)
-        return beta
+        shift, out = np.zeros((self.n, p.shape[1])), np.zeros((self.n, p.shape[1]))
+        for of, begin, end, row in stretches:
+            if not len(of):
+                continue
+            heads = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (end[1:] != end[:-1])]))
+            ends = np.arange(end[0], end[-1] + 2)
+            stops, head_stops = np.searchsorted(end, ends), np.searchsorted(end[heads], ends)
+            slot, weight = begin % ring, p[row]
+            for k, j in enumerate(ends[:-1].tolist()):
+                s, e = stops[k], stops[k + 1]
+                head = heads[head_stops[k] : head_stops[k + 1]]
+                words = of[head]
+                now = np.add.reduceat(alpha[of[s:e], slot[s:e]] * weight[s:e], head - s, axis=0)
+                alpha[words, j % ring] = now
+                last = self.lens[words] == j
+                if logs is not None:
+                    logs[words, j] = np.log(now) + shift[words]
+                out[words[last]] = np.log(now[last]) + shift[words[last]]
+                if j % RESCALE == 0:
+                    alpha[words] /= now[:, None]
+                    shift[words] += np.log(now)
+        return out
 
     def log_probability(self, p: np.ndarray) -> np.ndarray:
         """(words, languages): log of the sum over all segmentations."""
-        return np.log(self.forward(p)[np.arange(self.n), self.lens])
+        return self._sweep(p, (self.edges(lo, lo + STRETCH) for lo in range(0, self.width, STRETCH)))
 
     def expected(self, p: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Expected occurrences of every piece, for words that occur ``count`` times in each language."""
-        a, b = self.forward(p), self.backward(p)
-        whole = a[np.arange(self.n), self.lens]
-        share = a[self.of, self.begin] * p[self.row] * b[self.of, self.end] / whole[self.of] * count[self.of]
-        return np.stack([np.bincount(self.row, weights=share[:, k], minlength=len(p)) for k in range(p.shape[1])], axis=1)
+        of, begin, end, row = self.edges(0, self.width)
+        prefix, suffix = (np.zeros((self.n, self.width + 1, p.shape[1])) for _ in range(2))
+        whole = self._sweep(p, [(of, begin, end, row)], prefix)
+        left = self.lens[of] - begin  # the words from their ends: a piece begins where it ended
+        order = np.argsort(left * self.n + of, kind="stable")
+        self._sweep(p, [tuple(x[order] for x in (of, self.lens[of] - end, left, row))], suffix)
+        share = np.exp(prefix[of, begin] + np.log(p[row]) + suffix[of, self.lens[of] - end] - whole[of]) * count[of]
+        return np.stack([np.bincount(row, weights=share[:, k], minlength=len(p)) for k in range(p.shape[1])], axis=1)
 
 
 class Model:
@@ -148,7 +213,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
             key, n = np.unique(of * max(1, len(distinct)) + codes, return_counts=True)
             out: dict[tuple[str, str], int] = {}
             names = lang.dictionary.to_pylist()
-            split = [parts(w) for w in distinct]
+            split = [[r[i : i + FIT_LETTERS] for r in parts(w) for i in range(0, len(r), FIT_LETTERS)] for w in distinct]
             for k, c in zip(key.tolist(), n.tolist(), strict=True):
                 for part in split[k % len(distinct)]:
                     at = (names[k // len(distinct)], part)
@@ -165,25 +230,29 @@ def fit(docs: DataFrame, path: str, max_docs: int = MAX_DOCS, rounds: int = ROUN
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
-    pieces = vocabulary(path)
+    size = len(_rows(path)) + 1
     if not languages:
-        return Model(path, [], np.zeros((len(pieces) + 1, 0)))
+        return Model(path, [], np.zeros((size, 0)))
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, min(1.0, max_docs / n)).otherwise(share)
     sample = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
     words = _word_counts(sample).groupBy("part").agg(*[F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, lang in enumerate(languages)])
     words = words.checkpoint()  # read once for each round
-    p = np.full((len(pieces) + 1, len(languages)), 1.0 / (len(pieces) + 1))
+    p = np.full((size, len(languages)), 1.0 / size)
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(p)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            p, rows = sent.value, vocabulary(path)
+            p, pieces = sent.value, vocabulary(path)
             total = np.zeros_like(p)
             for batch in batches:
-                n = np.stack([batch.column(k + 1).to_numpy() for k in range(p.shape[1])], axis=1)
-                total += Lattice(batch.column(0).to_pylist(), rows).expected(p, n)
+                seen = batch.column(0).to_pylist()
+                order = sorted(range(len(seen)), key=lambda i: len(seen[i]))
+                seen = [seen[i] for i in order]
+                n = np.stack([batch.column(k + 1).to_numpy() for k in range(p.shape[1])], axis=1)[order]
+                for lo, hi in groups(seen):
+                    total += Lattice(seen[lo:hi], pieces).expected(p, n[lo:hi])
             row, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(lang), pa.array(total[row, lang])], ["piece", "lang", "n"])
 
@@ -215,11 +284,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             split = [parts(w) for w in distinct]
             known = remembered(key)
             new = sorted({x for s in split for x in s if x not in known}, key=len)  # words of a length share an array
-            for lo in range(0, len(new), 5000):
-                part = new[lo : lo + 5000]
+            for lo, hi in groups(new):
+                part = new[lo:hi]
                 known.update(zip(part, Lattice(part, pieces).log_probability(p), strict=True))
             word = np.array([known[s[0]] if len(s) == 1 else sum((known[x] for x in s), zero) for s in split]).reshape(-1, len(languages))
-            letter = np.array([bool(s) for s in split], bool)
+            letter = np.array([any(map(str.isalpha, w)) for w in distinct], bool)
             n = rows.num_rows
             has = tx.total(bounds, letter[codes]) > 0 if len(codes) else np.zeros(n, bool)
             if not languages:

@@ -189,6 +189,40 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(lattice.expected(p, n), want, atol=1e-3)
 
 
+def test_forward_over_long_words_and_pieces():
+    """Pieces of over 12 characters, words of over 32, runs longer than a stretch, by a recursion in logarithms."""
+    rnd, long = random.Random(1), "abababababababab"
+    pieces = {"▁": 1, "▁a": 2, "a": 3, "ab": 4, "b": 5, long: 6, "cab": 7, "c": 8, "e\u0301": 9}
+    p = np.random.default_rng(0).random((10, 2)) * 0.3 + 1e-6
+
+    def brute(word, k):
+        logs = [0.0]
+        for j in range(1, len(word) + 1):
+            rows = [(i, pieces.get(word[i:j], 0 if j == i + 1 else None)) for i in range(max(0, j - 16), j)]
+            logs.append(np.logaddexp.reduce([logs[i] + np.log(p[r, k]) for i, r in rows if r is not None]))
+        return logs[-1]
+
+    words = ["▁" + "".join(rnd.choice("abcxe\u0301") for _ in range(n)) for n in (1, 2, 3, 17, 33, 40, 300, langid.STRETCH + 20, 3 * langid.STRETCH)]
+    words.append("▁" + long * 5)
+    got = langid.Lattice(words, pieces).log_probability(p)
+    assert np.allclose(got, [[brute(w, k) for k in range(2)] for w in words], rtol=1e-9)
+    without = langid.Lattice(words, {x: r for x, r in pieces.items() if x != long}).log_probability(p)
+    assert got[-1, 0] > without[-1, 0] and np.allclose(got[:3], without[:3])
+    n = np.ones((5, 2), int)
+    short = langid.Lattice(words[2:7], pieces)
+    q, step = p.copy(), 1e-7
+    q[5] *= 1 + step
+    want = ((short.log_probability(q) - short.log_probability(p)) * n).sum(axis=0) / step
+    assert np.allclose(short.expected(p, n)[5], want, rtol=1e-3)
+
+
+def test_langid_words():
+    assert langid.parts("Don't") == ["▁don", "t"] and langid.parts("12-34") == [] and langid.parts("ABC") == ["▁abc"]
+    assert langid.parts("हिन्दी,") == ["▁हिन्दी"] and langid.parts("x" * 100) == ["▁" + "x" * 100]
+    words = sorted(["a" * k for k in range(1, 300)], key=len)
+    assert [w for lo, hi in langid.groups(words) for w in words[lo:hi]] == words and list(langid.groups([])) == []
+
+
 def test_langid_held_out(spark):
     folder = "/root/testdata/sf0.01"
     truth = dict(table(spark, folder, ("doc_id", "lang")))
