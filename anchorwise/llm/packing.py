@@ -1,7 +1,8 @@
 """Packing token sequences by best-fit decreasing.
 
 A document longer than the window is first cut into full windows, each of which fills a sequence; what is left,
-less than a window, is packed. Pieces are dealt to tasks by a hash of doc_id and sorted there by falling length; each
+less than a window, is packed. Pieces are dealt to tasks by a hash of all their columns, so neither the windows of one long document
+nor rows that share an id meet in one task, and sorted there by falling length; each
 goes into the open window with the least room that still takes it. A segment tree over the remaining capacities
 finds it: a leaf holds the open windows with that much room, an inner node whether any leaf below has one. A task
 keeps the windows' numbers and fill levels only; the rows stream through.
@@ -105,7 +106,8 @@ def pieces(docs: DataFrame, vocabulary: str, end: int, capacity: int) -> DataFra
 
 def pack(cut: DataFrame, capacity: int) -> DataFrame:
     """Adds sequence_id and offset to pieces of at most ``capacity`` tokens; columns other than length pass through."""
-    dealt = cut.repartition("doc_id").sortWithinPartitions(F.desc("length"), "doc_id", "start")
+    keys = [F.col(f"`{c}`") for c in cut.columns]
+    dealt = cut.repartition(*keys).sortWithinPartitions(F.desc("length"), *keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, base = Windows(capacity), TaskContext.get().partitionId() << 33

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 from anchorwise.llm import packing, queries, text, wavelet
 from anchorwise.llm.bpe import Replay
@@ -152,3 +153,14 @@ def test_best_fit_takes_the_tightest_window():
 def test_no_rows(spark, empty):
     for q in (queries.op2_bpe, queries.op3_wavelet, queries.op4_packing):
         assert q(spark, empty).collect() == []
+
+
+def test_packing_spreads_rows_of_one_id_and_one_long_document(spark):
+    rows = [(None, f"text {k} " * (k % 5)) for k in range(200)] + [(7, "many words in a long text " * 6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = packing.pieces(docs, P.path(queries.BPE_50K), 1, 64)
+    got = packing.pack(cut, 64).select("doc_id", "start", "length", "sequence_id", "offset", (F.col("sequence_id") / 2**33).cast("int").alias("task"))
+    tasks = {r["doc_id"]: r["n"] for r in got.groupBy("doc_id").agg(F.countDistinct("task").alias("n")).collect()}
+    assert tasks[None] > 2 and tasks[7] > 2
+    filled = got.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(r["n"] == r["end"] <= 64 for r in filled)
