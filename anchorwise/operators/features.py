@@ -10,18 +10,24 @@ Plan shape (see ``explain``):
   carry rows, so the anchors are not joined again afterwards;
 * team features: innings pre-aggregated to (team, day) before any window; of a
   day's raw rows only the last 20 are listed, so no task collects a team-day;
-* lookups (deliveries per player-day, the venue dimension, the team table) are
-  equi-joins; AQE broadcasts them when their runtime size is small. Venue
-  means are scalar subqueries.
+* deliveries are summarised per player-day and joined to the facts before the
+  pass, so the summary of the last match arrives with its record;
+* lookups (a team's states by day, the venue dimension) are broadcast behind a
+  measured size, else salted (``lookup``): the anchors are not shuffled again
+  after the pass. Venue means are scalar subqueries.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import asof
+from .lookup import latest_before, left_lookup
 from ..functions.cleaning import normalize_result
+from ..session import shared_dir
 
 # Fixed values that must equal the reference's for the same results:
 # defaults used when a feature has no data, and the feature order.
@@ -71,14 +77,24 @@ HIGH_SCORE, LOW_SCORE = 60, 15
 POWERPLAY_LAST_OVER, DEATH_FIRST_OVER = 6, 16
 BOWLER_ROWS, BOWLER_CAP, RESULT_ROWS = 20, 8, 5
 HIGH_SCORING_VENUE = 200
+# Upper estimates of the size in memory of a team's state and a venue's row, for the checks of what is broadcast.
+STATE_BYTES, VENUE_BYTES = 128, 128
+
+PARTS = ("season", "venue")
 
 _BEFORE_ORDER = ["_t", "_kind", "_tb"]
 
 
-def _facts(innings: DataFrame) -> DataFrame:
+def _facts(innings: DataFrame, deliveries: DataFrame | None = None) -> DataFrame:
+    """The dated innings; with ``deliveries``, each record carries its day's ball-phase summary (``balls_of_day``)."""
     out = F.col("out")
     was_out = F.when(out.isNotNull() & (out.cast("string") != ""), 1).otherwise(0)
-    return innings.where(F.col("match_date").isNotNull()).select(
+    dated = innings.where(F.col("match_date").isNotNull())
+    summary = []
+    if deliveries is not None:
+        dated = dated.join(delivery_summary(deliveries), ["player_id", "match_date"], "left")
+        summary = [F.col("_day_balls").alias("balls_of_day")]
+    return dated.select(
         "player_id",
         F.year("match_date").alias("_yr"),
         F.col("match_date").alias("_t"),
@@ -93,6 +109,7 @@ def _facts(innings: DataFrame) -> DataFrame:
             F.col("fours").cast("double").alias("fours"),
             F.col("sixes").cast("double").alias("sixes"),
             F.col("balls_faced").cast("double").alias("balls"),
+            *summary,
         ).alias("_rec"),
     )
 
@@ -106,11 +123,15 @@ def _bucket(d: Column, bucket: str) -> Column:
     raise ValueError(f"bucket must be 'season' or 'month', not {bucket!r}")
 
 
-def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bucket: str = "month") -> DataFrame:
+def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bucket: str = "month",
+                   parts: Collection[str] = PARTS, deliveries: DataFrame | None = None) -> DataFrame:
     """Per anchor: last-k records, history count, season aggregates, venue counts.
 
+    ``parts`` names what is wanted besides the last k and the count: the ``_cur_*`` and ``_prev_*`` columns ("season")
+    and the ``_venue_*`` columns ("venue"). ``deliveries`` puts each day's ball-phase summary in its records (A2).
+
     Adds ``_hist`` (ascending array of the last k records), ``_n`` (facts
-    before the cutoff), ``_cur_*`` (this season before the cutoff), ``_prev_*``
+    before the cutoff) and, by ``parts``, ``_cur_*`` (this season before the cutoff), ``_prev_*``
     (whole previous season), ``_venue_prior`` and ``_venue_career``.
 
     Facts, anchors and carry rows are stacked and shuffled ONCE on
@@ -123,7 +144,10 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
     keyed like the anchors' window partitions: the anchors pick them up from
     the window frame, so the large anchor table is never joined again.
     """
-    facts = _facts(innings).withColumn("_b", _bucket(F.col("_t"), bucket))
+    if unknown := set(parts) - set(PARTS):
+        raise ValueError(f"parts must be among {PARTS}, not {sorted(unknown)}")
+    seasons, venues = "season" in parts, "venue" in parts
+    facts = _facts(innings, deliveries).withColumn("_b", _bucket(F.col("_t"), bucket))
     anc = anchors.select(
         "*",
         F.year("cutoff_date").alias("_yr"),
@@ -131,61 +155,120 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
         F.col("cutoff_date").alias("_t"),
         F.col("venue_id").alias("_g"),
     )
+    rows = (facts.withColumn("_kind", F.lit(asof.FACT))
+            .unionByName(anc.withColumn("_kind", F.lit(asof.ANCHOR)), allowMissingColumns=True)
+            .unionByName(_player_carry(innings, facts, anc, k, bucket, seasons).withColumn("_kind", F.lit(asof.CARRY)),
+                         allowMissingColumns=True))
+    if venues:
+        rows = rows.unionByName(_venue_carry(innings, anc, bucket).withColumn("_kind", F.lit(asof.CARRY)), allowMissingColumns=True)
+
+    # ---- the one pass: facts + anchors + carry rows, shuffled once on (player, bucket)
+    part = ["player_id", "_b"]
+    u = rows.withColumn("_ord", asof.fact_ordinal(part, _BEFORE_ORDER))
+    # at an anchor, ordinals <= its own are exactly the facts before it (and the carry rows, whose
+    # ordinal is 0): the aggregates and carry picks share the ordinal ordering and its sort
+    wb = Window.partitionBy(*part).orderBy("_ord").rangeBetween(Window.unboundedPreceding, 0)
+    wg = asof.strictly_before(["player_id", "_b", "_g"], _BEFORE_ORDER)
     fp = F.col("_fp")
+    in_bucket = [
+        F.count("_rec").over(wb).alias("_bk_rows"),
+        F.count(fp).over(wb).alias("_bk_pts"),
+        F.max(fp).over(wb).alias("_bk_max"),
+        F.min(fp).over(wb).alias("_bk_min"),
+        F.count(F.when(fp > HIGH_SCORE, 1)).over(wb).alias("_bk_over"),
+        F.count(F.when(fp < LOW_SCORE, 1)).over(wb).alias("_bk_under"),
+    ] if seasons else []
+    at_venue = [F.count("_rec").over(wg).alias("_venue_in_bucket"),
+                F.first("_vcy", ignorenulls=True).over(wg).alias("_vcy")] if venues else []
+    u = u.select(
+        *[c for c in u.columns if c not in ("_cy", "_vcy")],
+        asof.last_k_by_ordinal("_rec", part, k).alias("_in_hist"),
+        F.first("_cy", ignorenulls=True).over(wb).alias("_cy"),
+        *in_bucket, *at_venue,
+    )
+    a = u.where(F.col("_kind") == asof.ANCHOR).drop("_kind", "_rec", "_fp", "_tb")
+    a = a.select("*", "_cy.*", *(["_vcy.*"] if venues else [])).drop("_cy", "_vcy")
+
+    empty = F.array().cast(a.schema["_in_hist"].dataType)
+    hist = asof.last_k(F.concat(F.coalesce("_carry_tail", empty), F.col("_in_hist")), k)
+    out = [hist.alias("_hist"), (F.coalesce(F.col("_carry_n"), F.lit(0)) + F.col("_ord")).alias("_n")]
+    if seasons:
+        cs = F.when(F.col("_carry_season.yr") == F.col("_yr"), F.col("_carry_season"))  # same season only
+        out += [
+            (F.coalesce(cs["rows"], F.lit(0)) + F.col("_bk_rows")).alias("_cur_rows"),
+            (F.coalesce(cs["pts"], F.lit(0)) + F.col("_bk_pts")).alias("_cur_pts"),
+            F.greatest(cs["mx"], F.col("_bk_max")).alias("_cur_max"),
+            F.least(cs["mn"], F.col("_bk_min")).alias("_cur_min"),
+            (F.coalesce(cs["over"], F.lit(0)) + F.col("_bk_over")).alias("_cur_over"),
+            (F.coalesce(cs["under"], F.lit(0)) + F.col("_bk_under")).alias("_cur_under"),
+        ]
+    if venues:
+        out.append((F.coalesce(F.col("_venue_prior_buckets"), F.lit(0)) + F.col("_venue_in_bucket")).alias("_venue_prior"))
+    return a.select(
+        *[c for c in a.columns if not c.startswith(("_carry", "_bk_")) and c not in ("_in_hist", "_venue_prior_buckets",
+                                                                                    "_venue_in_bucket")],
+        *out,
+    )
+
 
-    # ---- per-(player, bucket) tables from the facts: partial aggregates and a per-group top-k
-    stats = facts.groupBy("player_id", "_yr", "_b").agg(
-        F.count(F.lit(1)).alias("rows"),
+def _player_carry(innings: DataFrame, facts: DataFrame, anc: DataFrame, k: int, bucket: str, seasons: bool) -> DataFrame:
+    """Carry rows (player, bucket, ``_cy``): all that the buckets before an anchor's say, from per-(player, bucket)
+    tables made of partial aggregates and a per-group top-k of the facts."""
+    fp = F.col("_fp")
+    points = _facts(innings).withColumn("_b", _bucket(F.col("_t"), bucket))  # without the ball-phase summaries
+    by = ["player_id", "_b", *(["_yr"] if seasons else [])]  # buckets nest in years
+    stats = points.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *([
         F.count(fp).alias("pts"),
         F.max(fp).alias("mx"),
         F.min(fp).alias("mn"),
         F.count(F.when(fp > HIGH_SCORE, 1)).alias("over"),
         F.count(F.when(fp < LOW_SCORE, 1)).alias("under"),
-    )
+    ] if seasons else []))
     wlast = Window.partitionBy("player_id", "_b").orderBy(F.col("_t").desc(), F.col("_tb").desc())
     tails = facts.withColumn("_rn", F.row_number().over(wlast)).where(F.col("_rn") <= k).groupBy("player_id", "_b").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_t", "_tb", "_rec"))), lambda x: x["_rec"]).alias("tail"))
     buckets = stats.join(tails, ["player_id", "_b"])
     ws = Window.partitionBy("player_id").orderBy("_b")
     wsy = Window.partitionBy("player_id", "_yr").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    to_date = [F.struct(  # season to date, through this bucket
+        F.col("_yr").alias("yr"),
+        F.sum("rows").over(wsy).alias("rows"),
+        F.sum("pts").over(wsy).alias("pts"),
+        F.max("mx").over(wsy).alias("mx"),
+        F.min("mn").over(wsy).alias("mn"),
+        F.sum("over").over(wsy).alias("over"),
+        F.sum("under").over(wsy).alias("under"),
+    ).alias("_carry_season")] if seasons else []
     cum = buckets.select(
         "player_id",
         "_b",
-        asof.last_k(F.flatten(F.collect_list("tail").over(ws.rowsBetween(-(k - 1), 0))), k).alias("cum_tail"),
-        F.sum("rows").over(ws.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_n"),
-        F.struct(  # season to date, through this bucket
-            F.col("_yr").alias("yr"),
-            F.sum("rows").over(wsy).alias("rows"),
-            F.sum("pts").over(wsy).alias("pts"),
-            F.max("mx").over(wsy).alias("mx"),
-            F.min("mn").over(wsy).alias("mn"),
-            F.sum("over").over(wsy).alias("over"),
-            F.sum("under").over(wsy).alias("under"),
-        ).alias("cum_season"),
+        asof.last_k(F.flatten(F.collect_list("tail").over(ws.rowsBetween(-(k - 1), 0))), k).alias("_carry_tail"),
+        F.sum("rows").over(ws.rowsBetween(Window.unboundedPreceding, 0)).alias("_carry_n"),
+        *to_date,
     )
-    keys = anc.select("player_id", "_b", "_yr").distinct()
-    carry = asof.carry_pick(
-        cum, keys.drop("_yr"), ["player_id"], "_b",
-        {"_carry_tail": F.last("cum_tail", ignorenulls=True), "_carry_n": F.last("cum_n", ignorenulls=True),
-         "_carry_season": F.last("cum_season", ignorenulls=True)},
-    )
-    season = stats.groupBy("player_id", "_yr").agg(
-        F.sum("rows").alias("_prev_rows"), F.sum("pts").alias("_prev_pts"), F.max("mx").alias("_prev_max"),
-        F.min("mn").alias("_prev_min"), F.sum("over").alias("_prev_over"), F.sum("under").alias("_prev_under"))
-    prev = season.withColumn("_yr", F.col("_yr") + 1)
-    carry = carry.join(keys, ["player_id", "_b"]).join(prev, ["player_id", "_yr"], "left").select(
-        "player_id", "_b", F.struct(*[c for c in carry.columns if c.startswith("_carry")],
-                                    *[c for c in prev.columns if c.startswith("_prev")]).alias("_cy"))
-
-    # venue counts per (player, ground, bucket): earlier buckets carried, all rows for the career
-    # count (which, like the reference's, also counts rows whose date did not parse: bucket null)
+    keys = anc.select(*by).distinct()
+    names = [c for c in cum.columns if c.startswith("_carry")]
+    carry = asof.carry_pick(cum.withColumnsRenamed({c: f"_in{c}" for c in names}), keys.drop("_yr"), ["player_id"], "_b",
+                            {c: F.last(f"_in{c}", ignorenulls=True) for c in names})
+    if seasons:
+        season = stats.groupBy("player_id", "_yr").agg(
+            F.sum("rows").alias("_prev_rows"), F.sum("pts").alias("_prev_pts"), F.max("mx").alias("_prev_max"),
+            F.min("mn").alias("_prev_min"), F.sum("over").alias("_prev_over"), F.sum("under").alias("_prev_under"))
+        prev = season.withColumn("_yr", F.col("_yr") + 1)
+        carry = carry.join(keys, ["player_id", "_b"]).join(prev, ["player_id", "_yr"], "left")
+        names += [c for c in prev.columns if c.startswith("_prev")]
+    return carry.select("player_id", "_b", F.struct(*names).alias("_cy"))
+
+
+def _venue_carry(innings: DataFrame, anc: DataFrame, bucket: str) -> DataFrame:
+    """Carry rows (player, ground, bucket, ``_vcy``): counts of earlier buckets, and all rows for the career count
+    (which, like the reference's, also counts rows whose date did not parse: bucket null)."""
     vb = innings.where(F.col("ground_id").isNotNull()).groupBy(
         "player_id", F.col("ground_id").alias("_g"), _bucket(F.col("match_date"), bucket).alias("_b")).agg(
         F.count(F.lit(1)).alias("n"))
     vkeys = anc.where(F.col("_g").isNotNull()).select("player_id", "_g", "_b").distinct()
-    vu = asof.stack(vb, vkeys)
     wv = Window.partitionBy("player_id", "_g")
-    venue = vu.select(
+    return asof.stack(vb, vkeys).select(
         "player_id", "_g", "_b", "_kind",
         F.struct(
             F.sum(F.when(F.col("_b").isNotNull(), F.col("n"))).over(
@@ -194,50 +277,6 @@ def player_history(innings: DataFrame, anchors: DataFrame, k: int = RECENT_K, bu
         ).alias("_vcy"),
     ).where(F.col("_kind") == asof.ANCHOR).drop("_kind")
 
-    # ---- the one pass: facts + anchors + carry rows, shuffled once on (player, bucket)
-    u = (facts.withColumn("_kind", F.lit(asof.FACT))
-         .unionByName(anc.withColumn("_kind", F.lit(asof.ANCHOR)), allowMissingColumns=True)
-         .unionByName(carry.withColumn("_kind", F.lit(asof.CARRY)), allowMissingColumns=True)
-         .unionByName(venue.withColumn("_kind", F.lit(asof.CARRY)), allowMissingColumns=True))
-    part = ["player_id", "_b"]
-    u = u.withColumn("_ord", asof.fact_ordinal(part, _BEFORE_ORDER))
-    # at an anchor, ordinals <= its own are exactly the facts before it (and the carry rows, whose
-    # ordinal is 0): the aggregates and carry picks share the ordinal ordering and its sort
-    wb = Window.partitionBy(*part).orderBy("_ord").rangeBetween(Window.unboundedPreceding, 0)
-    wg = asof.strictly_before(["player_id", "_b", "_g"], _BEFORE_ORDER)
-    u = u.select(
-        *[c for c in u.columns if c not in ("_cy", "_vcy")],
-        asof.last_k_by_ordinal("_rec", part, k).alias("_in_hist"),
-        F.count("_rec").over(wb).alias("_bk_rows"),
-        F.count(fp).over(wb).alias("_bk_pts"),
-        F.max(fp).over(wb).alias("_bk_max"),
-        F.min(fp).over(wb).alias("_bk_min"),
-        F.count(F.when(fp > HIGH_SCORE, 1)).over(wb).alias("_bk_over"),
-        F.count(F.when(fp < LOW_SCORE, 1)).over(wb).alias("_bk_under"),
-        F.first("_cy", ignorenulls=True).over(wb).alias("_cy"),
-        F.count("_rec").over(wg).alias("_venue_in_bucket"),
-        F.first("_vcy", ignorenulls=True).over(wg).alias("_vcy"),
-    )
-    a = u.where(F.col("_kind") == asof.ANCHOR).drop("_kind", "_rec", "_fp", "_tb")
-    a = a.select("*", "_cy.*", "_vcy.*").drop("_cy", "_vcy")
-
-    empty = F.array().cast(a.schema["_in_hist"].dataType)
-    hist = asof.last_k(F.concat(F.coalesce("_carry_tail", empty), F.col("_in_hist")), k)
-    cs = F.when(F.col("_carry_season.yr") == F.col("_yr"), F.col("_carry_season"))  # same season only
-    return a.select(
-        *[c for c in a.columns if not c.startswith(("_carry", "_bk_")) and c not in ("_in_hist", "_venue_prior_buckets",
-                                                                                    "_venue_in_bucket")],
-        hist.alias("_hist"),
-        (F.coalesce(F.col("_carry_n"), F.lit(0)) + F.col("_ord")).alias("_n"),
-        (F.coalesce(cs["rows"], F.lit(0)) + F.col("_bk_rows")).alias("_cur_rows"),
-        (F.coalesce(cs["pts"], F.lit(0)) + F.col("_bk_pts")).alias("_cur_pts"),
-        F.greatest(cs["mx"], F.col("_bk_max")).alias("_cur_max"),
-        F.least(cs["mn"], F.col("_bk_min")).alias("_cur_min"),
-        (F.coalesce(cs["over"], F.lit(0)) + F.col("_bk_over")).alias("_cur_over"),
-        (F.coalesce(cs["under"], F.lit(0)) + F.col("_bk_under")).alias("_cur_under"),
-        (F.coalesce(F.col("_venue_prior_buckets"), F.lit(0)) + F.col("_venue_in_bucket")).alias("_venue_prior"),
-    )
-
 
 def recent_form_columns(k: int = RECENT_K) -> list[Column]:
     """Features 1-10 from ``_hist``/``_n`` (W1, W2, W4). Q4's season switch never changes them."""
@@ -282,27 +321,28 @@ def delivery_summary(deliveries: DataFrame) -> DataFrame:
     """Ball-phase aggregates per (batter, day) (A2); partial aggregation before the shuffle."""
     over, runs = F.col("over"), F.col("batsman_runs")
     boundary = runs.isin(4, 6)
-    return deliveries.groupBy(F.col("batter_id").alias("player_id"), F.col("match_date").alias("_last_d")).agg(
-        F.count(F.lit(1)).alias("_d_balls"),
-        F.count(F.when((over <= POWERPLAY_LAST_OVER) & boundary, 1)).alias("_d_pp"),
-        F.coalesce(F.sum(F.when(over >= DEATH_FIRST_OVER, runs)), F.lit(0)).alias("_d_death"),
-        F.count(F.when((over >= POWERPLAY_LAST_OVER + 1) & (over <= DEATH_FIRST_OVER - 1) & (runs == 0), 1)).alias("_d_dots"),
-        F.count(F.when(boundary, 1)).alias("_d_bound"),
-    )
+    return deliveries.groupBy(F.col("batter_id").alias("player_id"), "match_date").agg(F.struct(
+        F.count(F.lit(1)).alias("balls"),
+        F.count(F.when((over <= POWERPLAY_LAST_OVER) & boundary, 1)).alias("powerplay"),
+        F.coalesce(F.sum(F.when(over >= DEATH_FIRST_OVER, runs)), F.lit(0)).alias("death"),
+        F.count(F.when((over >= POWERPLAY_LAST_OVER + 1) & (over <= DEATH_FIRST_OVER - 1) & (runs == 0), 1)).alias("dots"),
+        F.count(F.when(boundary, 1)).alias("boundaries"),
+    ).alias("_day_balls"))
+
 
+def with_ball_phase(a: DataFrame) -> DataFrame:
+    """Features 16-20 from the last match before the cutoff (J2, Q7-Q10), a projection of ``_hist``.
 
-def with_ball_phase(a: DataFrame, deliveries: DataFrame | None) -> DataFrame:
-    """Features 16-20 from the last match before the cutoff."""
-    last = asof.kth_latest(F.col("_hist"), 1)
-    a = a.withColumn("_last", last).withColumn("_last_d", F.col("_last.d"))
+    The records carry ball-phase summaries if ``player_history`` was given the deliveries; else the defaults apply."""
+    a = a.withColumn("_last", asof.kth_latest(F.col("_hist"), 1))
     names = ["powerplay_boundaries_last_match", "death_over_runs_last_match", "middle_over_dots_last_match",
              "total_balls_faced_last_match", "total_boundaries_last_match"]
-    if deliveries is None:
+    if "balls_of_day" not in a.schema["_last"].dataType.names:
         cols = [F.lit(DEFAULTS[n]).alias(n) for n in names]
         return a.select("*", *cols, F.lit("used_default_no_delivery_data").alias("src_ball"), F.lit(True).alias("_ball_ok"))
-    a = a.join(delivery_summary(deliveries), ["player_id", "_last_d"], "left")
     has_hist = F.col("_n") > 0
-    real = F.col("_d_balls").isNotNull()
+    day = F.col("_last.balls_of_day")
+    real = day.isNotNull()
     fours, sixes, runs, balls = (F.col(f"_last.{c}") for c in ("fours", "sixes", "runs", "balls"))
     fs = fours + sixes
     proxy = [
@@ -312,7 +352,7 @@ def with_ball_phase(a: DataFrame, deliveries: DataFrame | None) -> DataFrame:
         balls.cast("int"),
         fs.cast("int"),
     ]
-    actual = [F.col("_d_pp"), F.col("_d_death"), F.col("_d_dots"), F.col("_d_balls"), F.col("_d_bound")]
+    actual = [day[c] for c in ("powerplay", "death", "dots", "balls", "boundaries")]
     proxy_ok = fours.isNotNull() & sixes.isNotNull() & runs.isNotNull() & balls.isNotNull()
     cols = [
         F.when(~has_hist, F.lit(DEFAULTS[n])).when(real, r).otherwise(p).cast("int").alias(n)
@@ -324,10 +364,12 @@ def with_ball_phase(a: DataFrame, deliveries: DataFrame | None) -> DataFrame:
     return a.select("*", *cols, src.alias("src_ball"), ok.alias("_ball_ok"))
 
 
-def team_context(innings: DataFrame, matchstat: DataFrame | None, keys: DataFrame) -> DataFrame:
-    """Features 21-24 per distinct (opposition_id, cutoff_date) key."""
+def team_timeline(innings: DataFrame, matchstat: DataFrame | None) -> DataFrame:
+    """Per team: ``_states``, ascending by day: the team's last bowling day and wins as known at the end of ``d``
+    (A3-A5, W5, Q12-Q15). One row a team and one state a day on which it played, so the calendar bounds a row."""
     bowl = F.col("innings_bowling").isNotNull()
-    rows = innings.where(F.col("match_date").isNotNull() & F.col("team_id").isNotNull())
+    real_team = F.col("match_date").isNotNull() & F.col("team_id").isNotNull() & (F.col("team_id") != 0)
+    rows = innings.where(real_team)
     day = rows.groupBy("team_id", "match_date").agg(
         F.sum(F.when(bowl, F.col("runs_conceded"))).alias("rc"),
         F.sum(F.when(bowl, F.col("wickets_taken"))).alias("wk"),
@@ -344,36 +386,50 @@ def team_context(innings: DataFrame, matchstat: DataFrame | None, keys: DataFram
     wt = Window.partitionBy("team_id").orderBy("match_date").rowsBetween(-(BOWLER_ROWS - 1), 0)
     recent = asof.last_k(F.flatten(F.collect_list("day_rows").over(wt)), BOWLER_ROWS)
     bowlers = F.size(F.array_distinct(F.transform(F.filter(recent, lambda r: r["b"]), lambda r: r["player_id"])))
-    day = day.select("team_id", F.col("match_date").alias("_t"),
-                     F.struct("rc", "wk", "nb", bowlers.alias("bowlers")).alias("last_day"))
-    k = keys.select(F.col("opposition_id").alias("team_id"), F.col("cutoff_date").alias("_t")).where(
-        F.col("team_id").isNotNull() & (F.col("team_id") != 0)).distinct()
-    picked = asof.carry_pick(day, k, ["team_id"], "_t", {"_opp_last": F.last("last_day", ignorenulls=True)})
+    days = day.select("team_id", F.col("match_date").alias("_t"),
+                      F.struct("rc", "wk", "nb", bowlers.alias("bowlers")).alias("last_day"),
+                      F.lit(None).cast("long").alias("wins5"))
     if matchstat is not None:
-        ms = matchstat.where(F.col("match_date").isNotNull()).select(
+        wr = Window.partitionBy("team_id").orderBy("_t", "match_id").rowsBetween(-(RESULT_ROWS - 1), 0)
+        ms = matchstat.where(real_team).select(
             "team_id", "match_id", F.col("match_date").alias("_t"),
             (normalize_result(F.col("result")) == "won").cast("int").alias("won"))
-        wr = Window.partitionBy("team_id").orderBy("_t", "match_id").rowsBetween(-(RESULT_ROWS - 1), 0)
         ms = ms.select("team_id", "_t", "match_id", F.sum("won").over(wr).alias("wins5"))
-        ms_keys = k.withColumn("match_id", F.lit(None).cast("long"))
-        u = asof.stack(ms, ms_keys)
-        w = Window.partitionBy("team_id").orderBy("_t", "_kind", "match_id").rowsBetween(Window.unboundedPreceding, -1)
-        wins = u.select("team_id", "_t", "_kind", F.last("wins5", ignorenulls=True).over(w).alias("_opp_wins")).where(
-            F.col("_kind") == asof.ANCHOR).drop("_kind")
-        picked = picked.join(wins, ["team_id", "_t"], "left")
-    else:
-        picked = picked.withColumn("_opp_wins", F.lit(None).cast("long"))
-    return picked.select(
-        F.col("team_id").alias("opposition_id"),
-        F.col("_t").alias("cutoff_date"),
-        "_opp_last",
-        "_opp_wins",
-    )
+        ms = ms.groupBy("team_id", "_t").agg(F.max_by("wins5", F.when(F.col("wins5").isNotNull(), F.col("match_id"))).alias("wins5"))
+        days = days.unionByName(ms, allowMissingColumns=True).groupBy("team_id", "_t").agg(
+            F.first("last_day", ignorenulls=True).alias("last_day"), F.first("wins5", ignorenulls=True).alias("wins5"))
+    known = Window.partitionBy("team_id").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+    states = days.select("team_id", F.struct(
+        F.col("_t").alias("d"), F.last("last_day", ignorenulls=True).over(known).alias("last_day"),
+        F.last("wins5", ignorenulls=True).over(known).alias("wins5")).alias("s"))
+    return states.groupBy("team_id").agg(F.array_sort(F.collect_list("s"), _by_day).alias("_states"))
+
+
+def _by_day(a: Column, b: Column) -> Column:
+    return F.when(a["d"] < b["d"], -1).when(a["d"] > b["d"], 1).otherwise(0)
+
+
+def _with_team_state(a: DataFrame, innings: DataFrame, matchstat: DataFrame | None,
+                     broadcast_bytes: int | None = None) -> DataFrame:
+    """Adds ``_opp_last`` and ``_opp_wins``, the opposition's state before the cutoff (J3, J4). The timeline is computed
+    once (its size is measured, then it is joined) and kept in the shared folder."""
+    shared_dir(a.sparkSession)
+    t = team_timeline(innings, matchstat).withColumnRenamed("team_id", "opposition_id").checkpoint()
+    a = left_lookup(a, t, "opposition_id", F.size("_states") * STATE_BYTES, ["player_id", "cutoff_date"], broadcast_bytes)
+    a = a.withColumn("_opp", latest_before(F.col("_states"), "d", F.col("cutoff_date"))).drop("_states")
+    return a.withColumn("_opp_last", F.col("_opp.last_day")).withColumn("_opp_wins", F.col("_opp.wins5")).drop("_opp")
+
+
+def team_context(innings: DataFrame, matchstat: DataFrame | None, keys: DataFrame) -> DataFrame:
+    """Per distinct (opposition_id, cutoff_date) with a known state: ``_opp_last`` and ``_opp_wins``."""
+    k = keys.select("opposition_id", "cutoff_date").where("opposition_id <> 0").distinct().withColumn("player_id", F.lit(0))
+    return _with_team_state(k, innings, matchstat).select("opposition_id", "cutoff_date", "_opp_last", "_opp_wins")
 
 
-def with_opposition(a: DataFrame, innings: DataFrame, matchstat: DataFrame | None) -> DataFrame:
-    t = team_context(innings, matchstat, a.select("opposition_id", "cutoff_date"))
-    a = a.join(t, ["opposition_id", "cutoff_date"], "left")
+def with_opposition(a: DataFrame, innings: DataFrame, matchstat: DataFrame | None,
+                    broadcast_bytes: int | None = None) -> DataFrame:
+    """Features 21-24; ``broadcast_bytes`` limits the team timeline that is broadcast (see ``lookup``)."""
+    a = _with_team_state(a, innings, matchstat, broadcast_bytes)
     known = F.col("_opp_last").isNotNull()
     has_bowling = F.col("_opp_last.nb") > 0
     wins = (F.coalesce(F.col("_opp_wins"), F.lit(0)) if matchstat is not None
@@ -408,7 +464,7 @@ def with_venue(a: DataFrame, venue_stats: DataFrame | None) -> DataFrame:
     # dimension-wide means (J6): scalar subqueries (one partial-aggregated value each), no join
     means = {c: venue_stats.select(F.avg(c)).scalar() for c in src_cols}
     v = vs.select(F.col("venue_id"), F.lit(True).alias("_vhit"), *[F.col(c).alias(f"_v_{c}") for c in src_cols])
-    a = a.join(v, "venue_id", "left").select("*", *[means[c].alias(f"_avg_{c}") for c in src_cols])
+    a = left_lookup(a, v, "venue_id", F.lit(VENUE_BYTES), ["player_id", "cutoff_date"]).select("*", *[means[c].alias(f"_avg_{c}") for c in src_cols])
     hit = F.col("_vhit").isNotNull()
     cols = [F.when(hit, F.col(f"_v_{c}")).otherwise(F.col(f"_avg_{c}")).cast("int").alias(n) for n, c in zip(names, src_cols)]
     ok = F.lit(True)
@@ -434,9 +490,9 @@ def build_features(
     ``is_valid`` is False where the reference would fail on a null stat (Q11).
     """
     keep = keep if keep is not None else list(anchors.columns)
-    a = player_history(innings, anchors)
+    a = player_history(innings, anchors, deliveries=deliveries)
     a = a.select("*", *recent_form_columns(), *archetype_columns())
-    a = with_ball_phase(a, deliveries)
+    a = with_ball_phase(a)
     a = with_opposition(a, innings, matchstat)
     a = with_venue(a, venue_stats)
     extra = [F.col("_venue_prior").cast("int").alias("prior_matches_at_venue")] if with_prior_venue else []

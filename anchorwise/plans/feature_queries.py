@@ -19,19 +19,19 @@ def _anchors(spark: SparkSession, sf: str):
 
 def recent_form(spark: SparkSession, sf: str) -> DataFrame:
     ds, a = _anchors(spark, sf)
-    h = FE.player_history(ds.innings, a)
+    h = FE.player_history(ds.innings, a, parts=())
     return h.select(*KEY, *FE.recent_form_columns())
 
 
 def season_archetype(spark: SparkSession, sf: str) -> DataFrame:
     ds, a = _anchors(spark, sf)
-    h = FE.player_history(ds.innings, a)
+    h = FE.player_history(ds.innings, a, parts=("season",))
     return h.select(*KEY, *FE.archetype_columns()).drop("src_archetype")
 
 
 def ball_phase_last_match(spark: SparkSession, sf: str) -> DataFrame:
     ds, a = _anchors(spark, sf)
-    h = FE.with_ball_phase(FE.player_history(ds.innings, a), ds.deliveries)
+    h = FE.with_ball_phase(FE.player_history(ds.innings, a, parts=(), deliveries=ds.deliveries))
     return h.select(*KEY, *FE.FEATURES[15:20], F.col("_ball_ok").alias("ball_valid"))
 
 
@@ -60,7 +60,7 @@ def venue_context(spark: SparkSession, sf: str) -> DataFrame:
 
 def venue_experience(spark: SparkSession, sf: str) -> DataFrame:
     ds, a = _anchors(spark, sf)
-    h = FE.player_history(ds.innings, a)
+    h = FE.player_history(ds.innings, a, parts=("venue",))
     return h.select(
         *KEY,
         F.coalesce(F.col("_venue_career"), F.lit(0)).cast("int").alias("player_career_matches_at_venue"),
