@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from . import asof
 from .lookup import latest_before, left_lookup
 from ..functions.cleaning import normalize_result
-from ..session import shared_dir
 
 # Fixed values that must equal the reference's for the same results:
 # defaults used when a feature has no data, and the feature order.
@@ -411,13 +410,17 @@ def _by_day(a: Column, b: Column) -> Column:
 
 def _with_team_state(a: DataFrame, innings: DataFrame, matchstat: DataFrame | None,
                      broadcast_bytes: int | None = None) -> DataFrame:
-    """Adds ``_opp_last`` and ``_opp_wins``, the opposition's state before the cutoff (J3, J4). The timeline is computed
-    once (its size is measured, then it is joined) and kept in the shared folder."""
-    shared_dir(a.sparkSession)
-    t = team_timeline(innings, matchstat).withColumnRenamed("team_id", "opposition_id").checkpoint()
-    a = left_lookup(a, t, "opposition_id", F.size("_states") * STATE_BYTES, ["player_id", "cutoff_date"], broadcast_bytes)
-    a = a.withColumn("_opp", latest_before(F.col("_states"), "d", F.col("cutoff_date"))).drop("_states")
-    return a.withColumn("_opp_last", F.col("_opp.last_day")).withColumn("_opp_wins", F.col("_opp.wins5")).drop("_opp")
+    """Adds ``_opp_last`` and ``_opp_wins``, the opposition's state before the cutoff (J3, J4). Whether the timeline is
+    broadcast depends on a count of its states."""
+    played = innings.select("team_id", "match_date")
+    if matchstat is not None:
+        played = played.unionByName(matchstat.select("team_id", "match_date"))
+    t = team_timeline(innings, matchstat).withColumnRenamed("team_id", "opposition_id")
+    a = left_lookup(a, t, "opposition_id", played.distinct().count() * STATE_BYTES, ["player_id", "cutoff_date"], broadcast_bytes)
+    before = latest_before(F.col("_states"), "d", F.col("cutoff_date")).alias("_opp")
+    a = a.select(*[c for c in a.columns if c != "_states"], before)
+    return a.select(*[c for c in a.columns if c != "_opp"], F.col("_opp.last_day").alias("_opp_last"),
+                    F.col("_opp.wins5").alias("_opp_wins"))
 
 
 def team_context(innings: DataFrame, matchstat: DataFrame | None, keys: DataFrame) -> DataFrame:
@@ -464,7 +467,7 @@ def with_venue(a: DataFrame, venue_stats: DataFrame | None) -> DataFrame:
     # dimension-wide means (J6): scalar subqueries (one partial-aggregated value each), no join
     means = {c: venue_stats.select(F.avg(c)).scalar() for c in src_cols}
     v = vs.select(F.col("venue_id"), F.lit(True).alias("_vhit"), *[F.col(c).alias(f"_v_{c}") for c in src_cols])
-    a = left_lookup(a, v, "venue_id", F.lit(VENUE_BYTES), ["player_id", "cutoff_date"]).select("*", *[means[c].alias(f"_avg_{c}") for c in src_cols])
+    a = left_lookup(a, v, "venue_id", venue_stats.count() * VENUE_BYTES, ["player_id", "cutoff_date"]).select("*", *[means[c].alias(f"_avg_{c}") for c in src_cols])
     hit = F.col("_vhit").isNotNull()
     cols = [F.when(hit, F.col(f"_v_{c}")).otherwise(F.col(f"_avg_{c}")).cast("int").alias(n) for n, c in zip(names, src_cols)]
     ok = F.lit(True)

@@ -1,6 +1,6 @@
 """Lookups of a large table in a dimension (M18, J3, J5): no shuffle of the large side while the dimension is small.
 
-The dimension's size is measured, never guessed. Up to ``BROADCAST_BYTES`` it is broadcast. Beyond, both sides are dealt
+The caller counts the dimension's rows, so its size is known and not guessed. Up to ``BROADCAST_BYTES`` it is broadcast. Beyond, both sides are dealt
 by (key, salt), so a key that holds a third of all rows is spread over ``SALTS`` tasks; rows whose key is null match
 nothing and are dealt by their own hash.
 """
@@ -16,19 +16,14 @@ BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 
-def measured_bytes(table: DataFrame, row_bytes: Column) -> int:
-    """Sum of a per-row size estimate; 0 for an empty table."""
-    return table.agg(F.sum(row_bytes.cast("long")).alias("bytes")).first()["bytes"] or 0
-
-
-def left_lookup(rows: DataFrame, table: DataFrame, key: str, row_bytes: Column, spread_by: Sequence[str],
+def left_lookup(rows: DataFrame, table: DataFrame, key: str, size: int, spread_by: Sequence[str],
                 broadcast_bytes: int | None = None) -> DataFrame:
     """``rows`` left-joined with ``table``, which has one row a ``key``. Every row of ``rows`` stays, null keys too.
 
-    ``row_bytes`` estimates the size of a row of ``table``; ``spread_by`` names columns of ``rows`` that tell the rows of
+    ``size`` is the table's size in bytes, from a count of its rows; ``spread_by`` names columns of ``rows`` that tell the rows of
     a hot key apart. ``broadcast_bytes`` defaults to the module's limit."""
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    if measured_bytes(table, row_bytes) <= limit:
+    if size <= limit:
         return rows.join(F.broadcast(table), key, "left")
     own = F.xxhash64(*spread_by)
     salted = rows.withColumn("_salt", F.when(F.col(key).isNull(), own).otherwise(F.pmod(own, F.lit(SALTS))))

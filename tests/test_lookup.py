@@ -43,7 +43,7 @@ def test_null_keys_and_hot_keys_are_spread(spark):
     """All rows on a null or on one key: the salted join deals them over many tasks and keeps each."""
     rows = spark.range(4000).select(F.col("id").alias("r"), F.when(F.col("id") % 2 == 0, F.lit(7).cast("long")).alias("k"))
     table = spark.createDataFrame([(7, "x")], "k long, v string")
-    got = lookup.left_lookup(rows, table, "k", F.lit(1000), ["r"], broadcast_bytes=0)
+    got = lookup.left_lookup(rows, table, "k", 1000, ["r"], broadcast_bytes=0)
     assert got.count() == 4000 and got.where("v = 'x'").count() == 2000
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
