@@ -6,7 +6,7 @@ Only document labels train it: the gradient of the document's loss reaches every
 adds, so the fitted weights also locate the offending sentences.
 
 The fit takes a bounded sample of labelled rows: at most ``max_docs`` of each label in expectation, by a hash of the
-id. Gradients are summed on the driver over that sample; the model is one array of ``2 ** BITS`` weights.
+id, and at most ``max_bytes`` of text, one row an id. Gradients are summed on the driver over that sample; the model is one array of ``2 ** BITS`` weights.
 
 Sentences end with a line feed or a word that ends in ``.!?``; a text without words has no sentence and score 0.
 Null texts count as empty; null labels are left out; a table without both labels gives a model of score 0 for all.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from .shared import sized, stored
 BITS = 18
 PREFIXES = (3, 4, 5)
 MAX_DOCS = 2500  # of each label
+MAX_BYTES = 64 << 20  # of the sample's texts
 ROUNDS, RATE, DECAY = 120, 0.1, 3e-4
 LEAST_DOCS = 10  # that have a feature; a fiftieth of a small sample
 START = -6.0  # bias before the fit: a sentence is rarely toxic
@@ -76,6 +78,19 @@ class Model:
         return self.bias + np.bincount(of, weights=word[codes], minlength=n)
 
 
+def gradient(model: Model, parts: tuple, labels: np.ndarray, weigh: np.ndarray) -> tuple[np.ndarray, float]:
+    """Of minus the weighted noisy-or log-likelihood, by the weights and by the bias; ``parts`` are those of ``sentences``."""
+    codes, flat, lens, of, first, doc = parts
+    p = 1 / (1 + np.exp(-np.clip(model.logits(codes, flat, lens, of, len(first)), -30, 30)))
+    none = np.exp(np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(labels)))  # prod(1 - p)
+    # of the log-likelihood by log prod(1 - p): 1 for a clean document, - prod / (1 - prod) for a toxic one
+    by_clean = weigh * np.where(labels == 1, -none / np.maximum(1 - none, 1e-9), 1.0)
+    g = by_clean[doc] * p  # minus the derivative of log(1 - p) by the logit is p
+    word = np.bincount(codes, weights=g[of], minlength=len(lens))
+    feature_of = np.repeat(np.arange(len(lens)), lens)
+    return np.bincount(flat, weights=word[feature_of], minlength=1 << BITS), float(g.sum())
+
+
 def _fit(data: np.ndarray, off: np.ndarray, labels: np.ndarray) -> Model:
     """Adam on the noisy-or likelihood; both labels weigh the same."""
     model = Model(np.zeros(1 << BITS), START)
@@ -89,15 +104,8 @@ def _fit(data: np.ndarray, off: np.ndarray, labels: np.ndarray) -> Model:
     weigh = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
     m, v, mb, vb = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0
     for t in range(1, ROUNDS + 1):
-        p = 1 / (1 + np.exp(-np.clip(model.logits(codes, flat, lens, of, len(first)), -30, 30)))
-        clean = np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(labels))  # log of prod(1 - p)
-        none = np.exp(clean)
-        # of the log-likelihood by log prod(1 - p): 1 for a clean document, - prod / (1 - prod) for a toxic one
-        by_clean = weigh * np.where(labels == 1, -none / np.maximum(1 - none, 1e-9), 1.0)
-        g = by_clean[doc] * p  # minus the derivative of log(1 - p) by the logit is p
-        word = np.bincount(codes, weights=g[of], minlength=len(lens))
-        grad = np.where(live, np.bincount(flat, weights=word[feature_of], minlength=1 << BITS) + DECAY * model.weights, 0.0)
-        bias = float(g.sum())
+        by_weight, bias = gradient(model, (codes, flat, lens, of, first, doc), labels, weigh)
+        grad = np.where(live, by_weight + DECAY * model.weights, 0.0)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * bias, 0.999 * vb + 0.001 * bias * bias
         model.weights -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -105,16 +113,25 @@ def _fit(data: np.ndarray, off: np.ndarray, labels: np.ndarray) -> Model:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
-    """Learns from documents whose ``toxic`` label is 0 or 1; labels that repeat an id count once, as their greatest."""
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Model:
+    """Learns from documents whose ``toxic`` label is 0 or 1; labels that repeat an id count once, as their greatest, and
+    so do rows of ``docs`` that repeat one. The sample is bounded twice: by ``max_docs`` of each label, in expectation,
+    and by ``max_bytes`` of text: documents are taken from the shortest on while they fit."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0.0)
     for label, n in counts.items():
         share = F.when(F.col("toxic") == label, min(1.0, max_docs / n)).otherwise(share)
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20))
+    rows = tx.keyed(docs).join(sized(stored(chosen, "toxicity-sample")), "doc_id")
+    one = stored(rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text")), "toxicity-texts")
+    sizes = sorted((r["n"] or 0, r["doc_id"]) for r in one.select("doc_id", F.octet_length("text").alias("n")).collect())
+    fit_in = sum(total <= max_bytes for total in accumulate(n for n, _ in sizes))
+    if fit_in < len(sizes):
+        n, (most, last) = F.coalesce(F.octet_length("text"), F.lit(0)), sizes[fit_in]
+        one = one.where((n < most) | ((n == most) & (F.col("doc_id") < last)))
     # the table is a bounded sample: its rows are sorted, so that the fit doesn't depend on their order
-    sample = tx.keyed(docs).join(sized(stored(chosen, "toxicity-sample")), "doc_id").toArrow().sort_by("doc_id").combine_chunks()
+    sample = one.toArrow().sort_by("doc_id").combine_chunks()
     if not sample.num_rows:
         return Model(np.zeros(1 << BITS), -np.inf)
     rows = sample.to_batches()[0]

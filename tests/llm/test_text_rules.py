@@ -266,6 +266,67 @@ def test_toxicity_locates_sentences(spark):
         assert [s["first_word"] // 8 for s in r["offending"]] == ([r["doc_id"] % 6] if r["doc_id"] % 2 else [])
 
 
+def _brute_noisy_or(text, weights, bias):
+    """The definition: sentences by word endings and line feeds, a logit each, 1 - prod(1 - p)."""
+    bags = []
+    for line in text.split("\n"):
+        bag = []
+        for word in WORD.findall(line):
+            bag.append(word)
+            if word[-1] in ".!?":
+                bags, bag = [*bags, bag], []
+        bags += [bag] if bag else []
+    clean = 1.0
+    for bag in bags:
+        logit = bias + sum(weights[f] for word in bag for f in toxicity.features(word))
+        clean *= 1 / (1 + np.exp(min(logit, 700.0)))
+    return 1 - clean
+
+
+def test_toxicity_score_equals_brute_force(spark, folder):
+    weights = np.random.default_rng(3).normal(0, 0.4, 1 << toxicity.BITS).astype(np.float32)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    by_id = lambda x: (x[0] is not None, x[0], x[1])
+    got = sorted(((r["doc_id"], r["score"]) for r in toxicity.score(docs, toxicity.Model(weights, -4.0)).collect()), key=by_id)
+    want = sorted(((i, float(_brute_noisy_or(t or "", weights.astype(float), -4.0))) for i, t in table(spark, folder)), key=by_id)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [(i, x, y) for (i, x), (_, y) in zip(got, want, strict=True) if abs(x - y) > 1e-6] == []
+
+
+def test_toxicity_gradient_is_numerical():
+    texts = ["good day here. vile thing!\nfine words", "calm sea. blue sky", "vile. vile day", "", "blue thing here"]
+    raw = [t.encode() for t in texts]
+    data, off = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    labels, weigh = np.array([1, 0, 1, 0, 0]), np.array([0.25, 0.2, 0.25, 0.1, 0.2])
+    parts = toxicity.sentences(data, off)
+    used = sorted({int(f) for t in texts for w in WORD.findall(t) for f in toxicity.features(w)})
+    weights = np.zeros(1 << toxicity.BITS)
+    weights[used] = np.random.default_rng(1).normal(0, 0.5, len(used))
+
+    def loss(w, b):
+        p = np.array([_brute_noisy_or(t, w, b) for t in texts])
+        return -sum(h * (np.log(x) if y else np.log1p(-x)) for h, x, y in zip(weigh, p, labels, strict=True))
+
+    by_weight, by_bias = toxicity.gradient(toxicity.Model(weights, -0.7), parts, labels, weigh)
+    assert abs((loss(weights, -0.7 + 1e-5) - loss(weights, -0.7 - 1e-5)) / 2e-5 - by_bias) < 1e-6
+    assert set(np.flatnonzero(by_weight)) <= set(used)
+    for f in used:
+        up, down = weights.copy(), weights.copy()
+        up[f] += 1e-5
+        down[f] -= 1e-5
+        assert abs((loss(up, -0.7) - loss(down, -0.7)) / 2e-5 - by_weight[f]) < 1e-6
+
+
+def test_toxicity_sample_is_bounded_in_bytes(spark):
+    """One id on many rows counts once, and texts beyond the bytes are left out of the fit, the longest first."""
+    rows = [(i, f"{'vile' if i % 2 else 'good'} day") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(43)], "doc_id long, toxic int")
+    small = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, max_bytes=1000)
+    long = [(40, "odd " * 5000), (41, "odd " * 5000)]
+    more = toxicity.fit(spark.createDataFrame(rows + rows[:1] * 200 + long, "doc_id long, text string"), labels, max_bytes=1000)
+    assert np.array_equal(small.weights, more.weights) and small.bias == more.bias and small.weights.any()
+
+
 def test_toxicity_odd_rows(spark, edge, empty):
     got = queries.op1_toxicity(spark, edge).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in table(spark, edge))
