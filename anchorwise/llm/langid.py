@@ -37,7 +37,8 @@ FIT_LETTERS = 4096
 FLOOR = 1e-7  # of a character that no piece covers, and of pieces not seen in a language
 CACHE = 300_000
 STRETCH = 4096  # letters of a run whose pieces are listed at once
-CELLS = 1 << 18  # words by letters that are scored at once
+CELLS = 1 << 18  # words by letters that the fit takes at once
+SCORED_CELLS = CELLS // 4  # and that predict does: a word's score is its own, so fewer only save memory
 RESCALE = 8  # letters; fewer than a double's range holds of the least probabilities
 _RUN = regex.compile(r"[\p{L}\p{M}]+")
 
@@ -103,11 +104,11 @@ def parts(word: str) -> list[str]:
     return runs
 
 
-def groups(words: list[str]) -> Iterator[tuple[int, int]]:
-    """Bounds of stretches of words, sorted by length, of at most CELLS letters if the longest, or 16, counts for all."""
+def groups(words: list[str], cells: int = CELLS) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of words, sorted by length, of at most ``cells`` letters if the longest, or 16, counts for all."""
     lo = 0
     for hi in range(1, len(words) + 1):
-        if hi == len(words) or (hi + 1 - lo) * max(16, len(words[hi])) > CELLS:
+        if hi == len(words) or (hi + 1 - lo) * max(16, len(words[hi])) > cells:
             yield lo, hi
             lo = hi
 
@@ -284,7 +285,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             split = [parts(w) for w in distinct]
             known = remembered(key)
             new = sorted({x for s in split for x in s if x not in known}, key=len)  # words of a length share an array
-            for lo, hi in groups(new):
+            for lo, hi in groups(new, SCORED_CELLS):
                 part = new[lo:hi]
                 known.update(zip(part, Lattice(part, pieces).log_probability(p), strict=True))
             word = np.array([known[s[0]] if len(s) == 1 else sum((known[x] for x in s), zero) for s in split]).reshape(-1, len(languages))
