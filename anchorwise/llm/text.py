@@ -132,7 +132,12 @@ def words(data: np.ndarray, off: np.ndarray, outside: np.ndarray = _SPACE) -> tu
 def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[str]]:
     """Dictionary codes of the strings data[starts:ends] (in order, not overlapping) and the distinct strings."""
     found = coded(data, starts, ends)
-    return found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+    return found.indices.to_numpy().astype(np.int64), strings(found.dictionary)
+
+
+def strings(texts: pa.Array) -> list[str]:
+    """The strings of an array without nulls, made in one pass."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
 
 def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
@@ -159,13 +164,10 @@ def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
+    blank, solid = joints(data)
     graph = (data > 32) & (data < 127)
-    solid = graph.copy()  # the character that ends here is not white space: ASCII or U+00C0 to U+07FF
-    two = (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
-    solid[1:] |= two
     first = graph | ((data >= 0xC3) & (data <= 0xDF))  # the character that begins here is not white space
     cut = np.zeros(n + 1, bool)
-    blank = (data == 32) | (data == 10)
     cut[1:n] = blank[1:] & solid[:-1]
     single = np.zeros(n, bool)
     single[1:-1] = (data[1:-1] == 10) & solid[:-2] & first[2:]
@@ -177,6 +179,14 @@ def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, np.searchsorted(starts, off)
 
 
+def joints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a byte is a space or line feed, and whether it ends a character that is not white space: ASCII or U+00C0 to U+07FF.
+    Between the second and the first a byte-level BPE pattern always ends a match."""
+    solid = (data > 32) & (data < 127)
+    solid[1:] |= (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
+    return (data == 32) | (data == 10), solid
+
+
 def gather(flat: np.ndarray, begin: np.ndarray, lens: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenates flat[begin[k] : begin[k] + lens[k]] for k in picks; also the cumulated lengths."""
     n = lens[picks]
