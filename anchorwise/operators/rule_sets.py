@@ -4,7 +4,8 @@
 with a column ``rule_set``. Each set becomes one row that holds its steps. A step is a per-unit rule or a group of
 bands; a group's bounds are sorted into an array of edges, and its points listed for each cell, a cell being an edge or
 a gap between two edges. So overlapping and touching bands, the first listed band, bands that add up and the inclusive
-bounds are all decided once a rule set, and a line finds its cell by binary search in the edges.
+bounds are all decided once a rule set, and a line finds its cell by binary search in the edges. Names are resolved once
+a rule set too: a step holds the places of its columns in an array of the line's stats, and a line takes each step's value once.
 
 Defined results: a line whose rule set is null or unknown has null points. A null stat, a zero denominator, a guard
 column that is null or too small, and a column that the lines lack give no points (``unknown_columns`` lists the last).
@@ -75,30 +76,53 @@ def _by_order(a: Column, b: Column) -> Column:
         a["id"] > b["id"], 1).otherwise(0)
 
 
-def _cell(v: Column, step: Column) -> Column:
-    """The cell of a value, by binary search: as many halvings as the edges need."""
-    edges = step["_edges"]
+def _places(sets: DataFrame, key: str, stats: list[str], out_col: str) -> DataFrame:
+    """``_steps`` as lines need them: column names become places among ``stats`` (-1: the lines lack it; null: none named), with
+    the strides of the binary search and, in ``_sections``, each section's first step and number of steps."""
+    named = F.create_map(*[x for i, c in enumerate(stats) for x in (F.lit(c), F.lit(i))]) if stats else F.lit(None).cast("map<string,int>")
+
+    def place(name: Column) -> Column:
+        return F.when(name.isNotNull(), F.coalesce(named[name], F.lit(-1)))
+
+    def step(s: Column) -> Column:
+        flag = F.when(s["out_column"] == DISMISSED, F.lit(out_col)).otherwise(s["out_column"])
+        strides = F.transform(F.sequence(s["_depth"] - 1, F.lit(0), F.lit(-1)), lambda d: F.pow(F.lit(2), d).cast("int"))
+        return F.struct(
+            (s["kind"] == "linear").alias("linear"), place(s["column"]).alias("value"), place(s["denominator"]).alias("denominator"),
+            s["scale"].alias("scale"), place(s["guard_column"]).alias("guard"), s["guard_min"].alias("guard_min"), s["roles"].alias("roles"),
+            place(flag).alias("flag"), s["out_value"].cast("double").alias("out_value"), s["_unit"].alias("unit"),
+            s["_edges"].alias("edges"), s["_cells"].alias("cells"),
+            F.when(s["_depth"] > 0, strides).otherwise(F.array().cast("array<int>")).alias("strides"))
+
+    rule = F.transform("_steps", lambda s: F.struct(s["section"].alias("section"), F.when(
+        (s["kind"] == "band") & ~s["stacked"], s["rule_group"]).otherwise(s["_first_name"]).alias("rule")))
+    every = F.col("_every")
+    sections = F.transform(F.array_distinct(every), lambda x: F.struct(
+        x.alias("section"), F.array_position(every, x).cast("int").alias("first"),
+        F.size(F.filter(every, lambda y: y == x)).alias("n")))  # steps are in the order of their sections
+    listed = sets.select(key, F.transform("_steps", step).alias("_placed"), rule.alias("_rules"), F.col("_steps")["section"].alias("_every"))
+    return listed.select(key, F.col("_placed").alias("_steps"), "_rules", sections.alias("_sections"))
 
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        right, done = F.get(edges, mid) < v, s["lo"] >= s["hi"]
-        return F.struct(F.when(~done & right, mid + 1).otherwise(s["lo"]).alias("lo"),
-                        F.when(~done & ~right, mid).otherwise(s["hi"]).alias("hi"))
 
-    start = F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi"))
-    below = F.aggregate(F.array_repeat(F.lit(0), step["_depth"]), start, halve)["lo"]
+def _cell(v: Column, step: Column) -> Column:
+    """The cell of a value, by binary search: as many strides as the edges need. A stride is made if the edge that it passes
+    lies below the value."""
+    edges = step["edges"]
+    below = F.aggregate(step["strides"], F.lit(0), lambda lo, by: F.when(F.get(edges, lo + by - 1) < v, lo + by).otherwise(lo))
     return 2 * below + F.coalesce(F.get(edges, below) == v, F.lit(False)).cast("int")
 
 
-def _step_points(step: Column, stats: Column, role: Column, out_col: str) -> Column:
-    raw = stats[step["column"]]
-    v = F.when(step["denominator"].isNull(), raw).otherwise(F.try_divide(raw * step["scale"], stats[step["denominator"]]))
-    flag = stats[F.when(step["out_column"] == DISMISSED, F.lit(out_col)).otherwise(step["out_column"])]
-    allowed = ((step["guard_column"].isNull() | (stats[step["guard_column"]] >= step["guard_min"]))
+def _step_value(step: Column, stats: Column) -> Column:
+    raw = F.get(stats, step["value"])
+    return F.when(step["denominator"].isNull(), raw).otherwise(F.try_divide(raw * step["scale"], F.get(stats, step["denominator"])))
+
+
+def _step_points(step: Column, v: Column, stats: Column, role: Column) -> Column:
+    allowed = ((step["guard"].isNull() | (F.get(stats, step["guard"]) >= step["guard_min"]))
                & (step["roles"].isNull() | F.array_contains(step["roles"], role))
-               & (step["out_value"].isNull() | (flag == step["out_value"].cast("double"))))
-    points = F.when(step["kind"] == "linear", raw * step["_unit"]).otherwise(F.get(step["_cells"], _cell(v, step)))
-    return F.coalesce(F.when(allowed & v.isNotNull(), points), F.lit(0.0))
+               & (step["out_value"].isNull() | (F.get(stats, step["flag"]) == step["out_value"])))
+    points = F.when(step["linear"], F.get(stats, step["value"]) * step["unit"]).otherwise(F.get(step["cells"], _cell(v, step)))
+    return F.coalesce(F.when(v.isNotNull() & allowed, points), F.lit(0.0))
 
 
 def _stat_columns(lines: DataFrame) -> list[str]:
@@ -106,11 +130,11 @@ def _stat_columns(lines: DataFrame) -> list[str]:
     return [c for c, t in lines.dtypes if t in numeric or t.startswith("decimal")]
 
 
-def _with_steps(lines: DataFrame, rules: DataFrame, key: str, broadcast_bytes: int) -> DataFrame:
+def _with_steps(lines: DataFrame, rules: DataFrame, key: str, stats: list[str], out_col: str, broadcast_bytes: int) -> DataFrame:
     """Lines with their rule set's steps. Rule sets are broadcast behind a count of their bytes; beyond it a rule set
     that holds a third of all lines is spread over ``SALTS`` tasks."""
-    sets = compile_rule_sets(rules, key)
-    size = sets.agg(F.sum(F.length(F.to_json(F.struct("_steps"))))).first()[0] or 0
+    sets = _places(compile_rule_sets(rules, key), key, stats, out_col)
+    size = sets.agg(F.sum(F.length(F.to_json(F.struct("_steps", "_rules", "_sections"))))).first()[0] or 0
     if size <= broadcast_bytes:
         return lines.join(F.broadcast(sets), key, "left")
     salted = lines.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in lines.columns]), F.lit(SALTS)).cast("int"))
@@ -118,37 +142,37 @@ def _with_steps(lines: DataFrame, rules: DataFrame, key: str, broadcast_bytes: i
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
-def _parts(lines: DataFrame, rules: DataFrame, key: str, role_col: str, out_col: str, broadcast_bytes: int) -> DataFrame:
-    """``_line`` (the line as it came), and ``_p``: section, rule and points of every step."""
+def _points(lines: DataFrame, rules: DataFrame, key: str, role_col: str, out_col: str, broadcast_bytes: int) -> DataFrame:
+    """``_line`` (the line as it came), its rule set's ``_rules`` and ``_sections``, and ``_p``: the points of every step."""
+    names = _stat_columns(lines)
     row = lines.select(F.struct(*[F.col(f"`{c}`") for c in lines.columns]).alias(_LINE), F.col(f"`{key}`").alias(key))
-    joined = _with_steps(row, rules, key, broadcast_bytes)
-    pairs = [x for c in _stat_columns(lines) for x in (F.lit(c), F.col(_LINE)[c].cast("double"))]
-    stats, role = F.create_map(*pairs), F.col(_LINE)[role_col]
-    joined = joined.withColumn("_stats", stats)
-    return joined.select(_LINE, F.transform("_steps", lambda s: F.struct(
-        s["section"].alias("section"), F.when((s["kind"] == "band") & ~s["stacked"], s["rule_group"]).otherwise(
-            s["_first_name"]).alias("rule"),
-        _step_points(s, F.col("_stats"), role, out_col).alias("points"))).alias("_p"))
+    joined = _with_steps(row, rules, key, names, out_col, broadcast_bytes)
+    stats, role = F.col("_stats"), F.col(_LINE)[role_col]
+    joined = joined.withColumn("_stats", F.array(*[F.col(_LINE)[c].cast("double") for c in names]).cast("array<double>"))
+    valued = joined.withColumn("_values", F.transform("_steps", lambda s: _step_value(s, stats)))
+    return valued.select(_LINE, "_rules", "_sections", F.zip_with(
+        "_steps", "_values", lambda s, v: _step_points(s, v, stats, role)).alias("_p"))
 
 
 def score_rule_sets(lines: DataFrame, rules: DataFrame, key: str = "rule_set", role_col: str = "role_std", out_col: str = "is_out",
                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Every line with ``section_points`` (a map) and ``total_points`` under the rule set that its ``key`` names."""
-    p = _parts(lines, rules, key, role_col, out_col, broadcast_bytes)
-    sections = F.array_distinct(F.transform("_p", lambda x: x["section"]))
-    summed = F.transform(sections, lambda s: F.aggregate(
-        F.filter("_p", lambda x: x["section"] == s), F.lit(0.0), lambda a, x: a + x["points"]))
-    return p.select(f"{_LINE}.*", F.map_from_arrays(sections, summed).alias("section_points"),
-                    F.aggregate("_p", F.lit(0.0), lambda a, x: a + x["points"]).alias("total_points"))
+    p = _points(lines, rules, key, role_col, out_col, broadcast_bytes)
+    summed = F.transform("_sections", lambda s: F.aggregate(
+        F.slice("_p", s["first"], s["n"]), F.lit(0.0), lambda a, x: a + x))
+    return p.select(f"{_LINE}.*", F.map_from_arrays(F.col("_sections")["section"], summed).alias("section_points"),
+                    F.aggregate("_p", F.lit(0.0), lambda a, x: a + x).alias("total_points"))
 
 
 def explain_rule_sets(lines: DataFrame, rules: DataFrame, keys: list[str], key: str = "rule_set", role_col: str = "role_std",
                       out_col: str = "is_out", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """K7: one row per (line, step that gives points): ``keys``, rule set, section, rule and points. A group of exclusive
     milestone or wicket bands goes by its group name."""
-    p = _parts(lines, rules, key, role_col, out_col, broadcast_bytes)
+    p = _points(lines, rules, key, role_col, out_col, broadcast_bytes)
     names = list(dict.fromkeys([*keys, key]))
-    return p.select(*[F.col(_LINE)[k].alias(k) for k in names], F.inline(F.filter("_p", lambda x: x["points"] != 0)))
+    given = F.filter(F.zip_with("_rules", "_p", lambda r, x: F.struct(
+        r["section"].alias("section"), r["rule"].alias("rule"), x.alias("points"))), lambda x: x["points"] != 0)
+    return p.select(*[F.col(_LINE)[k].alias(k) for k in names], F.inline(given))
 
 
 def unknown_columns(lines: DataFrame, rules: DataFrame, key: str = "rule_set", out_col: str = "is_out") -> DataFrame:
