@@ -39,6 +39,7 @@ CACHE = 300_000
 STRETCH = 4096  # letters of a run whose pieces are listed at once
 CELLS = 1 << 18  # words by letters that the fit takes at once
 SCORED_CELLS = CELLS // 4  # and that predict does: a word's score is its own, so fewer only save memory
+SCORED_BYTES = 2 << 20  # of texts that predict takes at once, for the same reason
 RESCALE = 8  # letters; fewer than a double's range holds of the least probabilities
 _RUN = regex.compile(r"[\p{L}\p{M}]+")
 
@@ -87,12 +88,34 @@ def vocabulary(path: str) -> Trie:
     return tx.warm(("langid pieces", path), lambda: Trie(_rows(path)))
 
 
-def remembered(key: str) -> dict[str, np.ndarray]:
+class Known:
+    """Scores of words already seen: the rows of one array, by word."""
+
+    def __init__(self, languages: int):
+        self.rows: dict[str, int] = {}
+        self.logs = np.zeros((0, languages))
+
+    def score(self, runs: set[str], pieces: Trie, p: np.ndarray) -> None:
+        """Scores those runs that are new."""
+        if len(self.rows) > CACHE:
+            self.__init__(p.shape[1])
+        new = sorted((x for x in runs if x not in self.rows), key=len)  # words of a length share an array
+        scored = [Lattice(new[lo:hi], pieces).log_probability(p) for lo, hi in groups(new, SCORED_CELLS)]
+        self.rows.update(zip(new, range(len(self.logs), len(self.logs) + len(new)), strict=True))
+        self.logs = np.concatenate([self.logs, *scored])
+
+    def total(self, split: list[list[str]]) -> np.ndarray:
+        """(words, languages): the sums over the runs of each word."""
+        out = np.zeros((len(split), self.logs.shape[1]))
+        for k in range(max(map(len, split), default=0)):
+            at = [i for i, s in enumerate(split) if len(s) > k]
+            out[at] += self.logs[[self.rows[split[i][k]] for i in at]]
+        return out
+
+
+def remembered(key: str, languages: int) -> Known:
     """Scores of words already seen by this worker under one model."""
-    known = tx.warm(("langid", key), dict)
-    if len(known) > CACHE:
-        known.clear()
-    return known
+    return tx.warm(("langid", key), lambda: Known(languages))
 
 
 def parts(word: str) -> list[str]:
@@ -278,17 +301,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, languages, p = sent.value
         pieces = vocabulary(path)
-        zero = np.zeros(len(languages))
-        for rows, data, off in tx.slices(batches):
+        for rows, data, off in tx.slices(batches, SCORED_BYTES):
             starts, ends, bounds = tx.words(data, off)
             codes, distinct = tx.codes(data, starts, ends)
             split = [parts(w) for w in distinct]
-            known = remembered(key)
-            new = sorted({x for s in split for x in s if x not in known}, key=len)  # words of a length share an array
-            for lo, hi in groups(new, SCORED_CELLS):
-                part = new[lo:hi]
-                known.update(zip(part, Lattice(part, pieces).log_probability(p), strict=True))
-            word = np.array([known[s[0]] if len(s) == 1 else sum((known[x] for x in s), zero) for s in split]).reshape(-1, len(languages))
+            known = remembered(key, len(languages))
+            known.score({x for s in split for x in s}, pieces, p)
+            word = known.total(split)
             letter = np.array([any(map(str.isalpha, w)) for w in distinct], bool)
             n = rows.num_rows
             has = tx.total(bounds, letter[codes]) > 0 if len(codes) else np.zeros(n, bool)

@@ -17,8 +17,9 @@ from anchorwise.llm.shared import stored
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and those whose best language has a posterior below one half."""
     model = langid.fit(docs.where(text.remainder() != 0), public_tokenizers.path(queries.PIECES))
-    named = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    return langid.predict(named, model).where("lang_pred <> 'und' and score >= 0.5").select("row.*")
+    rest = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "text")  # a text goes to the workers once
+    kept = langid.predict(rest, model).where("lang_pred <> 'und' and score >= 0.5")
+    return kept.select(*["text" if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
