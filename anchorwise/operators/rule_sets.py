@@ -106,10 +106,10 @@ def _places(sets: DataFrame, key: str, stats: list[str], out_col: str) -> DataFr
 
 def _cell(v: Column, step: Column) -> Column:
     """The cell of a value, by binary search: as many strides as the edges need. A stride is made if the edge that it passes
-    lies below the value."""
+    lies below the value. Lambdas share no subexpressions, so the cell is made from the search's end: it is run once."""
     edges = step["edges"]
-    below = F.aggregate(step["strides"], F.lit(0), lambda lo, by: F.when(F.get(edges, lo + by - 1) < v, lo + by).otherwise(lo))
-    return 2 * below + F.coalesce(F.get(edges, below) == v, F.lit(False)).cast("int")
+    return F.aggregate(step["strides"], F.lit(0), lambda lo, by: F.when(F.get(edges, lo + by - 1) < v, lo + by).otherwise(lo),
+                       lambda below: 2 * below + F.coalesce(F.get(edges, below) == v, F.lit(False)).cast("int"))
 
 
 def _step_value(step: Column, stats: Column) -> Column:

@@ -22,6 +22,13 @@ def test_a_line_looks_no_name_up(spark, how):
     assert not re.search(r"\bmap\(", top) and top.count(" / ") + top.count("try_divide") <= 1
 
 
+@pytest.mark.parametrize("how", [RS.score_rule_sets, lambda lines, rules: RS.explain_rule_sets(lines, rules, ["match_id"])])
+def test_a_step_is_searched_once(spark, how):
+    lines = fx.stat_lines(spark, SF0001).withColumn("rule_set", F.lit("s"))
+    top = _above_the_join(how(lines, S.rules_frame(spark).withColumn("rule_set", F.lit("s"))))
+    assert top.count(".strides") == 1
+
+
 def test_long_lists_of_edges_and_odd_values(spark):
     step = {f.name: None for f in S.RULE_SCHEMA}
     bands = [{**step, "section": "x", "kind": "band", "rule_group": "g", "name": f"b{i}", "column": "v", "min": float(i), "max": i + 0.5,
