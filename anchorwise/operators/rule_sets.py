@@ -180,9 +180,9 @@ def explain_rule_sets(lines: DataFrame, rules: DataFrame, keys: list[str], key:
     milestone or wicket bands goes by its group name."""
     p = _points(lines, rules, key, role_col, out_col, broadcast_bytes)
     names = list(dict.fromkeys([*keys, key]))
-    given = F.filter(F.zip_with("_rules", "_p", lambda r, x: F.struct(
-        r["section"].alias("section"), r["rule"].alias("rule"), x.alias("points"))), lambda x: x["points"] != 0)
-    return p.select(*[F.col(_LINE)[k].alias(k) for k in names], F.inline(given))
+    each = p.select(_LINE, F.inline(F.arrays_zip("_rules", "_p")).alias("_rule", "_points")).where("_points <> 0")
+    return each.select(*[F.col(_LINE)[k].alias(k) for k in names], F.col("_rule")["section"].alias("section"),
+                       F.col("_rule")["rule"].alias("rule"), F.col("_points").alias("points"))
 
 
 def unknown_columns(lines: DataFrame, rules: DataFrame, key: str = "rule_set", out_col: str = "is_out") -> DataFrame:
