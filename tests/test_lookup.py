@@ -54,6 +54,21 @@ def test_null_keys_and_hot_keys_are_spread(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_salted_table_is_never_broadcast(spark):
+    """Spark takes a table of a few long texts for small; its copies must not go through the driver all the same."""
+    rows = spark.range(400).select(F.col("id").alias("r"), (F.col("id") % 5).alias("k"))
+    table = spark.range(4).groupBy(F.col("id").alias("k")).agg(F.first(F.lit("x" * 1000)).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    try:
+        got = lookup.left_lookup(rows, table, "k", 1000, ["r"], broadcast_bytes=0)
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 400 and got.where("length(v) = 1000").count() == 320 and got.where("v is null").count() == 80
+        squads = A.opponent_squads(fx.requests(spark, SF0001))
+        assert "Broadcast" in squads._jdf.queryExecution().executedPlan().toString()  # a small table still is
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("days", [[], [3], [3, 5], list(range(0, 40, 3))])
 def test_latest_before_equals_bisection(spark, days):
     start = dt.date(2022, 1, 1)
