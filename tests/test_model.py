@@ -56,6 +56,54 @@ def test_patience_finds_the_best_round(spark):
     assert abs(error - errors[want - 1]) < 1.0  # the model cut to its best round
 
 
+def test_model_of_the_best_round_is_cut_not_fitted_again(spark, monkeypatch, tmp_path):
+    rows = _learnable(spark, 900, 0.0).withColumn("y", F.col("y") + F.pmod(F.xxhash64("id"), F.lit(40)))  # too noisy for 24 rounds
+    train, test = rows.where("id < 400").coalesce(1), rows.where("id >= 400")
+    pipe = M.build_pipeline(["x0", "x1", "x2"], "y", maxDepth=4, maxIter=24, subsamplingRate=0.5, stepSize=0.2)
+    fits = []
+    fit = M.GBTRegressor._fit
+    monkeypatch.setattr(M.GBTRegressor, "_fit", lambda self, df: (fits.append(self.getMaxIter()), fit(self, df))[1])
+    model, best, rounds = M.fit_with_patience(pipe, train, test, 4, stages=(24,))
+    assert fits == [24] and 0 < best < rounds == 24
+    ready = pipe.getStages()[1].transform(pipe.getStages()[0].transform(train))
+    again = pipe.getStages()[2].copy({pipe.getStages()[2].maxIter: best}).fit(ready)
+    cut = model.stages[-1]
+    assert (cut.getNumTrees, cut.numFeatures, cut.treeWeights, cut.getMaxIter()) == (best, 3, again.treeWeights, best)
+    assert [t.toDebugString.split("\n", 1)[1] for t in cut.trees] == [t.toDebugString.split("\n", 1)[1] for t in again.trees]
+    of = lambda m: {r["id"]: r["raw_prediction"] for r in m.transform(ready.select("id", "features")).collect()}
+    assert of(cut) == of(again) == of(M.load_model(M.save_model(model, str(tmp_path / "cut")), ["x0", "x1", "x2"]).stages[-1])
+
+
+def test_fit_waves():
+    assert M.fit_waves([10, 20, 30, 40, 50], 150) == [[0, 1, 2, 3, 4]]
+    assert M.fit_waves([10, 20, 30, 40, 50], 40) == [[0, 1], [2], [3], [4]]  # the last is too large and runs alone
+    assert M.fit_waves([30, 10, 20], 30) == [[1, 2], [0]]
+    assert M.fit_waves([], 10) == []
+    assert M.stages_after(3, 50) == (61, 80, 160, 320) and M.stages_after(200, 50) == (455,)
+
+
+def test_folds_that_do_not_fit_in_memory_are_fitted_in_waves(spark, monkeypatch):
+    """The same folds, models and metrics; a wave tries the rounds that those before it ask for."""
+    days = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 4).cast("int"))
+    rows = spark.range(600).select(
+        F.col("id").alias("match_id"), F.lit(1).alias("player_id"), days.alias("match_date"),
+        *[(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 10.0).alias(name) for k, name in enumerate(FE.FEATURES)],
+        F.pmod(F.xxhash64("id"), F.lit(90)).cast("double").alias("fantasy_points"))
+    assert M.rows_in_memory(spark) > 100_000
+    whole = M.fit_with_patience
+    got, tried = [], []
+    monkeypatch.setattr(M, "fit_with_patience", lambda pipe, tr, te, patience, stages: (tried.append((tr.count(), stages)), whole(
+        pipe, tr, te, patience, stages))[1])
+    for room in (10**6, 350):
+        monkeypatch.setattr(M, "rows_in_memory", lambda spark, room=room: room)
+        res = M.train(spark, rows, early_stopping=True, patience=2, maxIter=8, maxDepth=2)
+        got.append(sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in res.cv.drop("rounds").collect()))
+    assert got[0] == got[1] and len(got[0]) == 5
+    assert sorted(n for n, _ in tried[:5]) == [100, 200, 300, 400, 500] and {s for _, s in tried[:5]} == {M.ROUND_STAGES}
+    assert sorted(n for n, _ in tried[5:7]) == [100, 200] and [n for n, _ in tried[7:]] == [300, 400, 500]
+    assert all(s[0] < M.ROUND_STAGES[0] for _, s in tried[7:])
+
+
 def test_folds_learn_a_learnable_target(spark):
     """Fold errors lie well below the spread of the target, and the features that make it lead the importances."""
     days = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 4).cast("int"))
