@@ -145,6 +145,22 @@ def test_model_from_the_first_place_that_fits(spark, tmp_path):
     assert "lacks ['x2']" in str(e.value) and "another order" in str(e.value)
 
 
+def test_both_models_score_the_same_stored_features(spark, monkeypatch):
+    from anchorwise.plans import model_queries as Q
+
+    train = Q._features(spark, SF001, lambda inn: A.training_anchors(inn, Q.TRAIN_CUTOFF))
+    small = M.train(spark, train, cv=False, maxIter=2, maxDepth=2)
+    built = []
+    build = FE.build_features
+    monkeypatch.setattr(Q, "_trained", lambda spark, sf: small)
+    monkeypatch.setattr(FE, "build_features", lambda *a, **kw: (built.append(1), build(*a, **kw))[1])
+    got = Q.save_load_model_check(spark, SF001)
+    assert len(built) == 1 and got.columns == ["match_id", "player_id", "equal"]
+    rows = got.collect()
+    want = Q.train_predict(spark, SF001).select("match_id", "player_id").collect()
+    assert len(rows) > 100 and sorted((r[0], r[1], True) for r in want) == sorted(map(tuple, rows))
+
+
 def test_folds_partition_time_order(spark):
     rows = A.training_anchors(fx.innings(spark, SF0001))
     f = M.time_series_folds(rows).collect()
